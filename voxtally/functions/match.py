@@ -34,7 +34,7 @@ def vocabulary(phrases: Sequence[str], words: Sequence[str] = ()) -> list[str]:
 
 def known_words(text: str, vocab: Sequence[str]) -> Column:
     """The words of ``vocab`` that occur in normalized ``text``."""
-    return F.expr(f"array_intersect({sql_array(vocab)}, split({text}, ' '))")
+    return F.expr(f"array_intersect(split({text}, ' '), {sql_array(vocab)})")
 
 
 def phrase_hits(text: str, known: str, phrases: Sequence[str]) -> Column:

@@ -14,9 +14,9 @@ from voxtally import dictionaries as d
 from voxtally.functions.literals import sql_array, sql_let, sql_map, sql_string
 from voxtally.rules import RuleSet
 
-# Unicode white space, spelled out: the default class of the regex engine is
-# ASCII only, and trim() without an argument strips nothing but blanks.
-SPACE_CLASS = r"[\t-\r\x1c-\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
+# Unicode white space.  The default class of the regex engine is ASCII only,
+# and trim() without an argument strips nothing but blanks.
+SPACE_CLASS = r"(?U)[\s\x1c-\x1f]"
 SPACE_CHARS = "".join(map(chr, [*range(9, 14), *range(0x1c, 0x21), 0x85, 0xa0, 0x1680, *range(0x2000, 0x200b),
                                 0x2028, 0x2029, 0x202f, 0x205f, 0x3000]))
 _LETTER = r"\p{L}"
@@ -45,16 +45,19 @@ def strip(text: str) -> str:
     return f"trim(BOTH {sql_string(SPACE_CHARS)} FROM {text})"
 
 
+def join_parts(title: str, body: str) -> str:
+    """The parts that are not empty, joined by `` | ``."""
+    return f"concat_ws(' | ', {empty_to_null(title)}, {empty_to_null(body)})"
+
+
 def combine_parts(title: str, body: str) -> str:
     """Title and body as found, trimmed, joined by `` | ``; null when both are blank."""
-    parts = ", ".join(empty_to_null(strip(part)) for part in (title, body))
-    return empty_to_null(f"concat_ws(' | ', {parts})")
+    return empty_to_null(join_parts(strip(title), strip(body)))
 
 
 def analysis_text(title: str, body: str) -> str:
     """Title and body with collapsed white space, joined by `` | ``."""
-    parts = ", ".join(empty_to_null(collapse_space(part)) for part in (title, body))
-    return f"concat_ws(' | ', {parts})"
+    return join_parts(collapse_space(title), collapse_space(body))
 
 
 def normalize_words(text: str) -> str:
@@ -144,8 +147,8 @@ def infer_disruption(raw_text: str, rules: RuleSet) -> str:
 
 def disruption_label(value: str, rules: RuleSet) -> str:
     """Related labels to one; unmapped text passes in lower case, blank is ``unknown``."""
-    text = f"lower({collapse_space(value)})"
-    return f"coalesce(try_element_at({sql_map(rules.disruption_labels)}, {text}), {empty_to_null(text)}, 'unknown')"
+    mapped = f"try_element_at({sql_map(rules.disruption_labels)}, v.label)"
+    return sql_let({"label": f"lower({collapse_space(value)})"}, f"coalesce({mapped}, nullif(v.label, ''), 'unknown')")
 
 
 def review_id(dataset_key: str, airline: str, date_text: str, title: str, body: str, length: int = 12) -> str:

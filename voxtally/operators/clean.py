@@ -49,14 +49,13 @@ def text_fields(df: DataFrame) -> DataFrame:
     df = with_exprs(df, {
         "review_title": text.collapse_space("review_title"),
         "review_text": text.collapse_space("review_text"),
-        "analysis_text": text.analysis_text("review_title", "review_text"),
         "clean_text": text.clean_words("review_title", "review_text"),
     })
-    return with_exprs(df, {
-        "feedback_text": "analysis_text",
+    df = with_exprs(df, {
+        "analysis_text": text.join_parts("review_title", "review_text"),
         "word_count": text.word_count("clean_text"),
-        "text_length": "length(analysis_text)",
     })
+    return with_exprs(df, {"feedback_text": "analysis_text", "text_length": "length(analysis_text)"})
 
 
 def usable(df: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
@@ -99,7 +98,7 @@ def derived_fields(df: DataFrame, rules: RuleSet = DEFAULT_RULES) -> DataFrame:
         "rating_bucket": text.rating_bucket("rating"),
         "disruption_keywords_found": "array_join(disruption_keywords, '; ')",
         "likely_negative_experience": """coalesce(rating <= 2, false) OR coalesce(NOT recommended, false) OR (
-            disruption_type IN ('cancellation', 'refund', 'customer_support') AND size(disruption_keywords) >= 2)""",
+            size(disruption_keywords) >= 2 AND disruption_type IN ('cancellation', 'refund', 'customer_support'))""",
     }).drop("_known")
 
 

@@ -9,7 +9,7 @@ from voxtally.functions.literals import sql_array, sql_let
 from voxtally.functions.text import aliased, excerpt, share_pct, strip, with_exprs
 from voxtally.operators import quant
 from voxtally.operators.sentiment import sentiment_by_theme
-from voxtally.operators.themes import match_text, theme_quotes
+from voxtally.operators.themes import first_quotes, match_text
 from voxtally.rules import DEFAULT_RULES, RuleSet
 
 REPORT_CHARS = 190
@@ -87,7 +87,7 @@ def recovery_signals(scored: DataFrame, rules: RuleSet = DEFAULT_RULES) -> DataF
 def lead_quotes(coded: DataFrame, rules: RuleSet = DEFAULT_RULES) -> DataFrame:
     """The first quote of each theme, shortened for a report."""
     short = f"{excerpt(strip('quote_excerpt'), REPORT_CHARS)} AS excerpt"
-    return theme_quotes(coded, 1, rules).selectExpr("theme", "review_id", "airline", short)
+    return first_quotes(coded, rules).selectExpr("theme", "review_id", "airline", short)
 
 
 def headline_lists(scored: DataFrame, rules: RuleSet = DEFAULT_RULES) -> DataFrame:

@@ -9,6 +9,7 @@ from voxtally.functions import match
 from voxtally.functions.literals import sql_array, sql_arrays, sql_let, sql_string
 from voxtally.functions.text import aliased, excerpt, normalize_words, share_pct, with_exprs
 from voxtally.rules import DEFAULT_RULES, RuleSet
+from voxtally.sources.sinks import land
 
 UNCLASSIFIED = "unclassified"
 QUOTE_CHARS = 280
@@ -127,39 +128,57 @@ def first_rows(df: DataFrame, key: str, order: str, n: int) -> DataFrame:
     return part.drop("_salt")
 
 
+# The last three only matter between equal identifiers.
+_QUOTE_ORDER = "is_synthetic, distance, review_date DESC NULLS LAST, review_id, airline, source, rating"
+
+
+def _quote_candidates(coded: DataFrame, max_chars: int) -> DataFrame:
+    return coded.selectExpr(
+        "explode(themes) AS theme", "review_id", "airline", "source", "review_date", "rating", "is_synthetic",
+        f"abs(text_length - {_QUOTE_LENGTH}) AS distance", f"{excerpt('analysis_text', max_chars)} AS quote_excerpt")
+
+
+def _distinct_quotes(candidates: DataFrame, n: int) -> DataFrame:
+    copy = F.expr(f"row_number() OVER (PARTITION BY theme, quote_excerpt ORDER BY {_QUOTE_ORDER})")
+    return first_rows(candidates.withColumn("_copy", copy).where("_copy = 1").drop("_copy"), "theme", _QUOTE_ORDER, n)
+
+
+def _ranked_quotes(quotes: DataFrame, rules: RuleSet) -> DataFrame:
+    return quotes.selectExpr(
+        "theme", f"row_number() OVER (PARTITION BY theme ORDER BY {_QUOTE_ORDER}) AS quote_rank", "review_id", "airline",
+        "source", "review_date", "rating", "is_synthetic", "quote_excerpt",
+    ).orderBy(F.expr(f"array_position({sql_array(rules.theme_labels)}, theme)"), "quote_rank")
+
+
+def first_quotes(coded: DataFrame, rules: RuleSet = DEFAULT_RULES, max_chars: int = QUOTE_CHARS) -> DataFrame:
+    """The best quote of each theme, in the order of :func:`theme_quotes`."""
+    candidates = _quote_candidates(coded, max_chars)
+    return _ranked_quotes(first_rows(candidates, "theme", _QUOTE_ORDER, 1), rules)
+
+
 def theme_quotes(coded: DataFrame, per_theme_limit: int = 3, rules: RuleSet = DEFAULT_RULES,
                  max_chars: int = QUOTE_CHARS, probe: int = 64) -> DataFrame:
     """The best ``per_theme_limit`` quotes per theme, with distinct excerpts.
 
     Public reviews come first, then lengths near 320 characters, then recent
-    dates.  Distinct excerpts are normally settled among the first ``probe``
-    rows of a theme, which costs almost no shuffle.  Where those hold too few
-    different excerpts, the theme is ranked again over all of its rows; with no
-    such theme the adaptive optimizer drops that branch unread.
+    dates.  Finding distinct excerpts by grouping would shuffle every coded
+    review.  Instead the first ``probe`` rows per theme are fetched, which
+    shuffles next to nothing; they settle a theme when they hold enough
+    different excerpts or are all its rows.  Themes left open, because copies
+    of one text fill the front, are ranked over all their rows.
+
+    Runs a job when called: the probe, at most ``probe`` rows per theme, is
+    written to the shared folder so that the plan behind it runs once.
     """
-    # The last three only matter between equal identifiers.  They also keep all
-    # branches below on the same columns, so that they share one shuffle.
-    order = "is_synthetic, distance, review_date DESC NULLS LAST, review_id, airline, source, rating"
-    rows = coded.selectExpr(
-        "explode(themes) AS theme", "review_id", "airline", "source", "review_date", "rating", "is_synthetic",
-        f"abs(text_length - {_QUOTE_LENGTH}) AS distance",
-        f"{excerpt('analysis_text', max_chars)} AS quote_excerpt")
+    candidates = _quote_candidates(coded, max_chars)
     probe = max(probe, per_theme_limit)
-
-    def best(candidates: DataFrame) -> DataFrame:
-        copy = F.expr(f"row_number() OVER (PARTITION BY theme, quote_excerpt ORDER BY {order})")
-        distinct = candidates.withColumn("_copy", copy).where("_copy = 1").drop("_copy")
-        return first_rows(distinct, "theme", order, per_theme_limit)
-
-    near = first_rows(rows, "theme", order, probe)
-    # at most one row per theme of the rule set
-    unsettled = F.broadcast(near.groupBy("theme").agg(*aliased({
-        "found": "count(1)", "excerpts": "count(DISTINCT quote_excerpt)",
-    })).where(f"found >= {probe} AND excerpts < {per_theme_limit}").select("theme"))
-    ranked = best(near.join(unsettled, "theme", "left_anti")).unionByName(
-        best(rows.join(unsettled, "theme", "left_semi")))
-    labels = sql_array(rules.theme_labels)
-    return ranked.selectExpr(
-        "theme", f"row_number() OVER (PARTITION BY theme ORDER BY {order}) AS quote_rank", "review_id", "airline",
-        "source", "review_date", "rating", "is_synthetic", "quote_excerpt",
-    ).orderBy(F.expr(f"array_position({labels}, theme)"), "quote_rank")
+    near = land(first_rows(candidates, "theme", _QUOTE_ORDER, probe), "quote_candidates")
+    found = near.groupBy("theme").agg(*aliased({"n": "count(1)", "excerpts": "count(DISTINCT quote_excerpt)"}))
+    # no more rows than themes
+    unsettled = [row.theme for row in found.where(f"n >= {probe} AND excerpts < {per_theme_limit}").collect()]
+    if not unsettled:
+        return _ranked_quotes(_distinct_quotes(near, per_theme_limit), rules)
+    is_open = F.col("theme").isin(*unsettled)
+    quotes = _distinct_quotes(near.where(~is_open), per_theme_limit).unionByName(
+        _distinct_quotes(candidates.where(is_open), per_theme_limit))
+    return _ranked_quotes(quotes, rules)

@@ -263,7 +263,7 @@ items AS (
   UNION ALL {words(3, lexicon.positive_words)} UNION ALL {words(4, lexicon.negative_words)}
   UNION ALL {listed(5, signals)}
 ),
-firsts AS (SELECT doc_id, item, min(part * 1000000000 + place) AS first_at FROM items GROUP BY doc_id, item),
+firsts AS (SELECT doc_id, item, min(part::BIGINT * 1000000000 + place) AS first_at FROM items GROUP BY doc_id, item),
 evidence AS (SELECT doc_id, string_agg(item, '; ' ORDER BY first_at) AS sentiment_evidence FROM firsts GROUP BY doc_id)
 SELECT doc_id, coalesce(sentiment_evidence, '') AS sentiment_evidence FROM scored LEFT JOIN evidence USING (doc_id)"""
 

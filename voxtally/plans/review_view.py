@@ -16,7 +16,7 @@ from voxtally.functions import text
 from voxtally.functions.literals import sql_array
 from voxtally.functions.text import with_exprs
 from voxtally.rules import DEFAULT_RULES
-from voxtally.sources.ingest import complete_columns
+from voxtally.sources.ingest import complete_columns, spread
 
 VIEW_KEY = "documents"
 
@@ -62,7 +62,7 @@ def raw_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     documents = spark.read.schema("doc_id long, text string, source string, n_chars long").parquet(f"{sf_dir}/documents.parquet")
     labels = spark.read.schema("doc_id long, quality int").parquet(f"{sf_dir}/labels.parquet")
-    return documents.join(labels, "doc_id", "left").selectExpr(
+    return spread(documents, "doc_id").join(labels, "doc_id", "left").selectExpr(
         "doc_id", "source",
         f"{_at(AIRLINES, 'doc_id % 8')} AS airline",
         "CASE WHEN n_chars % 5 = 0 THEN NULL ELSE 'Review' END AS review_title",

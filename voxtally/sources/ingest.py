@@ -39,6 +39,16 @@ def read_raw(spark: SparkSession, path: str | Sequence[str], file_format: str =
     return raw.selectExpr(*values, f"{place} AS source_row")
 
 
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Use all cores on input that comes in fewer splits than there are cores.
+
+    Matching is heavy per row, so moving a small input once pays off.  Input of
+    any size has more splits than cores and is left where it is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
+
+
 def _quoted(column: str) -> str:
     return "`" + column.replace("`", "``") + "`"
 
