@@ -50,24 +50,29 @@ def ngram_frequency(reviews: DataFrame, stop_words: Sequence[str] = DEFAULT_STOP
     """Most frequent words and word pairs, stop words and one-letter words removed first.
 
     A term has to occur in at least 3 reviews, or 2 below 500 reviews, or 1
-    below 100.  Occurrences and reviews are counted in one pass: every term is
-    emitted once per occurrence, and once per review it occurs in.
+    below 100.  One pass counts everything: a review emits each term once per
+    occurrence, each different term once, and one row without a term that
+    counts the review.  Only that row has no occurrences.
     """
-    least = reviews.agg(F.expr("CASE WHEN count(1) >= 500 THEN 3 WHEN count(1) >= 100 THEN 2 ELSE 1 END")).scalar()
     # one hash set per text finds its stop words; few are left to compare each word with
-    present = f"array_intersect({sql_array(stop_words)}, split(clean_text, ' '))"
+    present = f"array_intersect(split(clean_text, ' '), {sql_array(stop_words)})"
     kept = sql_let({"tokens": "split(clean_text, ' ')", "stops": present},
                    "filter(v.tokens, token -> length(token) > 1 AND NOT array_contains(v.stops, token))")
-    pairs = """transform(slice(kept, 2, size(kept)), (word, i) -> concat(get(kept, i), ' ', word))"""
+    pairs = "transform(slice(kept, 2, size(kept)), (word, i) -> concat(get(kept, i), ' ', word))"
     rows = reviews.selectExpr(f"{kept} AS kept").selectExpr(f"concat(kept, {pairs}) AS terms")
 
     def tagged(terms: str, occurrences: int, documents: int) -> str:
         return (f"transform({terms}, term -> named_struct('term', term, 'occurrences', {occurrences}, "
                 f"'documents', {documents}))")
 
-    rows = rows.selectExpr(f"inline(concat({tagged('terms', 1, 0)}, {tagged('array_distinct(terms)', 0, 1)}))")
-    grouped = rows.groupBy("term").agg(*aliased({"count": "sum(occurrences)", "documents": "sum(documents)"}))
-    return (grouped.where(F.col("documents") >= least).select("term", "count")
+    emitted = ", ".join([tagged("terms", 1, 0), tagged("array_distinct(terms)", 0, 1),
+                         tagged("array(cast(NULL AS string))", 0, 1)])
+    counts = rows.selectExpr(f"inline(concat({emitted}))").groupBy("term").agg(
+        *aliased({"count": "sum(occurrences)", "documents": "sum(documents)"}))
+    # Both uses of the counts read the same columns, so they share one shuffle.
+    least = counts.agg(F.expr("max(IF(count = 0, documents, NULL))").alias("n")).selectExpr(
+        "CASE WHEN n >= 500 THEN 3 WHEN n >= 100 THEN 2 ELSE 1 END").scalar()
+    return (counts.where(F.expr("count > 0") & (F.col("documents") >= least)).select("term", "count")
             .orderBy(F.desc("count"), "term").limit(limit))
 
 
@@ -87,9 +92,10 @@ def rating_distribution(scored: DataFrame) -> DataFrame:
     """Count and share of rated reviews per observed rating."""
     grouped = scored.where("rating IS NOT NULL").groupBy("rating", "rating_bucket").agg(
         F.expr("count(1)").alias("count"))
-    # one row per distinct rating
-    share = F.expr(share_pct("count", "sum(count) OVER ()"))
-    return grouped.withColumn("share_of_rated_reviews_pct", share).orderBy("rating")
+    total = grouped.agg(F.expr("sum(count)")).scalar()  # shares the shuffle of the counts
+    return (grouped.withColumn("total", total)
+            .selectExpr("rating", "rating_bucket", "count", f"{share_pct('count', 'total')} AS share_of_rated_reviews_pct")
+            .orderBy("rating"))
 
 
 def theme_rows(scored: DataFrame) -> DataFrame:
@@ -100,10 +106,16 @@ def theme_rows(scored: DataFrame) -> DataFrame:
 
 
 def crosstab(rows: DataFrame, column: str, name: str) -> DataFrame:
-    """Count per theme and value of ``column``, with its share within the theme."""
+    """Count per theme and value of ``column``, with its share within the theme.
+
+    Totals come back by a join with one row per theme, not by a window: there
+    are few themes, and a window would gather all values of one in one task.
+    """
     counts = rows.groupBy("theme", F.col(column).alias(name)).agg(F.expr("count(1)").alias("count"))
-    share = F.expr(share_pct("count", "sum(count) OVER (PARTITION BY theme)"))
-    return counts.withColumn("share_within_theme_pct", share).orderBy("theme", F.desc("count"), name)
+    totals = counts.groupBy("theme").agg(F.expr("sum(count)").alias("total"))
+    return (counts.join(F.broadcast(totals), "theme")
+            .selectExpr("theme", name, "count", f"{share_pct('count', 'total')} AS share_within_theme_pct")
+            .orderBy("theme", F.desc("count"), name))
 
 
 def theme_vs_sentiment(scored: DataFrame) -> DataFrame:

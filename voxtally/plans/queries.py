@@ -35,8 +35,9 @@ def _cleaned(spark: SparkSession, sf_dir: str) -> DataFrame:
     return clean.clean(standardized_reviews(spark, sf_dir)).withColumnRenamed("source_row", "doc_id")
 
 
-def _scored(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return scored_reviews(standardized_reviews(spark, sf_dir)).withColumnRenamed("source_row", "doc_id")
+def _scored(spark: SparkSession, sf_dir: str, details: bool = False) -> DataFrame:
+    scored = scored_reviews(standardized_reviews(spark, sf_dir), details=details)
+    return scored.withColumnRenamed("source_row", "doc_id")
 
 
 def _on_scored(summary: Callable[[DataFrame], DataFrame]) -> Query:
@@ -44,7 +45,7 @@ def _on_scored(summary: Callable[[DataFrame], DataFrame]) -> Query:
 
 
 def _columns(*names: str) -> Query:
-    return lambda spark, sf_dir: _scored(spark, sf_dir).select(*_ROW, *names)
+    return lambda spark, sf_dir: _scored(spark, sf_dir, details=True).select(*_ROW, *names)
 
 
 def standardize_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -103,9 +104,7 @@ def theme_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def negative_ngrams(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Read twice (review count and terms), hence landed once."""
-    scored = _scored(spark, sf_dir).select("sentiment_label", "clean_text")
-    return quant.ngram_frequency(land(quant.negative_reviews(scored).select("clean_text"), "negative_reviews"))
+    return quant.ngram_frequency(quant.negative_reviews(_scored(spark, sf_dir)))
 
 
 def negative_terms(spark: SparkSession, sf_dir: str) -> DataFrame:

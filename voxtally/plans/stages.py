@@ -12,18 +12,21 @@ from voxtally.schema import INGEST_ORDER
 from voxtally.sources.sinks import write_table
 
 
-def annotate(prepared: DataFrame, rules: RuleSet = DEFAULT_RULES) -> DataFrame:
-    """Every row-level result for prepared reviews: derived fields, themes and sentiment.
+def annotate(prepared: DataFrame, rules: RuleSet = DEFAULT_RULES, details: bool = True) -> DataFrame:
+    """Row-level results for prepared reviews: derived fields, themes and sentiment.
 
+    With ``details`` also the evidence behind them and the 0/1 theme columns.
     Narrow throughout, so it also applies to a streaming DataFrame.
     """
     matched = clean.derived_fields(themes.match_text(prepared, rules), rules)
-    coded = themes.add_indicators(themes.add_evidence(themes.code_themes(matched, rules), rules), rules)
-    return sentiment.add_sentiment_evidence(sentiment.score_sentiment(coded, rules), rules)
+    scored = sentiment.score_sentiment(themes.code_themes(matched, rules), rules)
+    if not details:
+        return scored
+    return sentiment.add_sentiment_evidence(themes.add_indicators(themes.add_evidence(scored, rules), rules), rules)
 
 
 def scored_reviews(standardized: DataFrame, rules: RuleSet = DEFAULT_RULES, min_words: int = clean.MIN_WORDS,
-                   order: Sequence[str] = INGEST_ORDER) -> DataFrame:
+                   order: Sequence[str] = INGEST_ORDER, details: bool = True) -> DataFrame:
     """Cleaned, coded and scored reviews.
 
     Texts are annotated before duplicates are dropped.  The result is the same,
@@ -31,7 +34,7 @@ def scored_reviews(standardized: DataFrame, rules: RuleSet = DEFAULT_RULES, min_
     not ask for is pruned ahead of the only shuffle: a summary shuffles labels
     and numbers instead of whole texts.
     """
-    return clean.keep_first(annotate(clean.prepare(standardized, rules, min_words), rules), order)
+    return clean.keep_first(annotate(clean.prepare(standardized, rules, min_words), rules, details), order)
 
 
 # Result tables by name: each is computed from the scored reviews alone.
