@@ -20,6 +20,15 @@ def test_clean_row(reviews):
     assert row.likely_negative_experience is True  # costly type with two keywords
 
 
+def test_either_order_gives_the_same_rows(reviews):
+    df = reviews(*[dict(review_text=t, rating=float(i % 5)) for i, t in enumerate(
+        ["delay at the gate", "Delay at the gate", "kind and helpful crew", "no", "lost my bag, refund refused", "kind and helpful crew!"])])
+    for build in (clean.clean, scored_reviews):
+        first, last = build(df, duplicates_first=True), build(df)
+        assert first.columns == last.columns
+        assert sorted(first.collect(), key=repr) == sorted(last.collect(), key=repr)
+
+
 def test_negative_flag_reasons(reviews):
     rows = clean.clean(reviews(
         dict(review_text="one two three four", rating=2.0), dict(review_text="one two three five", recommended="no"),

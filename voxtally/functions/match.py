@@ -38,11 +38,20 @@ def known_words(text: str, vocab: Sequence[str]) -> Column:
 
 
 def phrase_hits(text: str, known: str, phrases: Sequence[str]) -> Column:
-    """Phrases that occur in normalized ``text``, in the order given."""
-    anchors = sql_array([anchor_of(p) for p in phrases])
-    search = f"""filter({sql_array(phrases)}, (phrase, i) ->
-        array_contains(v.words, get({anchors}, i)) AND contains(v.padded, concat(' ', phrase, ' ')))"""
-    # texts without any dictionary word skip the dictionary
+    """Phrases that occur in normalized ``text``, each once, in no particular order.
+
+    Starts from the words found, so the work per text follows what it contains
+    and hardly the size of the dictionary.
+    """
+    by_anchor: dict[str, list[str]] = {}
+    for phrase in dict.fromkeys(phrases):
+        by_anchor.setdefault(anchor_of(phrase), []).append(phrase)
+    if not by_anchor:
+        return F.expr(sql_array([]))
+    entries = ", ".join(f"{sql_string(anchor)}, {sql_array(owned)}" for anchor, owned in by_anchor.items())
+    candidates = f"transform(v.words, word -> coalesce(try_element_at(map({entries}), word), {sql_array([])}))"
+    search = f"filter(flatten({candidates}), phrase -> contains(v.padded, concat(' ', phrase, ' ')))"
+    # texts without any dictionary word skip the rest
     return F.expr(f"""CASE WHEN size({known}) = 0 THEN {sql_array([])}
         ELSE {sql_let({'words': known, 'padded': f"concat(' ', {text}, ' ')"}, search)} END""")
 

@@ -68,13 +68,26 @@ def prepare(df: DataFrame, rules: RuleSet = DEFAULT_RULES, min_words: int = MIN_
     return text_fields(standardize_fields(usable(df, min_words), rules))
 
 
+def prepare_distinct(df: DataFrame, rules: RuleSet = DEFAULT_RULES, min_words: int = MIN_WORDS,
+                     order: Sequence[str] = INGEST_ORDER) -> DataFrame:
+    """As :func:`prepare`, with duplicates dropped first.
+
+    The right order when whole reviews are written: the raw text crosses the
+    shuffle once, and its cleaned, joined and normalized forms are made after.
+    Not meant for filtering on derived columns: the optimizer would move such a
+    filter below the steps that compute them, and repeat those in it.
+    """
+    kept = keep_first(usable(df, min_words), order, text.clean_words("review_title", "review_text"))
+    return text_fields(standardize_fields(kept, rules))
+
+
 def text_key(words: str) -> str:
     """32-byte digest standing in for a text of any length in shuffles and sorts."""
     return f"unhex(sha2({words}, 256))"
 
 
-def keep_first(df: DataFrame, order: Sequence[str] = INGEST_ORDER) -> DataFrame:
-    """One row per normalized text: the first in ingestion order.
+def keep_first(df: DataFrame, order: Sequence[str] = INGEST_ORDER, words: str = "clean_text") -> DataFrame:
+    """One row per normalized text (``words``): the first in ingestion order.
 
     The rank limit is applied on the map side as well, so a task forwards at
     most one row per text and a text that fills a third of the table does not
@@ -82,7 +95,7 @@ def keep_first(df: DataFrame, order: Sequence[str] = INGEST_ORDER) -> DataFrame:
     included, are pruned before the shuffle.
     """
     position = f"row_number() OVER (PARTITION BY _text_key ORDER BY {', '.join(f'{c} NULLS LAST' for c in order)})"
-    return (df.withColumn("_text_key", F.expr(text_key("clean_text")))
+    return (df.withColumn("_text_key", F.expr(text_key(words)))
             .withColumn("_position", F.expr(position)).where("_position = 1").drop("_text_key", "_position"))
 
 
@@ -103,12 +116,15 @@ def derived_fields(df: DataFrame, rules: RuleSet = DEFAULT_RULES) -> DataFrame:
 
 
 def clean(df: DataFrame, rules: RuleSet = DEFAULT_RULES, min_words: int = MIN_WORDS,
-          order: Sequence[str] = INGEST_ORDER) -> DataFrame:
+          order: Sequence[str] = INGEST_ORDER, duplicates_first: bool = False) -> DataFrame:
     """Standardized reviews to cleaned, deduplicated reviews with derived fields.
 
-    Derived fields come before the deduplication so that the texts they are
-    derived from need not be shuffled when a query does not return them.
+    Duplicates are dropped last, so that columns nobody uses never reach the
+    shuffle.  When the texts in their several forms are what is wanted, say
+    ``duplicates_first=True``; the rows are the same.
     """
+    if duplicates_first:
+        return derived_fields(prepare_distinct(df, rules, min_words, order), rules)
     return keep_first(derived_fields(prepare(df, rules, min_words), rules), order)
 
 

@@ -132,10 +132,17 @@ def first_rows(df: DataFrame, key: str, order: str, n: int) -> DataFrame:
 _QUOTE_ORDER = "is_synthetic, distance, review_date DESC NULLS LAST, review_id, airline, source, rating"
 
 
+def add_quote_excerpt(df: DataFrame) -> DataFrame:
+    """Adds ``quote_excerpt``, so that quotes can be chosen without carrying whole texts along."""
+    return with_exprs(df, {"quote_excerpt": excerpt("analysis_text", QUOTE_CHARS)})
+
+
 def _quote_candidates(coded: DataFrame, max_chars: int) -> DataFrame:
+    ready = max_chars == QUOTE_CHARS and "quote_excerpt" in coded.columns
+    quote = "quote_excerpt" if ready else excerpt("analysis_text", max_chars)
     return coded.selectExpr(
         "explode(themes) AS theme", "review_id", "airline", "source", "review_date", "rating", "is_synthetic",
-        f"abs(text_length - {_QUOTE_LENGTH}) AS distance", f"{excerpt('analysis_text', max_chars)} AS quote_excerpt")
+        f"abs(text_length - {_QUOTE_LENGTH}) AS distance", f"{quote} AS quote_excerpt")
 
 
 def _distinct_quotes(candidates: DataFrame, n: int) -> DataFrame:

@@ -31,8 +31,9 @@ DOCUMENT_REVIEWS = Dataset(
 _ROW = ["doc_id"]
 
 
-def _cleaned(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return clean.clean(standardized_reviews(spark, sf_dir)).withColumnRenamed("source_row", "doc_id")
+def _cleaned(spark: SparkSession, sf_dir: str, duplicates_first: bool = False) -> DataFrame:
+    cleaned = clean.clean(standardized_reviews(spark, sf_dir), duplicates_first=duplicates_first)
+    return cleaned.withColumnRenamed("source_row", "doc_id")
 
 
 def _scored(spark: SparkSession, sf_dir: str, details: bool = False) -> DataFrame:
@@ -40,6 +41,10 @@ def _scored(spark: SparkSession, sf_dir: str, details: bool = False) -> DataFram
     return scored.withColumnRenamed("source_row", "doc_id")
 
 
+def _on_cleaned(summary: Callable[[DataFrame], DataFrame]) -> Query:
+    return lambda spark, sf_dir: summary(_cleaned(spark, sf_dir))
+
+
 def _on_scored(summary: Callable[[DataFrame], DataFrame]) -> Query:
     return lambda spark, sf_dir: summary(_scored(spark, sf_dir))
 
@@ -74,7 +79,7 @@ def clean_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
              "traveler_type", "route", "seat_type", "recommended", "is_synthetic", "analysis_text", "feedback_text",
              "clean_text", "word_count", "text_length", "rating_bucket", "disruption_type",
              "disruption_keywords_found", "likely_negative_experience"]
-    return _cleaned(spark, sf_dir).select(*_ROW, *names)
+    return _cleaned(spark, sf_dir, duplicates_first=True).select(*_ROW, *names)
 
 
 def ordered_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -129,8 +134,8 @@ QUERIES: dict[str, Query] = {
     "review_order": ordered_reviews,
     # quality
     "quality_counts": lambda spark, sf_dir: clean.quality_counts(standardized_reviews(spark, sf_dir)),
-    "missing_profile": lambda spark, sf_dir: clean.missing_profile(_cleaned(spark, sf_dir)),
-    "source_mix": lambda spark, sf_dir: clean.source_mix(_cleaned(spark, sf_dir)),
+    "missing_profile": _on_cleaned(clean.missing_profile),
+    "source_mix": _on_cleaned(clean.source_mix),
     # themes
     "theme_codes": theme_codes,
     "theme_evidence": _columns("theme_evidence"),
@@ -155,11 +160,11 @@ QUERIES: dict[str, Query] = {
     "theme_vs_recommendation": _on_scored(quant.theme_vs_recommendation),
     "pain_point_pairs": _on_scored(quant.pain_point_pairs),
     # headline figures
-    "disruption_counts": lambda spark, sf_dir: kpis.disruption_counts(_cleaned(spark, sf_dir)),
+    "disruption_counts": _on_cleaned(kpis.disruption_counts),
     "top_pain_points": _on_scored(kpis.top_pain_points),
     "most_negative_themes": _on_scored(kpis.most_negative_themes),
     "highlighted_pairs": _on_scored(kpis.highlighted_pairs),
-    "corpus_kpis": lambda spark, sf_dir: kpis.corpus_kpis(_cleaned(spark, sf_dir)),
+    "corpus_kpis": _on_cleaned(kpis.corpus_kpis),
     "rating_buckets": _on_scored(kpis.rating_buckets),
     "recommendation_pivot": _on_scored(kpis.recommendation_pivot),
     "recovery_signals": _on_scored(kpis.recovery_signals),

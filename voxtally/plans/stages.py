@@ -20,20 +20,26 @@ def annotate(prepared: DataFrame, rules: RuleSet = DEFAULT_RULES, details: bool
     """
     matched = clean.derived_fields(themes.match_text(prepared, rules), rules)
     scored = sentiment.score_sentiment(themes.code_themes(matched, rules), rules)
+    scored = themes.add_quote_excerpt(scored)
     if not details:
         return scored
     return sentiment.add_sentiment_evidence(themes.add_indicators(themes.add_evidence(scored, rules), rules), rules)
 
 
 def scored_reviews(standardized: DataFrame, rules: RuleSet = DEFAULT_RULES, min_words: int = clean.MIN_WORDS,
-                   order: Sequence[str] = INGEST_ORDER, details: bool = True) -> DataFrame:
+                   order: Sequence[str] = INGEST_ORDER, details: bool = True,
+                   duplicates_first: bool = False) -> DataFrame:
     """Cleaned, coded and scored reviews.
 
-    Texts are annotated before duplicates are dropped.  The result is the same,
-    since annotation looks at one review at a time, but whatever a query does
-    not ask for is pruned ahead of the only shuffle: a summary shuffles labels
-    and numbers instead of whole texts.
+    Annotation looks at one review at a time, so it may come before or after
+    duplicates are dropped, with the same result.  It comes before: whatever a
+    query does not ask for is then pruned ahead of the only shuffle, and a
+    summary shuffles labels and numbers instead of texts.  To write whole
+    reviews, say ``duplicates_first=True``: one raw copy of each text is
+    shuffled, and all that is made of it comes after.
     """
+    if duplicates_first:
+        return annotate(clean.prepare_distinct(standardized, rules, min_words, order), rules, details)
     return clean.keep_first(annotate(clean.prepare(standardized, rules, min_words), rules, details), order)
 
 
@@ -69,11 +75,12 @@ def run(standardized: DataFrame, out_dir: str, rules: RuleSet = DEFAULT_RULES, m
     """Write the scored reviews once and compute every result table from them.
 
     Returns the scored reviews as read back.  Each summary scans only the
-    columns it needs; none reads the review texts except the quotes.
+    columns it needs, and none reads whole texts but the n-gram fallback.
     """
     spark = standardized.sparkSession
     write_table(clean.quality_counts(standardized, min_words), f"{out_dir}/quality_counts", summary_format)
-    write_table(scored_reviews(standardized, rules, min_words, order), f"{out_dir}/scored_reviews")
+    whole = scored_reviews(standardized, rules, min_words, order, duplicates_first=True)
+    write_table(whole, f"{out_dir}/scored_reviews")
     scored = spark.read.parquet(f"{out_dir}/scored_reviews")
     for name in summaries if summaries is not None else SUMMARIES:
         write_table(SUMMARIES[name](scored, rules), f"{out_dir}/{name}", summary_format)
