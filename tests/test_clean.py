@@ -20,9 +20,16 @@ def test_clean_row(reviews):
     assert row.likely_negative_experience is True  # costly type with two keywords
 
 
+def test_keywords_come_in_dictionary_order(reviews):
+    df = reviews(dict(review_text="chat agent at the call center lost my luggage, bag and refund"))
+    for build in (clean.clean, scored_reviews):
+        assert build(df).first().disruption_keywords_found == "refund; bag; luggage; call center; chat; agent"
+
+
 def test_either_order_gives_the_same_rows(reviews):
     df = reviews(*[dict(review_text=t, rating=float(i % 5)) for i, t in enumerate(
-        ["delay at the gate", "Delay at the gate", "kind and helpful crew", "no", "lost my bag, refund refused", "kind and helpful crew!"])])
+        ["delay at the gate", "Delay at the gate", "kind and helpful crew", "no", "lost my bag, refund refused",
+         "kind and helpful crew!"])])
     for build in (clean.clean, scored_reviews):
         first, last = build(df, duplicates_first=True), build(df)
         assert first.columns == last.columns

@@ -101,18 +101,18 @@ def keep_first(df: DataFrame, order: Sequence[str] = INGEST_ORDER, words: str =
 
 def derived_fields(df: DataFrame, rules: RuleSet = DEFAULT_RULES) -> DataFrame:
     """Rating bucket, disruption keywords and the negative-experience flag."""
-    if "phrase_hits" in df.columns:
-        found = F.expr(f"array_intersect({sql_array(rules.disruption_keywords)}, phrase_hits)")
-    else:
-        vocab = match.vocabulary(rules.disruption_keywords)
+    hits = "phrase_hits"
+    if hits not in df.columns:
+        hits, vocab = "_hits", match.vocabulary(rules.disruption_keywords)
         df = df.withColumn("_known", match.known_words("clean_text", vocab))
-        found = match.phrase_hits("clean_text", "_known", rules.disruption_keywords)
+        df = df.withColumn(hits, match.phrase_hits("clean_text", "_known", rules.disruption_keywords))
+    found = F.expr(f"array_intersect({sql_array(rules.disruption_keywords)}, {hits})")  # dictionary order
     return with_exprs(df.withColumn("disruption_keywords", found), {
         "rating_bucket": text.rating_bucket("rating"),
         "disruption_keywords_found": "array_join(disruption_keywords, '; ')",
         "likely_negative_experience": """coalesce(rating <= 2, false) OR coalesce(NOT recommended, false) OR (
             size(disruption_keywords) >= 2 AND disruption_type IN ('cancellation', 'refund', 'customer_support'))""",
-    }).drop("_known")
+    }).drop("_known", "_hits")
 
 
 def clean(df: DataFrame, rules: RuleSet = DEFAULT_RULES, min_words: int = MIN_WORDS,

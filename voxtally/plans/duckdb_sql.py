@@ -290,7 +290,8 @@ HAVING count(DISTINCT doc_id) >= (SELECT documents FROM least)
 ORDER BY count DESC, term LIMIT 40"""
 
 
-_QUOTE = r"CASE WHEN length(analysis_text) > {n} THEN regexp_replace(substr(analysis_text, 1, {m}), '\s+$', '') || '...' ELSE analysis_text END"
+_QUOTE = (r"CASE WHEN length(analysis_text) > {n} THEN regexp_replace(substr(analysis_text, 1, {m}), '\s+$', '') || '...' "
+          "ELSE analysis_text END")
 
 
 def _quotes(limit: int) -> str:
