@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from voxtally.llm import bpe, language, page_text, quality, secrets, token_counts, warc
+from voxtally.llm import bpe, language, page_text, quality, secrets, suffix_tree, token_counts, warc
 
 #: Folder of public vocabulary files; another one may be named in the environment.
 TOKENIZERS = os.environ.get("VOXTALLY_TOKENIZERS", "/opt/tokenizers")
@@ -30,6 +30,10 @@ def op3_page_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return page_text.extract(table(spark, sf_dir, "pages")).withColumn("n_chars", F.length("text").cast("long"))
 
 
+def op4_suffix_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_tree.score(table(spark, sf_dir, "documents"))
+
+
 def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.document_token_counts(table(spark, sf_dir, "documents"), vocabulary())
 
@@ -60,6 +64,7 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe,
     "op3_page_text": op3_page_text,
+    "op4_suffix_tree": op4_suffix_tree,
     "op6_token_counts": op6_token_counts,
     "op7_language": op7_language,
     "op8_secrets": op8_secrets,
