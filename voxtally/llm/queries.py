@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from voxtally.llm import bpe, language, page_text, quality, secrets, suffix_tree, token_counts, warc
+from voxtally.llm import bpe, decontaminate, language, page_text, quality, secrets, suffix_tree, token_counts, warc
 
 #: Folder of public vocabulary files; another one may be named in the environment.
 TOKENIZERS = os.environ.get("VOXTALLY_TOKENIZERS", "/opt/tokenizers")
@@ -34,6 +34,10 @@ def op4_suffix_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_tree.score(table(spark, sf_dir, "documents"))
 
 
+def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contained_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.document_token_counts(table(spark, sf_dir, "documents"), vocabulary())
 
@@ -65,6 +69,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe,
     "op3_page_text": op3_page_text,
     "op4_suffix_tree": op4_suffix_tree,
+    "op5_decontamination": op5_decontamination,
     "op6_token_counts": op6_token_counts,
     "op7_language": op7_language,
     "op8_secrets": op8_secrets,
@@ -74,7 +79,25 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 _BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
 
+
+def _five_word_shingles(key: str, source: str) -> str:
+    """Different shingles of each text of a table; a shorter text is one."""
+    return f"""(
+        select distinct {key}, unnest(case
+            when len(w) >= 5 then list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))
+            when len(w) > 0 then [array_to_string(w, ' ')] else [] end) as shingle
+        from (select {key}, list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[^\\p{{L}}\\p{{N}}]+'), lambda x: x <> '') as w from {source}))"""
+
+
 ORACLE_SQL: dict[str, str] = {
+    "op5_decontamination": f"""
+        with d as {_five_word_shingles('doc_id', 'documents')},
+        b as {_five_word_shingles('item_id', 'benchmark')},
+        size as (select item_id, count(*) as n from b group by all),
+        shared as (select doc_id, item_id, count(*) as n_shared from d join b using (shingle) group by all)
+        select doc_id, item_id, n as n_item_shingles, n_shared, n_shared / n as containment
+        from shared join size using (item_id) where 10 * n_shared >= 8 * n
+    """,
     "op10_warc": f"""
         with payload as (select page_id, coalesce(html, '') as html from pages),
         hashed as (select page_id, strlen(html) as payload_bytes, cast(cast(unhex(sha1(html)) as bit) as varchar) as bits from payload),

@@ -262,7 +262,7 @@ def _automaton(ks: np.ndarray, keys: np.ndarray, ns: np.ndarray, depth: int, str
 SCORED = "row long, token long, spelled double, told struct<doc_id:long,held_out:boolean,n_tokens:long,n_known:long,base:double,score:double>"
 
 
-def score(documents: DataFrame, teaching: F.Column | None = None, depth: int = 5, least_share: float = 1e-4, strength: float = 1.0,
+def score(documents: DataFrame, teaching: F.Column | None = None, depth: int = 6, least_share: float = 5e-5, strength: float = 1.0,
           common_words: int = 1 << 19) -> DataFrame:
     """Every row's unigram ``base_score`` and model's ``score``, both log10, with ``n_tokens``, ``n_known`` and ``train_tokens``.
 
