@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from voxtally.llm import bpe, decontaminate, language, page_text, quality, secrets, suffix_tree, token_counts, warc
+from voxtally.llm import bpe, decontaminate, jaccard_join, language, page_text, quality, secrets, suffix_tree, token_counts, warc
 
 #: Folder of public vocabulary files; another one may be named in the environment.
 TOKENIZERS = os.environ.get("VOXTALLY_TOKENIZERS", "/opt/tokenizers")
@@ -26,6 +26,10 @@ def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(table(spark, sf_dir, "documents"), vocabulary())
 
 
+def op2_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.groups(table(spark, sf_dir, "documents"))
+
+
 def op3_page_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return page_text.extract(table(spark, sf_dir, "pages")).withColumn("n_chars", F.length("text").cast("long"))
 
@@ -67,6 +71,7 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe,
+    "op2_jaccard_join": op2_jaccard_join,
     "op3_page_text": op3_page_text,
     "op4_suffix_tree": op4_suffix_tree,
     "op5_decontamination": op5_decontamination,
@@ -90,6 +95,19 @@ def _five_word_shingles(key: str, source: str) -> str:
 
 
 ORACLE_SQL: dict[str, str] = {
+    "op2_jaccard_join": """
+        with recursive lowered as (select doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as t from documents),
+        worded as (select doc_id, list_filter(regexp_split_to_array(t, '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') as w from lowered),
+        gram as materialized (select distinct doc_id, unnest(case
+            when len(w) >= 4 then list_transform(range(1, len(w) - 2), lambda i: array_to_string(w[i:i + 3], ' '))
+            when len(w) > 0 then [array_to_string(w, ' ')] else [] end) as g from worded),
+        size as materialized (select doc_id, count(*) as n from gram group by all),
+        shared as (select a.doc_id as x, b.doc_id as y, count(*) as s from gram a join gram b on a.g = b.g and a.doc_id <> b.doc_id group by all),
+        link as materialized (select x, y from shared join size p on p.doc_id = x join size q on q.doc_id = y where 100 * s >= 85 * (p.n + q.n - s)),
+        reach(doc_id, other) as (select doc_id, doc_id from documents union select reach.doc_id, link.y from reach join link on link.x = reach.other)
+        select doc_id, cast(coalesce(n, 0) as bigint) as n_shingles, component_id
+        from (select doc_id, min(other) as component_id from reach group by all) left join size using (doc_id)
+    """,
     "op5_decontamination": f"""
         with d as {_five_word_shingles('doc_id', 'documents')},
         b as {_five_word_shingles('item_id', 'benchmark')},
