@@ -223,21 +223,25 @@ def tokenize(documents: DataFrame, vocabulary: str) -> DataFrame:
     return map_batches(whole_documents(documents), work, "doc_id long, token_ids array<int>, decoded string")
 
 
-def digests(documents: DataFrame, vocabulary: str) -> DataFrame:
-    """Token count and digests of ids and decoded text for every document, without moving either."""
+def digests(documents: DataFrame, vocabulary: str, with_ids: bool = False) -> DataFrame:
+    """Token count and digests of ids and decoded text for every document, without moving either; on request the ids."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = automaton(vocabulary)
         for batch in batches:
-            counts, ids, decoded = [], [], []
+            counts, ids, decoded, kept = [], [], [], []
             for text in batch.column("text"):
                 packed = coder.encode(present(text.as_py()))
                 counts.append(len(packed) // 4)
                 ids.append(hashlib.sha256(packed).hexdigest())
                 decoded.append(hashlib.sha256(coder.decode(packed).encode()).hexdigest())
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(counts, pa.int64()), pa.array(ids, pa.string()), pa.array(decoded, pa.string())],
-                ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
-            )
-
-    return map_batches(whole_documents(documents), work, SCHEMA)
+                if with_ids:
+                    kept.append(np.frombuffer(packed, np.int32))
+            arrays = [batch.column("doc_id"), pa.array(counts, pa.int64()), pa.array(ids, pa.string()), pa.array(decoded, pa.string())]
+            names = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
+            if with_ids:
+                arrays.append(pa.array(kept, pa.list_(pa.int32())))
+                names.append("token_ids")
+            yield pa.RecordBatch.from_arrays(arrays, names)
+
+    return map_batches(whole_documents(documents), work, SCHEMA + (", token_ids array<int>" if with_ids else ""))

@@ -264,3 +264,12 @@ def groups(documents: DataFrame, k: int = 4, percent: int = 85) -> DataFrame:
     result = scratch.land(named.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("root", "representative", "doc_id").alias("component_id")), "groups")
     scratch.drop(signed, lists, open_lists)
     return result
+
+
+def one_of_each(documents: DataFrame, k: int = 4, percent: int = 85) -> DataFrame:
+    """The documents, all columns, without those that are linked, over any number of others, with one of a smaller id.
+
+    Rows without an id, and rows that repeat the id of one that stays, stay.
+    """
+    others = groups(documents, k, percent).where("component_id <> doc_id").select(F.col("doc_id").alias("_other")).distinct()
+    return documents.join(others, documents["doc_id"].cast("long") == others["_other"], "left_anti")

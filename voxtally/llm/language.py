@@ -134,25 +134,10 @@ def identify(documents: DataFrame, profiles: Profiles, *keep: str) -> DataFrame:
     when no language was learned, are ``und`` with score 0.  Of equal cosines the first language by name counts.
     ``keep`` names columns to hand through.
     """
-    languages, vectors = profiles.languages, profiles.vectors
-    dimensions = vectors.shape[1]
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = batch.column("text").to_pylist()
-            names, scores = [], []
-            for first in range(0, len(texts), _TEXTS):
-                found = [runs(present(t)) for t in texts[first : first + _TEXTS]]
-                if not languages:
-                    names += [UNKNOWN] * len(found)
-                    scores += [0.0] * len(found)
-                    continue
-                own = bundles(found, dimensions)
-                norms = np.linalg.norm(own, axis=1)
-                cosines = np.round(own @ vectors.T / np.where(norms == 0, 1, norms)[:, None], 9)
-                best = cosines.argmax(axis=1)
-                names += [languages[b] if len(f) else UNKNOWN for b, f in zip(best, found, strict=True)]
-                scores += np.clip(cosines[np.arange(len(found)), best], 0, 1).tolist()
+            names, scores = predictions(batch.column("text").to_pylist(), profiles)
             handed = [batch.column(c) for c in ("doc_id", *keep)]
             yield pa.RecordBatch.from_arrays([*handed, pa.array(names, pa.string()), pa.array(scores, pa.float64())], ["doc_id", *keep, "lang_pred", "score"])
 
@@ -161,6 +146,36 @@ def identify(documents: DataFrame, profiles: Profiles, *keep: str) -> DataFrame:
     return map_batches(rows, work, f"{schema}, lang_pred string, score double")
 
 
+def predictions(texts: list[str | None], profiles: Profiles) -> tuple[list[str], list[float]]:
+    languages, vectors = profiles.languages, profiles.vectors
+    names: list[str] = []
+    scores: list[float] = []
+    for first in range(0, len(texts), _TEXTS):
+        found = [runs(present(t)) for t in texts[first : first + _TEXTS]]
+        if not languages:
+            names += [UNKNOWN] * len(found)
+            scores += [0.0] * len(found)
+            continue
+        own = bundles(found, vectors.shape[1])
+        norms = np.linalg.norm(own, axis=1)
+        cosines = np.round(own @ vectors.T / np.where(norms == 0, 1, norms)[:, None], 9)
+        best = cosines.argmax(axis=1)
+        names += [languages[b] if len(f) else UNKNOWN for b, f in zip(best, found, strict=True)]
+        scores += np.clip(cosines[np.arange(len(found)), best], 0, 1).tolist()
+    return names, scores
+
+
+def identified(documents: DataFrame, profiles: Profiles) -> DataFrame:
+    """The documents, all columns, that are in some learned language: those that are not ``und``."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            names, _ = predictions(batch.column("text").cast(pa.string()).to_pylist(), profiles)
+            yield batch.filter(pa.array([n != UNKNOWN for n in names], pa.bool_()))
+
+    return documents.mapInArrow(work, documents.schema)
+
+
 def held_out(documents: DataFrame) -> F.Column:
     """The quarter of the documents that teaches nothing."""
     return crc_remainder("doc_id", 4) == 2
