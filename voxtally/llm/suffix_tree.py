@@ -177,7 +177,7 @@ def tree(counted: DataFrame, depth: int, least_share: float, strength: float) ->
         frequent = arcs.groupBy(context).agg(F.sum("n").alias("of")).where(F.col("of") >= max(1.0, least_share * whole)).select("context")
         level = arcs.join(frequent, F.shiftright("key", BITS) == F.col("context"), "left_semi").select(F.lit(k).alias("k"), "key", "n")
         levels = level if levels is None else levels.unionAll(level)
-    found = levels.toPandas()
+    found = levels.toArrow()
     return _automaton(found["k"].to_numpy(), found["key"].to_numpy(), found["n"].to_numpy(), depth, strength)
 
 
@@ -279,10 +279,10 @@ def score(documents: DataFrame, teaching: F.Column | None = None, depth: int = 6
     model = tree(counted, depth, least_share, strength)
     words = counted.where(f"kind = {WORD}").select(F.col("key").alias("token"), "n")
     total, different, once = words.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1)), F.count_if(F.col("n") == 1)).first()
-    common = words.where(F.col("n") > total / common_words).toPandas()
-    keys = common["token"].to_numpy(np.int64).view(np.uint64)
+    common = words.where(F.col("n") > total / common_words).toArrow()
+    keys = common["token"].to_numpy().view(np.uint64)
     order = np.argsort(keys)
-    shared = spark.sparkContext.broadcast((model, keys[order], common["n"].to_numpy(float)[order]))
+    shared = spark.sparkContext.broadcast((model, keys[order], common["n"].to_numpy().astype(float)[order]))
     novel = float(max(1, once))
     base_divisor, divisor = math.log10(total + different + 1), math.log10(total + novel)
 
