@@ -87,7 +87,7 @@ def profile(documents: DataFrame, k: int) -> DataFrame:
 _PROFILE_NAMES = ["doc_id", "n", "digest", "least", "block", "counts"]
 
 
-def frequent_slots(profiled: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+def frequent_slots(profiled: DataFrame, scratch: Scratch) -> tuple[np.ndarray, np.ndarray]:
     """Counters that stand out, and their counts: at most as many as there are counters."""
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -99,11 +99,12 @@ def frequent_slots(profiled: DataFrame) -> tuple[np.ndarray, np.ndarray]:
         for block, total in sums.items():
             yield pa.RecordBatch.from_arrays([pa.array(np.arange(_BLOCK) + block * _BLOCK), pa.array(total)], ["slot", "n"])
 
-    totals = map_batches(profiled.where("block is not null").select("block", "counts").repartition("block"), add, "slot long, n long")
-    totals = totals.toPandas()
-    mean = totals["n"].mean() if len(totals) else 0.0
-    standing_out = totals[totals["n"] > mean + 8 * mean**0.5 + 8]
-    return standing_out["slot"].to_numpy(np.int64), standing_out["n"].to_numpy(np.int64)
+    blocks = profiled.where("block is not null").select("block", "counts").repartition("block")
+    totals = scratch.land(map_batches(blocks, add, "slot long, n long"), "slots")
+    mean = totals.agg(F.avg("n")).first()[0] or 0.0
+    standing_out = totals.where(F.col("n") > mean + 8 * mean**0.5 + 8).toArrow()
+    scratch.drop(totals)
+    return standing_out["slot"].to_numpy(), standing_out["n"].to_numpy()
 
 
 def light_boundary(sizes: dict[int, int], list_length: float, percent: int) -> int:
@@ -213,7 +214,7 @@ def groups(documents: DataFrame, k: int = 4, percent: int = 85) -> DataFrame:
     sizes = {r.n: r.many for r in small.groupBy("n").agg(F.count(F.lit(1)).alias("many")).collect()}
     many, different = small.agg(F.count(F.lit(1)), F.approx_count_distinct("least")).first()
     boundary = light_boundary(sizes, many / max(1, different), percent)
-    slots, counts = frequent_slots(profiled)
+    slots, counts = frequent_slots(profiled, scratch)
     own = alone.select(F.col("representative").alias("doc_id"))
     signed = scratch.land(signatures(documents, k, percent, boundary, slots, counts).join(own, "doc_id", "left_semi"), "signatures")
 
