@@ -15,6 +15,9 @@ from pyspark.sql import functions as F
 SLICE_BYTES = 1 << 20
 
 
+#: Spark's own setting: shuffle files go when their query ends, not when the driver happens to collect garbage.
+_RELEASE = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 # --- scratch tables -----------------------------------------------------------------------------------------------
 
 
@@ -43,7 +46,12 @@ class Scratch:
     def land(self, df: DataFrame, name: str) -> DataFrame:
         """Write and read back: lineage ends here, and lost executors cost no more than their tasks."""
         path = self.folder(f"{name}-{uuid.uuid4().hex[:8]}")
-        df.write.parquet(path)
+        before = self.spark.conf.get(_RELEASE, None)
+        self.spark.conf.set(_RELEASE, "true")
+        try:
+            df.write.parquet(path)
+        finally:
+            self.spark.conf.unset(_RELEASE) if before is None else self.spark.conf.set(_RELEASE, before)
         return self.spark.read.schema(df.schema).parquet(path)
 
     def drop(self, *tables: DataFrame) -> None:

@@ -13,7 +13,7 @@ The boundary is the one of least estimated cost, from the sizes of all sets and
 Groups of near copies would give a number of pairs that grows with the square of the group.  Only groups are asked for, so
 pairs are tried in two rounds: first each set with its neighbour in size and with the smallest of each list, which
 connects most of a group; then all pairs of each list that are not connected yet, so no link between different
-groups is lost.  Size, position and a parity bitmap of the sets rule out pairs without looking at texts, and never a
+groups is lost.  Size, a parity bitmap of the sets and the number of lists in which they meet rule out pairs without looking at texts, and never a
 similar one.  What remains is compared token by token.
 """
 
@@ -35,6 +35,8 @@ SLOT_BITS = 20
 _BLOCK = 1 << 12
 #: Cost of comparing a candidate, in written keys.
 CANDIDATE_COST = 20
+#: A set that meets another in fewer lists than this part of its size is not tried with it first.
+FEW_MEETINGS = 60
 #: Largest size of a light set.
 MOST_LIGHT = 64
 
@@ -228,17 +230,19 @@ def groups(documents: DataFrame, k: int = 4, percent: int = 85) -> DataFrame:
     ).where("previous is not null or following is not null")
     lists = scratch.land(lists.drop("following"), "lists")
 
-    # First round: neighbours and the smallest, the likeliest three of each set.
+    # First round: neighbours and the smallest, the likeliest two of each set.
     bitmaps = signed.select("doc_id", "n", "bits")
-    tried = lists.where(f"pos < 0 or n >= {boundary}").select(F.col("doc_id").alias("b"), F.explode(F.array("previous", "smallest")).alias("a")).where("a is not null and a <> b").distinct()
+    tried = lists.where(f"pos < 0 or n >= {boundary}").select(F.col("doc_id").alias("b"), F.explode(F.array_distinct(F.array("previous", "smallest"))).alias("a"))
+    tried = tried.where("a is not null and a <> b").groupBy("a", "b").agg(F.count(F.lit(1)).alias("met"))
     near = (
         tried.join(bitmaps.select(F.col("doc_id").alias("a"), F.struct("n", "bits").alias("x")), "a")
         .join(bitmaps.select(F.col("doc_id").alias("b"), F.struct("n", "bits").alias("y")), "b")
-        .where(_may_be_similar("x", "y", percent))
+        # Which pairs are tried first is free to choose: those that meet in many lists.
+        .where(f"(y.n < {boundary} or {FEW_MEETINGS} * met >= y.n) and {_may_be_similar('x', 'y', percent)}")
         .select("a", "b", F.expr(" + ".join(f"bit_count(x.bits[{i}] ^ y.bits[{i}])" for i in range(4))).alias("apart"))
     )
     likeliest = Window.partitionBy("b").orderBy("apart", "a")
-    first = _compare(near.withColumn("place", F.row_number().over(likeliest)).where("place <= 3").select("a", "b").distinct(), documents, scratch, k, percent)
+    first = _compare(near.withColumn("place", F.row_number().over(likeliest)).where("place <= 2").select("a", "b").distinct(), documents, scratch, k, percent)
     joined = scratch.land(components(first, scratch), "components")
 
     # Second round: whatever a list holds of different groups.
@@ -249,14 +253,20 @@ def groups(documents: DataFrame, k: int = 4, percent: int = 85) -> DataFrame:
         .join(bitmaps.select("doc_id", "bits"), "doc_id")
     )
     open_lists = scratch.land(open_lists, "open_lists")
-    positions = f"x.pos < 0 or (y.n >= {boundary} and 1 + least(x.n - x.pos, y.n - y.pos) - 1 >= {_least_shared('x', 'y', percent)})"
-    rest = open_lists.alias("x").join(
+    meetings = open_lists.alias("x").join(
         open_lists.alias("y"),
         F.expr(
             "x.key = y.key and x.is_subset = y.is_subset and x.root <> y.root and (x.n < y.n or (x.n = y.n and x.doc_id < y.doc_id))"
-            f" and ({positions}) and {_may_be_similar('x', 'y', percent)}"
+            f" and (x.is_subset or y.n >= {boundary}) and {_may_be_similar('x', 'y', percent)}"
         ),
-    ).select(F.col("x.doc_id").alias("a"), F.col("y.doc_id").alias("b")).distinct()
+    ).select(F.col("x.doc_id").alias("a"), F.col("y.doc_id").alias("b"), F.col("x.n").alias("p"), F.col("y.n").alias("q"), "x.is_subset")
+    # What two sets share is in both prefixes, and then they meet there, or behind the prefix that ends first.
+    behind = lambda n: f"(({percent} * {n} + 99) div 100) - 1"
+    rest = (
+        meetings.groupBy("a", "b", "p", "q", "is_subset").agg(F.count(F.lit(1)).alias("met"))
+        .where(f"is_subset or met + greatest({behind('p')}, {behind('q')}) >= (({percent} * (p + q) + {99 + percent}) div {100 + percent})")
+        .select("a", "b").distinct()
+    )
     second = _compare(rest, documents, scratch, k, percent)
     final = components(joined.select(F.col("node").alias("a"), F.col("root").alias("b")).unionAll(second), scratch)
 
