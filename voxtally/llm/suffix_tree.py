@@ -204,7 +204,7 @@ def _automaton(ks: np.ndarray, keys: np.ndarray, ns: np.ndarray, depth: int, str
         arc, n = keys[mine][order], ns[mine][order]
         contexts, first = np.unique(arc >> BITS, return_index=True)
         tables[k] = {}
-        for c, a, b in zip(contexts.tolist(), first, [*first[1:], len(arc)], strict=True):
+        for c, a, b in zip(contexts.tolist(), first, np.append(first, len(arc))[1:], strict=True):
             tables[k][c] = classes[arc[a:b] & (1 << BITS) - 1], n[a:b].astype(float)
     for k in range(1, depth + 1):
         below = tables.get(k - 1, {})
