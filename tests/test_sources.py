@@ -110,7 +110,14 @@ def test_sinks(spark, tmp_path):
     assert shared_folder(spark)
 
 
-def test_spread_only_moves_small_inputs(spark):
-    assert spread(spark.range(100).coalesce(1), "id").rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
-    wide = spark.range(100).repartition(40)
-    assert spread(wide, "id") is wide
+def test_spread_moves_only_on_request(spark):
+    df = spark.range(100).coalesce(1)
+    assert spread(df, "id") is df
+    assert spread(df, "id", 5).rdd.getNumPartitions() == 5
+
+
+def test_differing_headers_fail(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("title,content\nx,y\n")
+    (tmp_path / "b.csv").write_text("content,title\ny,x\n")
+    with pytest.raises(Exception, match="header"):
+        read_raw(spark, str(tmp_path), multi_line=False).collect()

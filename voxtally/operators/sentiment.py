@@ -29,12 +29,15 @@ def _weight(table: dict[str, float], term: str) -> str:
 
 def _signals(df: DataFrame) -> list[tuple[str, int, str]]:
     """Condition, points and evidence name for each signal outside the text."""
+    flag = {c: c if df.schema[c].dataType.typeName() == "boolean" else text.parse_flag(c)
+            for c in ("recommended", "likely_negative_experience") if c in df.columns}
+    recommended, negative = flag.get("recommended"), flag.get("likely_negative_experience")
     conditions = [
         ("rating", "rating <= 2", -120, "rating<=2"),
         ("rating", "rating >= 4", 80, "rating>=4"),
-        ("recommended", "boolean(recommended)", 60, "recommended_true"),
-        ("recommended", "NOT boolean(recommended)", -80, "recommended_false"),
-        ("likely_negative_experience", "boolean(likely_negative_experience)", -60, "likely_negative_experience"),
+        ("recommended", f"({recommended})", 60, "recommended_true"),
+        ("recommended", f"NOT ({recommended})", -80, "recommended_false"),
+        ("likely_negative_experience", f"({negative})", -60, "likely_negative_experience"),
     ]
     return [(condition, points, name) for column, condition, points, name in conditions if column in df.columns]
 

@@ -58,7 +58,7 @@ raw AS (
   SELECT d.doc_id, d.source,
     list_extract({_list(AIRLINES)}, cast(d.doc_id % 8 + 1 AS INT)) AS airline,
     CASE WHEN d.n_chars % 5 = 0 THEN NULL ELSE 'Review' END AS review_title,
-    CASE WHEN d.n_chars % 97 = 0 THEN ''
+    CASE WHEN d.blank THEN ''
          ELSE concat(list_extract({_list(SENTENCES)}, cast(d.n_chars % 24 + 1 AS INT)), '. ', d.text) END AS review_text,
     CASE WHEN d.doc_id % 11 = 10 THEN NULL ELSE cast(1 + d.doc_id % 10 AS DOUBLE) END AS rating,
     CASE WHEN d.doc_id % 13 = 0 THEN NULL ELSE date '2024-01-01' + cast(d.doc_id % 700 AS INT) END AS review_date,
@@ -67,7 +67,8 @@ raw AS (
     CASE WHEN d.doc_id % 3 = 0 THEN 'PHX-ATL' END AS route,
     CASE d.doc_id % 5 WHEN 0 THEN 'Economy' WHEN 1 THEN '' ELSE 'First Class' END AS seat_type,
     CASE WHEN l.quality = 1 THEN 'yes' WHEN l.quality = 0 THEN '0' END AS recommended
-  FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id
+  FROM (SELECT doc_id, source, n_chars, text, false AS blank FROM documents
+        UNION ALL SELECT doc_id + 1000000000, source, n_chars, text, true FROM documents WHERE n_chars % 97 = 0) d LEFT JOIN labels l ON d.doc_id = l.doc_id
 )"""
 
 

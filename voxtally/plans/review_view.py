@@ -16,7 +16,7 @@ from voxtally.functions import text
 from voxtally.functions.literals import sql_array
 from voxtally.functions.text import with_exprs
 from voxtally.rules import DEFAULT_RULES
-from voxtally.sources.ingest import complete_columns, spread
+from voxtally.sources.ingest import complete_columns
 
 VIEW_KEY = "documents"
 
@@ -62,11 +62,14 @@ def raw_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     documents = spark.read.schema("doc_id long, text string, source string, n_chars long").parquet(f"{sf_dir}/documents.parquet")
     labels = spark.read.schema("doc_id long, quality int").parquet(f"{sf_dir}/labels.parquet")
-    return spread(documents, "doc_id").join(labels, "doc_id", "left").selectExpr(
+    # Empty reviews are rows of their own; no document's text is left out.
+    rows = documents.selectExpr("*", "explode(IF(n_chars % 97 = 0, array(false, true), array(false))) AS blank").selectExpr(
+        "IF(blank, doc_id + 1000000000, doc_id) AS doc_id", "text", "source", "n_chars", "blank")
+    return rows.join(labels, "doc_id", "left").selectExpr(
         "doc_id", "source",
         f"{_at(AIRLINES, 'doc_id % 8')} AS airline",
         "CASE WHEN n_chars % 5 = 0 THEN NULL ELSE 'Review' END AS review_title",
-        f"CASE WHEN n_chars % 97 = 0 THEN '' ELSE concat({_at(SENTENCES, 'n_chars % 24')}, '. ', text) END AS review_text",
+        f"CASE WHEN blank THEN '' ELSE concat({_at(SENTENCES, 'n_chars % 24')}, '. ', text) END AS review_text",
         "CASE WHEN doc_id % 11 = 10 THEN NULL ELSE double(1 + doc_id % 10) END AS rating",
         "CASE WHEN doc_id % 13 = 0 THEN NULL ELSE date_add(date'2024-01-01', int(doc_id % 700)) END AS review_date",
         "doc_id % 50 = 0 AS is_synthetic",

@@ -16,18 +16,22 @@ from voxtally.sources.registry import Dataset
 SOURCE_MODES = ("public", "synthetic", "combined")
 
 
-def read_raw(spark: SparkSession, path: str | Sequence[str], file_format: str = "csv", multi_line: bool = True) -> DataFrame:
+def read_raw(spark: SparkSession, path: str | Sequence[str], file_format: str = "csv", multi_line: bool = True,
+             schema: str | None = None) -> DataFrame:
     """Raw review files, with ``source_row`` holding each row's place.
 
     CSV columns are read as text; spellings of "missing" become null.  A quoted
     field may span lines, so such a file is read by one task: provide many
     files, or pass ``multi_line=False`` where texts hold no line breaks and the
-    files may be split.  Either way, land the result in Parquet once.
+    files may be split.  Either way, land the result in Parquet once.  CSV files
+    read together must have the same header; where one differs, reading fails.
+    ``schema`` saves other formats a pass to find theirs.
     """
     if file_format == "csv":
-        raw = spark.read.csv(path, header=True, multiLine=multi_line, escape='"', inferSchema=False)
+        raw = spark.read.csv(path, header=True, multiLine=multi_line, escape='"', inferSchema=False, enforceSchema=False)
     elif file_format in ("parquet", "orc", "json"):
-        raw = spark.read.format(file_format).load(path)
+        reader = spark.read.format(file_format)
+        raw = (reader.schema(schema) if schema else reader).load(path)
     else:
         raise ValueError(f"unsupported file format {file_format!r}")
     names = [_quoted(c) for c in raw.columns if c != "source_row"]
@@ -39,14 +43,9 @@ def read_raw(spark: SparkSession, path: str | Sequence[str], file_format: str =
     return raw.selectExpr(*values, f"{place} AS source_row")
 
 
-def spread(df: DataFrame, key: str) -> DataFrame:
-    """Use all cores on input that comes in fewer splits than there are cores.
-
-    Matching is heavy per row, so moving a small input once pays off.  Input of
-    any size has more splits than cores and is left where it is.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
+def spread(df: DataFrame, key: str, partitions: int | None = None) -> DataFrame:
+    """Deal a small input out to so many tasks before heavy work on each row; off unless the caller asks."""
+    return df.repartition(partitions, key) if partitions else df
 
 
 def _quoted(column: str) -> str:
