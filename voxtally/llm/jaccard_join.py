@@ -11,10 +11,11 @@ if the prefixes are one token longer.  So
 The boundary is the one of least estimated cost, from the sizes of all sets and the length of their lists.
 
 Groups of near copies would give a number of pairs that grows with the square of the group.  Only groups are asked for, so
-pairs are tried in two rounds: first each set with its neighbour in size and with the smallest of each list, which
-connects most of a group; then all pairs of each list that are not connected yet, so no link between different
-groups is lost.  Size, a parity bitmap of the sets and the number of lists in which they meet rule out pairs without looking at texts, and never a
-similar one.  What remains is compared token by token.
+pairs are tried in rounds: first each set with its neighbour in size and with the smallest of each list, which connects
+most of a group; then the nearest of other groups in each list, one pair for two groups; at last all pairs of each list
+that are not connected yet, so no link between different groups is lost.  Size, parity bitmaps of the sets and the number
+of lists in which they meet rule out pairs without looking at texts, and never a similar one.  What remains is compared
+token by token.
 """
 
 from __future__ import annotations
@@ -37,11 +38,15 @@ _BLOCK = 1 << 12
 CANDIDATE_COST = 20
 #: A set that meets another in fewer lists than this part of its size is not tried with it first.
 FEW_MEETINGS = 60
+#: Rounds that join groups by their nearest members before all pairs of different groups are tried.
+JOINING_ROUNDS = 2
+#: Words of 64 bits of the wider bitmaps, which are looked at once for each pair.
+WIDE = 32
 #: Largest size of a light set.
 MOST_LIGHT = 64
 
 PROFILE = "doc_id long, n long, digest binary, least long, block int, counts binary"
-SIGNATURE = "doc_id long, n int, bits array<long>, tokens array<long>, subsets array<long>"
+SIGNATURE = "doc_id long, n int, bits array<long>, wide array<long>, tokens array<long>, subsets array<long>"
 
 
 def _sets(texts: list[bytes], k: int) -> Iterator[np.ndarray]:
@@ -55,6 +60,12 @@ def prefix_length(n: int, percent: int) -> int:
     return n - -(-percent * n // 100) + 1
 
 
+def _parities(values: np.ndarray, words: int) -> np.ndarray:
+    """A bitmap of ``words`` 64-bit words in which every value flips one bit."""
+    at = (values & np.uint64(64 * words - 1)).astype(np.int64)
+    return np.packbits((np.bincount(at, minlength=64 * words) & 1).astype(np.uint8)).view(np.int64)
+
+
 def _slots(tokens: np.ndarray) -> np.ndarray:
     return (tokens >> np.uint64(64 - SLOT_BITS)).astype(np.int64)
 
@@ -127,7 +138,7 @@ def light_boundary(sizes: dict[int, int], list_length: float, percent: int) -> i
 
 
 def signatures(documents: DataFrame, k: int, percent: int, boundary: int, slots: np.ndarray, counts: np.ndarray) -> DataFrame:
-    """Size, parity bitmap, prefix tokens (of heavy sets and of light ones that may meet them) and subsets (of light sets)."""
+    """Size, parity bitmaps, prefix tokens (of heavy sets and of light ones that may meet them) and subsets (of light sets)."""
     spark = documents.sparkSession
     shared = spark.sparkContext.broadcast((slots, counts))
 
@@ -135,7 +146,7 @@ def signatures(documents: DataFrame, k: int, percent: int, boundary: int, slots:
         weights = np.zeros(1 << SLOT_BITS, np.int64)
         weights[shared.value[0]] = shared.value[1]
         for batch in batches:
-            sizes, bits, heads, subsets = [], [], [], []
+            sizes, bits, wide, heads, subsets = [], [], [], [], []
             for tokens in _sets(text_bytes(batch.column("text")), k):
                 n = len(tokens)
                 p = prefix_length(n, percent)
@@ -143,7 +154,8 @@ def signatures(documents: DataFrame, k: int, percent: int, boundary: int, slots:
                 if weight.any():
                     tokens = tokens[np.lexsort((tokens, weight))]
                 sizes.append(n)
-                bits.append(np.packbits((np.bincount((tokens & np.uint64(255)).astype(np.int64), minlength=256) & 1).astype(np.uint8)).view(np.int64))
+                bits.append(_parities(tokens, 4))
+                wide.append(_parities(tokens >> np.uint64(8), WIDE))
                 heads.append(tokens[:p].view(np.int64) if 100 * n >= percent * boundary else [])
                 if 2 <= n < boundary:
                     head = tokens[: p + 1]
@@ -154,8 +166,8 @@ def signatures(documents: DataFrame, k: int, percent: int, boundary: int, slots:
                     subsets.append([])
             longs = pa.list_(pa.int64())
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(sizes, pa.int32()), pa.array(bits, longs), pa.array(heads, longs), pa.array(subsets, longs)],
-                ["doc_id", "n", "bits", "tokens", "subsets"],
+                [batch.column("doc_id"), pa.array(sizes, pa.int32()), *(pa.array(c, longs) for c in (bits, wide, heads, subsets))],
+                ["doc_id", "n", "bits", "wide", "tokens", "subsets"],
             )
 
     return map_batches(whole_documents(documents), work, SIGNATURE)
@@ -172,30 +184,43 @@ def token_sets(documents: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
     return map_batches(whole_documents(documents).join(wanted, "doc_id", "left_semi"), work, "doc_id long, tokens array<long>")
 
 
+def _apart(x: str, y: str) -> str:
+    return " + ".join(f"bit_count({x}.bits[{i}] ^ {y}.bits[{i}])" for i in range(4))
+
+
+def _most_apart(x: str, y: str, percent: int) -> str:
+    """SQL: as many tokens in one of two sets only as their similarity allows."""
+    return f"{x}.n + {y}.n - 2 * {_least_shared(x, y, percent)}"
+
+
 def _may_be_similar(x: str, y: str, percent: int) -> str:
     """SQL: sizes and bitmaps allow the similarity.  Tokens in one set only flip a bit each, so the bitmaps differ in no more
     bits than there are such tokens."""
-    differing = " + ".join(f"bit_count({x}.bits[{i}] ^ {y}.bits[{i}])" for i in range(4))
-    return (
-        f"100 * least({x}.n, {y}.n) >= {percent} * greatest({x}.n, {y}.n)"
-        f" and {differing} <= {x}.n + {y}.n - 2 * {_least_shared(x, y, percent)}"
-    )
+    return f"100 * least({x}.n, {y}.n) >= {percent} * greatest({x}.n, {y}.n) and {_apart(x, y)} <= {_most_apart(x, y, percent)}"
 
 
 def _least_shared(x: str, y: str, percent: int) -> str:
     return f"(({percent} * ({x}.n + {y}.n) + {99 + percent}) div {100 + percent})"
 
 
-def _compare(pairs: DataFrame, documents: DataFrame, scratch: Scratch, k: int, percent: int) -> DataFrame:
+def _compare(pairs: DataFrame, signed: DataFrame, documents: DataFrame, scratch: Scratch, k: int, percent: int) -> DataFrame:
     """The pairs (``a``, ``b``) whose sets are similar."""
+    wide = signed.select("doc_id", F.struct("n", "wide").alias("w"))
+    apart = "aggregate(zip_with(x.wide, y.wide, (p, q) -> bit_count(p ^ q)), 0, (s, c) -> s + c)"
+    pairs = (
+        pairs.join(wide.select(F.col("doc_id").alias("a"), F.col("w").alias("x")), "a")
+        .join(wide.select(F.col("doc_id").alias("b"), F.col("w").alias("y")), "b")
+        .where(f"{apart} <= {_most_apart('x', 'y', percent)}").select("a", "b")
+    )
     pairs = scratch.land(pairs, "pairs")
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
+    # A written table has a known size: texts stay where they are as long as the planner can broadcast the ids.
+    wanted = scratch.land(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), "wanted")
     sets = scratch.land(token_sets(documents, wanted, k), "sets")
     left = sets.select(F.col("doc_id").alias("a"), F.col("tokens").alias("x"))
     right = sets.select(F.col("doc_id").alias("b"), F.col("tokens").alias("y"))
     both = pairs.join(left, "a").join(right, "b").select("a", "b", F.size(F.array_intersect("x", "y")).alias("shared"), (F.size("x") + F.size("y")).alias("sizes"))
     found = scratch.land(both.where(f"100 * shared >= {percent} * (sizes - shared)").select("a", "b").distinct(), "links")
-    scratch.drop(pairs, sets)
+    scratch.drop(pairs, wanted, sets)
     return found
 
 
@@ -224,35 +249,61 @@ def groups(documents: DataFrame, k: int = 4, percent: int = 85) -> DataFrame:
         "doc_id", "n",
         F.explode(F.expr("concat(transform(tokens, (t, i) -> struct(t as key, i as pos)), transform(subsets, t -> struct(t as key, -1 as pos)))")).alias("e"),
     ).select("doc_id", "n", "e.key", "e.pos")
-    ordered = Window.partitionBy("key", "is_subset").orderBy("n", "doc_id")
+    same_list = Window.partitionBy("key", "is_subset")
+    ordered = same_list.orderBy("n", "doc_id")
     lists = keyed.withColumn("is_subset", F.col("pos") < 0).select(
-        "key", "pos", "doc_id", "n", F.lag("doc_id").over(ordered).alias("previous"), F.first("doc_id").over(ordered).alias("smallest"), F.lead("doc_id").over(ordered).alias("following"),
+        "key", "is_subset", "doc_id", "n", F.lag("doc_id").over(ordered).alias("previous"), F.first("doc_id").over(ordered).alias("smallest"), F.lead("doc_id").over(ordered).alias("following"),
     ).where("previous is not null or following is not null")
     lists = scratch.land(lists.drop("following"), "lists")
-
-    # First round: neighbours and the smallest, the likeliest two of each set.
     bitmaps = signed.select("doc_id", "n", "bits")
-    tried = lists.where(f"pos < 0 or n >= {boundary}").select(F.col("doc_id").alias("b"), F.explode(F.array_distinct(F.array("previous", "smallest"))).alias("a"))
-    tried = tried.where("a is not null and a <> b").groupBy("a", "b").agg(F.count(F.lit(1)).alias("met"))
-    near = (
-        tried.join(bitmaps.select(F.col("doc_id").alias("a"), F.struct("n", "bits").alias("x")), "a")
-        .join(bitmaps.select(F.col("doc_id").alias("b"), F.struct("n", "bits").alias("y")), "b")
-        # Which pairs are tried first is free to choose: those that meet in many lists.
-        .where(f"(y.n < {boundary} or {FEW_MEETINGS} * met >= y.n) and {_may_be_similar('x', 'y', percent)}")
-        .select("a", "b", F.expr(" + ".join(f"bit_count(x.bits[{i}] ^ y.bits[{i}])" for i in range(4))).alias("apart"))
-    )
-    likeliest = Window.partitionBy("b").orderBy("apart", "a")
-    first = _compare(near.withColumn("place", F.row_number().over(likeliest)).where("place <= 2").select("a", "b").distinct(), documents, scratch, k, percent)
-    joined = scratch.land(components(first, scratch), "components")
-
-    # Second round: whatever a list holds of different groups.
-    placed = lists.join(joined, lists["doc_id"] == joined["node"], "left").select("key", "pos", "doc_id", "n", F.coalesce("root", "doc_id").alias("root"))
-    mixed = placed.groupBy("key", (F.col("pos") < 0).alias("is_subset")).agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high").select("key", "is_subset")
-    open_lists = (
-        placed.withColumn("is_subset", F.col("pos") < 0).join(mixed, ["key", "is_subset"], "left_semi")
-        .join(bitmaps.select("doc_id", "bits"), "doc_id")
-    )
-    open_lists = scratch.land(open_lists, "open_lists")
+    tokens_or_heavy = f"is_subset or n >= {boundary}"
+
+    def nearest(tried: DataFrame) -> DataFrame:
+        """The two likeliest partners of each set.  Which pairs are tried first is free to choose: those that meet in many lists."""
+        near = (
+            tried.groupBy("a", "b").agg(F.count(F.lit(1)).alias("met"), F.first("groups").alias("groups"))
+            .join(bitmaps.select(F.col("doc_id").alias("a"), F.struct("n", "bits").alias("x")), "a")
+            .join(bitmaps.select(F.col("doc_id").alias("b"), F.struct("n", "bits").alias("y")), "b")
+            .where(f"(y.n < {boundary} or {FEW_MEETINGS} * met >= y.n) and {_may_be_similar('x', 'y', percent)}")
+            .select("a", "b", "groups", F.expr(_apart("x", "y")).alias("apart"))
+        )
+        likeliest = Window.partitionBy("b").orderBy("apart", "a")
+        return near.withColumn("place", F.row_number().over(likeliest)).where("place <= 2")
+
+    # First round: neighbours and the smallest.
+    tried = lists.where(tokens_or_heavy).select(F.col("doc_id").alias("b"), F.explode(F.array_distinct(F.array("previous", "smallest"))).alias("a"), F.lit(None).cast("array<long>").alias("groups"))
+    first = nearest(tried.where("a is not null and a <> b")).select("a", "b").distinct()
+    joined = scratch.land(components(_compare(first, signed, documents, scratch, k, percent), scratch), "components")
+
+    def still_open(before: DataFrame) -> DataFrame:
+        """Lists that hold different groups; ``other`` is the nearest smaller set of another group, ``smallest`` the first one."""
+        placed = before.select("key", "is_subset", "doc_id", "n").join(joined.withColumnRenamed("node", "doc_id"), "doc_id", "left").withColumn("root", F.coalesce("root", "doc_id"))
+        member = F.struct("doc_id", "root")
+        ranked = placed.select(
+            "key", "is_subset", "doc_id", "n", "root", F.min("root").over(same_list).alias("low"), F.max("root").over(same_list).alias("high"),
+            F.lag(member).over(ordered).alias("previous"), F.first(member).over(ordered).alias("smallest"),
+        ).where("low < high")
+        change = F.expr("case when previous.root <> root then previous end")
+        return scratch.land(ranked.withColumn("other", F.last(change, ignorenulls=True).over(ordered)).drop("low", "high", "previous"), "open_lists")
+
+    # Joining rounds: for two groups that meet, the likeliest pair.
+    open_lists = still_open(lists)
+    for _ in range(JOINING_ROUNDS):
+        tried = (
+            open_lists.where(tokens_or_heavy)
+            .select("root", F.col("doc_id").alias("b"), F.explode(F.array_distinct(F.array("other", "smallest"))).alias("other"))
+            .where("other.root <> root")
+            .select("b", F.col("other.doc_id").alias("a"), F.array_sort(F.array("root", "other.root")).alias("groups"))
+        )
+        likeliest = nearest(tried).groupBy("groups").agg(F.min(F.struct("apart", "a", "b")).alias("pair")).select("pair.a", "pair.b")
+        found = _compare(likeliest, signed, documents, scratch, k, percent)
+        joined = scratch.land(components(joined.select(F.col("node").alias("a"), F.col("root").alias("b")).unionAll(found), scratch), "components")
+        before, open_lists = open_lists, still_open(open_lists)
+        scratch.drop(before)
+
+    # Last round: whatever a list holds of different groups.
+    before, open_lists = open_lists, scratch.land(open_lists.drop("other", "smallest").join(bitmaps.select("doc_id", "bits"), "doc_id"), "open_lists")
+    scratch.drop(before)
     meetings = open_lists.alias("x").join(
         open_lists.alias("y"),
         F.expr(
@@ -267,8 +318,8 @@ def groups(documents: DataFrame, k: int = 4, percent: int = 85) -> DataFrame:
         .where(f"is_subset or met + greatest({behind('p')}, {behind('q')}) >= (({percent} * (p + q) + {99 + percent}) div {100 + percent})")
         .select("a", "b").distinct()
     )
-    second = _compare(rest, documents, scratch, k, percent)
-    final = components(joined.select(F.col("node").alias("a"), F.col("root").alias("b")).unionAll(second), scratch)
+    last = _compare(rest, signed, documents, scratch, k, percent)
+    final = components(joined.select(F.col("node").alias("a"), F.col("root").alias("b")).unionAll(last), scratch)
 
     members = rows.select("doc_id", "n", "digest").join(classes.select("digest", "representative"), "digest", "left")
     named = members.join(final.withColumnRenamed("node", "representative"), "representative", "left")
