@@ -40,6 +40,8 @@ CANDIDATE_COST = 20
 FEW_MEETINGS = 60
 #: Rounds that join groups by their nearest members before all pairs of different groups are tried.
 JOINING_ROUNDS = 2
+#: Partners of a set whose wider bitmaps are looked at in a joining round.
+LOOKED_AT = 8
 #: Words of 64 bits of the wider bitmaps, which are looked at once for each pair.
 WIDE = 32
 #: Largest size of a light set.
@@ -203,16 +205,20 @@ def _least_shared(x: str, y: str, percent: int) -> str:
     return f"(({percent} * ({x}.n + {y}.n) + {99 + percent}) div {100 + percent})"
 
 
-def _compare(pairs: DataFrame, signed: DataFrame, documents: DataFrame, scratch: Scratch, k: int, percent: int) -> DataFrame:
-    """The pairs (``a``, ``b``) whose sets are similar."""
+def _not_ruled_out(pairs: DataFrame, signed: DataFrame, percent: int) -> DataFrame:
+    """Pairs (``a``, ``b``, other columns) that the wider bitmaps allow, and in how many bits those differ (``apart``)."""
     wide = signed.select("doc_id", F.struct("n", "wide").alias("w"))
-    apart = "aggregate(zip_with(x.wide, y.wide, (p, q) -> bit_count(p ^ q)), 0, (s, c) -> s + c)"
-    pairs = (
+    return (
         pairs.join(wide.select(F.col("doc_id").alias("a"), F.col("w").alias("x")), "a")
         .join(wide.select(F.col("doc_id").alias("b"), F.col("w").alias("y")), "b")
-        .where(f"{apart} <= {_most_apart('x', 'y', percent)}").select("a", "b")
+        .withColumn("apart", F.expr("aggregate(zip_with(x.wide, y.wide, (p, q) -> bit_count(p ^ q)), 0, (s, c) -> s + c)"))
+        .where(f"apart <= {_most_apart('x', 'y', percent)}").drop("x", "y")
     )
-    pairs = scratch.land(pairs, "pairs")
+
+
+def _compare(pairs: DataFrame, documents: DataFrame, scratch: Scratch, k: int, percent: int) -> DataFrame:
+    """The pairs (``a``, ``b``) whose sets are similar."""
+    pairs = scratch.land(pairs.select("a", "b"), "pairs")
     # A written table has a known size: texts stay where they are as long as the planner can broadcast the ids.
     wanted = scratch.land(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), "wanted")
     sets = scratch.land(token_sets(documents, wanted, k), "sets")
@@ -258,22 +264,23 @@ def groups(documents: DataFrame, k: int = 4, percent: int = 85) -> DataFrame:
     bitmaps = signed.select("doc_id", "n", "bits")
     tokens_or_heavy = f"is_subset or n >= {boundary}"
 
-    def nearest(tried: DataFrame) -> DataFrame:
-        """The two likeliest partners of each set.  Which pairs are tried first is free to choose: those that meet in many lists."""
+    def nearest(tried: DataFrame, fewest: str, most: int) -> DataFrame:
+        """The likeliest partners of each set by the narrow bitmaps.  Which pairs are tried first is free to choose."""
         near = (
             tried.groupBy("a", "b").agg(F.count(F.lit(1)).alias("met"), F.first("groups").alias("groups"))
             .join(bitmaps.select(F.col("doc_id").alias("a"), F.struct("n", "bits").alias("x")), "a")
             .join(bitmaps.select(F.col("doc_id").alias("b"), F.struct("n", "bits").alias("y")), "b")
-            .where(f"(y.n < {boundary} or {FEW_MEETINGS} * met >= y.n) and {_may_be_similar('x', 'y', percent)}")
+            .where(f"{fewest} and {_may_be_similar('x', 'y', percent)}")
             .select("a", "b", "groups", F.expr(_apart("x", "y")).alias("apart"))
         )
         likeliest = Window.partitionBy("b").orderBy("apart", "a")
-        return near.withColumn("place", F.row_number().over(likeliest)).where("place <= 2")
+        return near.withColumn("place", F.row_number().over(likeliest)).where(f"place <= {most}").drop("apart", "place")
 
     # First round: neighbours and the smallest.
     tried = lists.where(tokens_or_heavy).select(F.col("doc_id").alias("b"), F.explode(F.array_distinct(F.array("previous", "smallest"))).alias("a"), F.lit(None).cast("array<long>").alias("groups"))
-    first = nearest(tried.where("a is not null and a <> b")).select("a", "b").distinct()
-    joined = scratch.land(components(_compare(first, signed, documents, scratch, k, percent), scratch), "components")
+    often = f"(y.n < {boundary} or {FEW_MEETINGS} * met >= y.n)"
+    first = _not_ruled_out(nearest(tried.where("a is not null and a <> b"), often, 2), signed, percent)
+    joined = scratch.land(components(_compare(first, documents, scratch, k, percent), scratch), "components")
 
     def still_open(before: DataFrame) -> DataFrame:
         """Lists that hold different groups; ``other`` is the nearest smaller set of another group, ``smallest`` the first one."""
@@ -295,8 +302,11 @@ def groups(documents: DataFrame, k: int = 4, percent: int = 85) -> DataFrame:
             .where("other.root <> root")
             .select("b", F.col("other.doc_id").alias("a"), F.array_sort(F.array("root", "other.root")).alias("groups"))
         )
-        likeliest = nearest(tried).groupBy("groups").agg(F.min(F.struct("apart", "a", "b")).alias("pair")).select("pair.a", "pair.b")
-        found = _compare(likeliest, signed, documents, scratch, k, percent)
+        closest = Window.partitionBy("b").orderBy("apart", "a")
+        allowed = _not_ruled_out(nearest(tried, "true", LOOKED_AT), signed, percent)
+        own = allowed.withColumn("place", F.row_number().over(closest)).where("place <= 2")
+        likeliest = own.groupBy("groups").agg(F.min(F.struct("apart", "a", "b")).alias("pair")).select("pair.a", "pair.b")
+        found = _compare(likeliest, documents, scratch, k, percent)
         joined = scratch.land(components(joined.select(F.col("node").alias("a"), F.col("root").alias("b")).unionAll(found), scratch), "components")
         before, open_lists = open_lists, still_open(open_lists)
         scratch.drop(before)
@@ -318,7 +328,7 @@ def groups(documents: DataFrame, k: int = 4, percent: int = 85) -> DataFrame:
         .where(f"is_subset or met + greatest({behind('p')}, {behind('q')}) >= (({percent} * (p + q) + {99 + percent}) div {100 + percent})")
         .select("a", "b").distinct()
     )
-    last = _compare(rest, signed, documents, scratch, k, percent)
+    last = _compare(_not_ruled_out(rest, signed, percent), documents, scratch, k, percent)
     final = components(joined.select(F.col("node").alias("a"), F.col("root").alias("b")).unionAll(last), scratch)
 
     members = rows.select("doc_id", "n", "digest").join(classes.select("digest", "representative"), "digest", "left")
