@@ -111,6 +111,7 @@ def test_crosstabs(scored):
     assert quant.theme_rows(scored).count() == 9
     pivot = {r[0]: r[1:] for r in rows(kpis.recommendation_pivot(scored), "theme", "yes_share_pct", "no_share_pct")}
     assert pivot[CANCEL] == (0.0, 100.0) and pivot[BAG] == (33.33, 33.33)
+    assert len(pivot) == 12 and (0.0, 0.0) in pivot.values()  # themes that no review has are there
 
 
 def test_pairs_keep_focus_pairs_at_zero(scored):
@@ -166,8 +167,8 @@ def test_quotes_order_and_distinct_excerpts(spark):
 
 
 def test_quotes_behind_many_copies_are_found(spark):
-    """A third of all rows share one excerpt and fill the front: the probe cannot settle the theme."""
+    """A third of all rows share one excerpt and fill the front."""
     copies = [(f"c{i:03d}", False, 320, None, "x" * 300) for i in range(200)]
     others = [(f"o{i:03d}", False, 400 + i, None, f"text {i}") for i in range(400)]
-    found = rows(themes.theme_quotes(quotes_frame(spark, copies + others), 3, probe=16), "quote_rank", "review_id")
+    found = rows(themes.theme_quotes(quotes_frame(spark, copies + others), 3), "quote_rank", "review_id")
     assert found == [(1, "c000"), (2, "o000"), (3, "o001")]

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -9,7 +11,7 @@ from voxtally.functions.literals import sql_array, sql_let
 from voxtally.functions.text import aliased, excerpt, share_pct, strip, with_exprs
 from voxtally.operators import quant
 from voxtally.operators.sentiment import sentiment_by_theme
-from voxtally.operators.themes import first_quotes, match_text
+from voxtally.operators.themes import first_quotes, match_text, theme_table
 from voxtally.rules import DEFAULT_RULES, RuleSet
 
 REPORT_CHARS = 190
@@ -67,13 +69,16 @@ def rating_buckets(scored: DataFrame) -> DataFrame:
     return scored.agg(*aliased({**buckets, "rated_total": "count(rating)"}))
 
 
-def recommendation_pivot(scored: DataFrame) -> DataFrame:
-    """Share of yes and no per theme, 0 where nobody said so."""
+def recommendation_pivot(scored: DataFrame, rules: RuleSet = DEFAULT_RULES) -> DataFrame:
+    """Share of yes and no per theme, unused themes included, 0 where nobody said so."""
     def share(answer: str) -> str:
         return f"coalesce(max(share_within_theme_pct) FILTER (WHERE recommendation = '{answer}'), 0D)"
 
-    return (quant.theme_vs_recommendation(scored).groupBy("theme")
-            .agg(*aliased({"yes_share_pct": share("yes"), "no_share_pct": share("no")})).orderBy("theme"))
+    answers = quant.theme_vs_recommendation(scored).groupBy("theme").agg(
+        *aliased({"yes_share_pct": share("yes"), "no_share_pct": share("no")}))
+    # no more rows than themes on either side
+    return (theme_table(scored, rules).select("theme").join(answers, "theme", "left")
+            .select("theme", *aliased({n: f"coalesce({n}, 0D)" for n in ("yes_share_pct", "no_share_pct")})).orderBy("theme"))
 
 
 def recovery_signals(scored: DataFrame, rules: RuleSet = DEFAULT_RULES) -> DataFrame:
@@ -90,25 +95,31 @@ def lead_quotes(coded: DataFrame, rules: RuleSet = DEFAULT_RULES) -> DataFrame:
     return first_quotes(coded, rules).selectExpr("theme", "review_id", "airline", short)
 
 
-def headline_lists(scored: DataFrame, rules: RuleSet = DEFAULT_RULES) -> DataFrame:
+#: Entries of each headline list.
+LIST_LENGTHS = {"top_themes": 5, "top_negative_themes": 5, "top_negative_phrases": 10, "top_pairs": 5, "leading_pairs": 5}
+
+
+def headline_lists(scored: DataFrame, rules: RuleSet = DEFAULT_RULES, lengths: Mapping[str, int] | None = None) -> DataFrame:
     """The short lists a report opens with, as ``(list_name, position, label, count, share_pct)``.
 
+    ``lengths`` replaces single entries of :data:`LIST_LENGTHS`.
     All lists come from one pass over the reviews, see :func:`_tally`.
     """
     of_reviews, of_negative = share_pct("n", "reviews"), share_pct("n", "negative_reviews")
     negative_share = share_pct("negative", "n")
     # points are hundredths; a theme without reviews sorts last
     mean = "coalesce(bround(try_divide(points, n) / 100D, 2), double('Infinity'))"
-    lists = [  # name, kind of row, length, share shown; then descending, ascending, descending sort values
-        ("top_themes", "theme", 5, of_reviews, "n", "0", "0"),
-        ("top_negative_themes", "theme", 5, negative_share, negative_share, mean, "n"),
-        ("top_negative_phrases", "term", 10, of_negative, "n", "0", "0"),
-        ("top_pairs", "pair", 5, of_reviews, "n", "0", "0"),
-        ("leading_pairs", "pair", 5, of_reviews, "int(focus)", "0", "n"),
+    longest = {**LIST_LENGTHS, **(lengths or {})}
+    lists = [  # name, kind of row, share shown; then descending, ascending, descending sort values
+        ("top_themes", "theme", of_reviews, "n", "0", "0"),
+        ("top_negative_themes", "theme", negative_share, negative_share, mean, "n"),
+        ("top_negative_phrases", "term", of_negative, "n", "0", "0"),
+        ("top_pairs", "pair", of_reviews, "n", "0", "0"),
+        ("leading_pairs", "pair", of_reviews, "int(focus)", "0", "n"),
     ]
-    entries = ", ".join(f"""CASE WHEN kind = '{kind}' THEN named_struct('list_name', '{name}', 'length', {length},
+    entries = ", ".join(f"""CASE WHEN kind = '{kind}' THEN named_struct('list_name', '{name}', 'length', {int(longest[name])},
         'share_pct', {share}, 'by_1', double({first}), 'by_2', double({second}), 'by_3', double({third})) END"""
-                        for name, kind, length, share, first, second, third in lists)
+                        for name, kind, share, first, second, third in lists)
     listed = _tally(scored, rules).selectExpr(
         f"inline(filter(array({entries}), entry -> entry IS NOT NULL))", "label", "n AS count")
     rank = F.expr("row_number() OVER (PARTITION BY list_name ORDER BY by_1 DESC, by_2, by_3 DESC, label)")

@@ -45,12 +45,17 @@ def seeded_phrases(scored: DataFrame, rules: RuleSet = DEFAULT_RULES, limit: int
         "'seeded_phrase_count' AS source").orderBy(F.desc("count"), "term").limit(limit)
 
 
+#: From so many reviews on, a term of the n-gram table occurs in so many of them.
+LEAST_REVIEWS = ((500, 3), (100, 2))
+
+
 def ngram_frequency(reviews: DataFrame, stop_words: Sequence[str] = DEFAULT_STOP_WORDS,
-                    limit: int = TOP_TERMS) -> DataFrame:
+                    limit: int = TOP_TERMS, least_reviews: Sequence[tuple[int, int]] = LEAST_REVIEWS) -> DataFrame:
     """Most frequent words and word pairs, stop words and one-letter words removed first.
 
-    A term has to occur in at least 3 reviews, or 2 below 500 reviews, or 1
-    below 100.  One pass counts everything: a review emits each term once per
+    A term has to occur in as many reviews as the first entry ``(reviews,
+    least)`` of ``least_reviews`` says that the number of reviews reaches, or
+    else in one.  One pass counts everything: a review emits each term once per
     occurrence, each different term once, and one row without a term that
     counts the review.  Only that row has no occurrences.
     """
@@ -71,7 +76,7 @@ def ngram_frequency(reviews: DataFrame, stop_words: Sequence[str] = DEFAULT_STOP
         *aliased({"count": "sum(occurrences)", "documents": "sum(documents)"}))
     # Both uses of the counts read the same columns, so they share one shuffle.
     least = counts.agg(F.expr("max(IF(count = 0, documents, NULL))").alias("n")).selectExpr(
-        "CASE WHEN n >= 500 THEN 3 WHEN n >= 100 THEN 2 ELSE 1 END").scalar()
+        f"CASE {' '.join(f'WHEN n >= {int(n)} THEN {int(k)}' for n, k in (*least_reviews, (0, 1)))} ELSE 1 END").scalar()
     return (counts.where(F.expr("count > 0") & (F.col("documents") >= least)).select("term", "count")
             .orderBy(F.desc("count"), "term").limit(limit))
 

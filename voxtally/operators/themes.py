@@ -9,7 +9,6 @@ from voxtally.functions import match
 from voxtally.functions.literals import sql_array, sql_arrays, sql_let, sql_string
 from voxtally.functions.text import aliased, excerpt, normalize_words, share_pct, with_exprs
 from voxtally.rules import DEFAULT_RULES, RuleSet
-from voxtally.sources.sinks import land
 
 UNCLASSIFIED = "unclassified"
 QUOTE_CHARS = 280
@@ -130,6 +129,9 @@ def first_rows(df: DataFrame, key: str, order: str, n: int) -> DataFrame:
 
 # The last three only matter between equal identifiers.
 _QUOTE_ORDER = "is_synthetic, distance, review_date DESC NULLS LAST, review_id, airline, source, rating"
+# The same order as a value that has a minimum.
+_QUOTE_RANK = ("struct(is_synthetic, distance, coalesce(-unix_date(date(review_date)), int(2147483647)) AS recency, review_id, "
+               "airline, source, rating, review_date)")
 
 
 def add_quote_excerpt(df: DataFrame) -> DataFrame:
@@ -145,11 +147,6 @@ def _quote_candidates(coded: DataFrame, max_chars: int) -> DataFrame:
         f"abs(text_length - {_QUOTE_LENGTH}) AS distance", f"{quote} AS quote_excerpt")
 
 
-def _distinct_quotes(candidates: DataFrame, n: int) -> DataFrame:
-    copy = F.expr(f"row_number() OVER (PARTITION BY theme, quote_excerpt ORDER BY {_QUOTE_ORDER})")
-    return first_rows(candidates.withColumn("_copy", copy).where("_copy = 1").drop("_copy"), "theme", _QUOTE_ORDER, n)
-
-
 def _ranked_quotes(quotes: DataFrame, rules: RuleSet) -> DataFrame:
     return quotes.selectExpr(
         "theme", f"row_number() OVER (PARTITION BY theme ORDER BY {_QUOTE_ORDER}) AS quote_rank", "review_id", "airline",
@@ -164,28 +161,13 @@ def first_quotes(coded: DataFrame, rules: RuleSet = DEFAULT_RULES, max_chars: in
 
 
 def theme_quotes(coded: DataFrame, per_theme_limit: int = 3, rules: RuleSet = DEFAULT_RULES,
-                 max_chars: int = QUOTE_CHARS, probe: int = 64) -> DataFrame:
+                 max_chars: int = QUOTE_CHARS) -> DataFrame:
     """The best ``per_theme_limit`` quotes per theme, with distinct excerpts.
 
     Public reviews come first, then lengths near 320 characters, then recent
-    dates.  Finding distinct excerpts by grouping would shuffle every coded
-    review.  Instead the first ``probe`` rows per theme are fetched, which
-    shuffles next to nothing; they settle a theme when they hold enough
-    different excerpts or are all its rows.  Themes left open, because copies
-    of one text fill the front, are ranked over all their rows.
-
-    Runs a job when called: the probe, at most ``probe`` rows per theme, is
-    written to the shared folder so that the plan behind it runs once.
+    dates.  Copies of an excerpt are reduced to the best before the shuffle,
+    which carries excerpts but never whole texts.
     """
-    candidates = _quote_candidates(coded, max_chars)
-    probe = max(probe, per_theme_limit)
-    near = land(first_rows(candidates, "theme", _QUOTE_ORDER, probe), "quote_candidates")
-    found = near.groupBy("theme").agg(*aliased({"n": "count(1)", "excerpts": "count(DISTINCT quote_excerpt)"}))
-    # no more rows than themes
-    unsettled = [row.theme for row in found.where(f"n >= {probe} AND excerpts < {per_theme_limit}").collect()]
-    if not unsettled:
-        return _ranked_quotes(_distinct_quotes(near, per_theme_limit), rules)
-    is_open = F.col("theme").isin(*unsettled)
-    quotes = _distinct_quotes(near.where(~is_open), per_theme_limit).unionByName(
-        _distinct_quotes(candidates.where(is_open), per_theme_limit))
-    return _ranked_quotes(quotes, rules)
+    best = _quote_candidates(coded, max_chars).groupBy("theme", "quote_excerpt").agg(F.expr(f"min({_QUOTE_RANK}) AS quote"))
+    quotes = best.selectExpr("theme", "quote_excerpt", "quote.*")
+    return _ranked_quotes(first_rows(quotes, "theme", _QUOTE_ORDER, per_theme_limit), rules)

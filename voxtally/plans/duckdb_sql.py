@@ -488,10 +488,11 @@ def build(rules: RuleSet = DEFAULT_RULES) -> dict[str, str]:
         "rating_buckets": f"""{CLEANED} SELECT count(*) FILTER (WHERE rating <= 2) AS low_rated,
             count(*) FILTER (WHERE rating = 3) AS medium_rated,
             count(*) FILTER (WHERE rating > 2 AND rating <> 3) AS high_rated, count(rating) AS rated_total FROM cleaned""",
-        "recommendation_pivot": f"""{recommendation} SELECT theme,
+        "recommendation_pivot": f"""{recommendation}, {themes} SELECT t.theme,
             coalesce(max(share_within_theme_pct) FILTER (WHERE recommendation = 'yes'), 0.0::DOUBLE) AS yes_share_pct,
             coalesce(max(share_within_theme_pct) FILTER (WHERE recommendation = 'no'), 0.0::DOUBLE) AS no_share_pct
-            FROM crosstab GROUP BY theme""",
+            FROM theme_list t LEFT JOIN crosstab ON crosstab.theme = t.theme
+            GROUP BY t.theme""",
         "recovery_signals": f"""{by_theme} SELECT theme, review_count, positive_count,
             {_pct('positive_count', 'review_count')} AS positive_share_pct FROM by_theme WHERE review_count > 0""",
         "lead_quotes": f"""{coded}{_quotes(1)} SELECT theme, review_id, airline,

@@ -62,7 +62,7 @@ SUMMARIES: dict[str, Callable[[DataFrame, RuleSet], DataFrame]] = {
     "disruption_counts": lambda scored, rules: kpis.disruption_counts(scored),
     "corpus_kpis": lambda scored, rules: kpis.corpus_kpis(scored),
     "rating_buckets": lambda scored, rules: kpis.rating_buckets(scored),
-    "recommendation_pivot": lambda scored, rules: kpis.recommendation_pivot(scored),
+    "recommendation_pivot": lambda scored, rules: kpis.recommendation_pivot(scored, rules),
     "recovery_signals": kpis.recovery_signals,
     "lead_quotes": kpis.lead_quotes,
     "headline_lists": kpis.headline_lists,
