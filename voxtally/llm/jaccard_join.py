@@ -39,7 +39,7 @@ CANDIDATE_COST = 20
 #: A set that meets another in fewer lists than this part of its size is not tried with it first.
 FEW_MEETINGS = 60
 #: Rounds that join groups by their nearest members before all pairs of different groups are tried.
-JOINING_ROUNDS = 2
+JOINING_ROUNDS = 1
 #: Partners of a set whose wider bitmaps are looked at in a joining round.
 LOOKED_AT = 8
 #: Words of 64 bits of the wider bitmaps, which are looked at once for each pair.
