@@ -151,6 +151,23 @@ def hashed_texts(texts: Sequence[bytes]) -> Iterator[np.ndarray]:
             yield hashes[bounds[i] : bounds[i + 1]]
 
 
+def shingled_texts(texts: Sequence[bytes], k: int) -> Iterator[np.ndarray]:
+    """The hashes of each text's runs of ``k`` words, in order; a shorter text is one run, an empty one none."""
+    for first, last in slices(texts):
+        hashes, starts, _ = word_hashes(b"\n".join(texts[first:last]))
+        begins = np.cumsum([0] + [len(t) + 1 for t in texts[first:last]])
+        bounds = np.searchsorted(starts, begins).tolist()
+        runs = shingle_hashes(hashes, k, whole_if_short=False)
+        for begin, end in zip(bounds, bounds[1:]):
+            yield runs[begin : end - k + 1] if end - begin >= k else shingle_hashes(hashes[begin:end], k)
+
+
+def different(values: np.ndarray) -> np.ndarray:
+    """The different values, sorted."""
+    values = np.sort(values)
+    return values[np.concatenate(([True], values[1:] != values[:-1]))] if len(values) else values
+
+
 def shingle_hashes(words: np.ndarray, k: int, whole_if_short: bool = True) -> np.ndarray:
     """Hashes of all runs of ``k`` words, repeats included; a shorter text is one run, an empty one none."""
     n = len(words)

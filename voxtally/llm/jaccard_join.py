@@ -28,12 +28,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from voxtally.llm.common import Scratch, hashed_texts, map_batches, mix, shingle_hashes, text_bytes, whole_documents
+from voxtally.llm.common import Scratch, different, map_batches, mix, shingled_texts, text_bytes, whole_documents
 from voxtally.llm.components import components
 
 #: Counters that find frequent tokens.  They only order tokens, so any number gives the same groups.
 SLOT_BITS = 20
 _BLOCK = 1 << 12
+_ONE = np.uint64(1)
 #: Cost of comparing a candidate, in written keys.
 CANDIDATE_COST = 20
 #: A set that meets another in fewer lists than this part of its size is not tried with it first.
@@ -48,13 +49,13 @@ WIDE = 32
 MOST_LIGHT = 64
 
 PROFILE = "doc_id long, n long, digest binary, least long, block int, counts binary"
-SIGNATURE = "doc_id long, n int, bits array<long>, wide array<long>, tokens array<long>, subsets array<long>"
+SIGNATURE = "doc_id long, n int, bits array<long>, wide array<long>, keys array<long>"
 
 
 def _sets(texts: list[bytes], k: int) -> Iterator[np.ndarray]:
     """The different n-grams of each text, as sorted hashes."""
-    for words in hashed_texts([t.lower() for t in texts]):
-        yield np.unique(shingle_hashes(words, k))
+    for shingles in shingled_texts([t.lower() for t in texts], k):
+        yield different(shingles)
 
 
 def prefix_length(n: int, percent: int) -> int:
@@ -77,13 +78,25 @@ def profile(documents: DataFrame, k: int) -> DataFrame:
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         slots = np.zeros(1 << SLOT_BITS, np.int32)
+        waiting: list[np.ndarray] = []
+
+        def count() -> None:
+            if waiting:
+                np.add(slots, np.bincount(np.concatenate(waiting), minlength=1 << SLOT_BITS), out=slots, casting="unsafe")
+                waiting.clear()
+
         for batch in batches:
-            sizes, digests, least = [], [], []
+            sizes, digests, least, many = [], [], [], 0
             for tokens in _sets(text_bytes(batch.column("text")), k):
                 sizes.append(len(tokens))
                 digests.append(hashlib.blake2b(tokens.tobytes(), digest_size=16).digest() if len(tokens) else None)
                 least.append(int(tokens[:1].view(np.int64)[0]) if len(tokens) else None)
-                np.add.at(slots, _slots(tokens), 1)
+                waiting.append(_slots(tokens))
+                many += len(tokens)
+                if many > 1 << SLOT_BITS:
+                    count()
+                    many = 0
+            count()
             n = len(batch)
             yield pa.RecordBatch.from_arrays([
                 batch.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(digests, pa.binary()), pa.array(least, pa.int64()), pa.nulls(n, pa.int32()),
@@ -140,7 +153,9 @@ def light_boundary(sizes: dict[int, int], list_length: float, percent: int) -> i
 
 
 def signatures(documents: DataFrame, k: int, percent: int, boundary: int, slots: np.ndarray, counts: np.ndarray) -> DataFrame:
-    """Size, parity bitmaps, prefix tokens (of heavy sets and of light ones that may meet them) and subsets (of light sets)."""
+    """Size, parity bitmaps and the keys of the lists a set is in: prefix tokens (of heavy sets and of light ones that may meet
+    them), whose last bit is 0, and subsets (of light sets), whose last bit is 1.  Keys that fall together by chance only let
+    more sets meet."""
     spark = documents.sparkSession
     shared = spark.sparkContext.broadcast((slots, counts))
 
@@ -148,28 +163,27 @@ def signatures(documents: DataFrame, k: int, percent: int, boundary: int, slots:
         weights = np.zeros(1 << SLOT_BITS, np.int64)
         weights[shared.value[0]] = shared.value[1]
         for batch in batches:
-            sizes, bits, wide, heads, subsets = [], [], [], [], []
+            sizes, bits, wide, keys = [], [], [], []
             for tokens in _sets(text_bytes(batch.column("text")), k):
                 n = len(tokens)
                 p = prefix_length(n, percent)
-                weight = weights[_slots(tokens)]
-                if weight.any():
-                    tokens = tokens[np.lexsort((tokens, weight))]
                 sizes.append(n)
                 bits.append(_parities(tokens, 4))
                 wide.append(_parities(tokens >> np.uint64(8), WIDE))
-                heads.append(tokens[:p].view(np.int64) if 100 * n >= percent * boundary else [])
+                weight = weights[_slots(tokens)]
+                if weight.any():
+                    tokens = tokens[np.argsort(weight, kind="stable")]
+                own = [tokens[:p] >> _ONE << _ONE] if 100 * n >= percent * boundary else []
                 if 2 <= n < boundary:
                     head = tokens[: p + 1]
                     i, j = np.triu_indices(len(head), 1)
                     low, high = np.minimum(head[i], head[j]), np.maximum(head[i], head[j])
-                    subsets.append(mix(mix(low) * np.uint64(3) + high).view(np.int64))
-                else:
-                    subsets.append([])
+                    own.append(mix(mix(low) * np.uint64(3) + high) | _ONE)
+                keys.append(np.concatenate(own).view(np.int64) if own else [])
             longs = pa.list_(pa.int64())
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(sizes, pa.int32()), *(pa.array(c, longs) for c in (bits, wide, heads, subsets))],
-                ["doc_id", "n", "bits", "wide", "tokens", "subsets"],
+                [batch.column("doc_id"), pa.array(sizes, pa.int32()), *(pa.array(c, longs) for c in (bits, wide, keys))],
+                ["doc_id", "n", "bits", "wide", "keys"],
             )
 
     return map_batches(whole_documents(documents), work, SIGNATURE)
@@ -251,18 +265,15 @@ def groups(documents: DataFrame, k: int = 4, percent: int = 85) -> DataFrame:
     own = alone.select(F.col("representative").alias("doc_id"))
     signed = scratch.land(signatures(documents, k, percent, boundary, slots, counts).join(own, "doc_id", "left_semi"), "signatures")
 
-    keyed = signed.select(
-        "doc_id", "n",
-        F.explode(F.expr("concat(transform(tokens, (t, i) -> struct(t as key, i as pos)), transform(subsets, t -> struct(t as key, -1 as pos)))")).alias("e"),
-    ).select("doc_id", "n", "e.key", "e.pos")
-    same_list = Window.partitionBy("key", "is_subset")
+    keyed = signed.select("doc_id", "n", F.explode("keys").alias("key"))
+    same_list = Window.partitionBy("key")
     ordered = same_list.orderBy("n", "doc_id")
-    lists = keyed.withColumn("is_subset", F.col("pos") < 0).select(
-        "key", "is_subset", "doc_id", "n", F.lag("doc_id").over(ordered).alias("previous"), F.first("doc_id").over(ordered).alias("smallest"), F.lead("doc_id").over(ordered).alias("following"),
+    lists = keyed.select(
+        "key", "doc_id", "n", F.lag("doc_id").over(ordered).alias("previous"), F.first("doc_id").over(ordered).alias("smallest"), F.lead("doc_id").over(ordered).alias("following"),
     ).where("previous is not null or following is not null")
     lists = scratch.land(lists.drop("following"), "lists")
     bitmaps = signed.select("doc_id", "n", "bits")
-    tokens_or_heavy = f"is_subset or n >= {boundary}"
+    tokens_or_heavy = f"key % 2 <> 0 or n >= {boundary}"
 
     def nearest(tried: DataFrame, fewest: str, most: int) -> DataFrame:
         """The likeliest partners of each set by the narrow bitmaps.  Which pairs are tried first is free to choose."""
@@ -283,21 +294,22 @@ def groups(documents: DataFrame, k: int = 4, percent: int = 85) -> DataFrame:
     joined = scratch.land(components(_compare(first, documents, scratch, k, percent), scratch), "components")
 
     def still_open(before: DataFrame) -> DataFrame:
-        """Lists that hold different groups; ``other`` is the nearest smaller set of another group, ``smallest`` the first one."""
-        placed = before.select("key", "is_subset", "doc_id", "n").join(joined.withColumnRenamed("node", "doc_id"), "doc_id", "left").withColumn("root", F.coalesce("root", "doc_id"))
+        """Lists that hold different groups."""
+        placed = before.select("key", "doc_id", "n").join(joined.withColumnRenamed("node", "doc_id"), "doc_id", "left").withColumn("root", F.coalesce("root", "doc_id"))
+        return placed.withColumn("low", F.min("root").over(same_list)).withColumn("high", F.max("root").over(same_list)).where("low < high").drop("low", "high")
+
+    def nearest_others(lists: DataFrame) -> DataFrame:
+        """``other`` is the nearest smaller set of another group in a list, ``smallest`` the list's first one."""
         member = F.struct("doc_id", "root")
-        ranked = placed.select(
-            "key", "is_subset", "doc_id", "n", "root", F.min("root").over(same_list).alias("low"), F.max("root").over(same_list).alias("high"),
-            F.lag(member).over(ordered).alias("previous"), F.first(member).over(ordered).alias("smallest"),
-        ).where("low < high")
+        ranked = lists.withColumn("previous", F.lag(member).over(ordered)).withColumn("smallest", F.first(member).over(ordered))
         change = F.expr("case when previous.root <> root then previous end")
-        return scratch.land(ranked.withColumn("other", F.last(change, ignorenulls=True).over(ordered)).drop("low", "high", "previous"), "open_lists")
+        return ranked.withColumn("other", F.last(change, ignorenulls=True).over(ordered))
 
     # Joining rounds: for two groups that meet, the likeliest pair.
-    open_lists = still_open(lists)
+    open_lists = scratch.land(still_open(lists), "open_lists")
     for _ in range(JOINING_ROUNDS):
         tried = (
-            open_lists.where(tokens_or_heavy)
+            nearest_others(open_lists).where(tokens_or_heavy)
             .select("root", F.col("doc_id").alias("b"), F.explode(F.array_distinct(F.array("other", "smallest"))).alias("other"))
             .where("other.root <> root")
             .select("b", F.col("other.doc_id").alias("a"), F.array_sort(F.array("root", "other.root")).alias("groups"))
@@ -308,19 +320,18 @@ def groups(documents: DataFrame, k: int = 4, percent: int = 85) -> DataFrame:
         likeliest = own.groupBy("groups").agg(F.min(F.struct("apart", "a", "b")).alias("pair")).select("pair.a", "pair.b")
         found = _compare(likeliest, documents, scratch, k, percent)
         joined = scratch.land(components(joined.select(F.col("node").alias("a"), F.col("root").alias("b")).unionAll(found), scratch), "components")
-        before, open_lists = open_lists, still_open(open_lists)
+        before, open_lists = open_lists, scratch.land(still_open(open_lists), "open_lists")
         scratch.drop(before)
 
     # Last round: whatever a list holds of different groups.
-    before, open_lists = open_lists, scratch.land(open_lists.drop("other", "smallest").join(bitmaps.select("doc_id", "bits"), "doc_id"), "open_lists")
-    scratch.drop(before)
+    before, open_lists = open_lists, open_lists.join(bitmaps.select("doc_id", "bits"), "doc_id")
     meetings = open_lists.alias("x").join(
         open_lists.alias("y"),
         F.expr(
-            "x.key = y.key and x.is_subset = y.is_subset and x.root <> y.root and (x.n < y.n or (x.n = y.n and x.doc_id < y.doc_id))"
-            f" and (x.is_subset or y.n >= {boundary}) and {_may_be_similar('x', 'y', percent)}"
+            "x.key = y.key and x.root <> y.root and (x.n < y.n or (x.n = y.n and x.doc_id < y.doc_id))"
+            f" and (x.key % 2 <> 0 or y.n >= {boundary}) and {_may_be_similar('x', 'y', percent)}"
         ),
-    ).select(F.col("x.doc_id").alias("a"), F.col("y.doc_id").alias("b"), F.col("x.n").alias("p"), F.col("y.n").alias("q"), "x.is_subset")
+    ).select(F.col("x.doc_id").alias("a"), F.col("y.doc_id").alias("b"), F.col("x.n").alias("p"), F.col("y.n").alias("q"), F.expr("x.key % 2 <> 0").alias("is_subset"))
     # What two sets share is in both prefixes, and then they meet there, or behind the prefix that ends first.
     behind = lambda n: f"(({percent} * {n} + 99) div 100) - 1"
     rest = (
@@ -334,7 +345,7 @@ def groups(documents: DataFrame, k: int = 4, percent: int = 85) -> DataFrame:
     members = rows.select("doc_id", "n", "digest").join(classes.select("digest", "representative"), "digest", "left")
     named = members.join(final.withColumnRenamed("node", "representative"), "representative", "left")
     result = scratch.land(named.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("root", "representative", "doc_id").alias("component_id")), "groups")
-    scratch.drop(signed, lists, open_lists)
+    scratch.drop(signed, lists, before)
     return result
 
 
