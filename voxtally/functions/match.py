@@ -12,14 +12,16 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from voxtally.functions.literals import sql_array, sql_let, sql_string
-from voxtally.rules import Lexicon, Theme
+from voxtally.rules import Lexicon, RuleSet, Theme
 
 PATTERN_HITS = "array<struct<theme:string,match:string>>"
 WORD_HITS = "array<struct<word:string,negated:boolean>>"
+#: Column metadata: fingerprint of the dictionaries that made the matches.
+MADE_BY = "made_by_rules"
 
 
 def anchor_of(phrase: str) -> str:
@@ -32,6 +34,14 @@ def vocabulary(phrases: Sequence[str], words: Sequence[str] = ()) -> list[str]:
     return list(dict.fromkeys([*map(anchor_of, phrases), *words]))
 
 
+def matched_by(df: DataFrame, rules: RuleSet) -> bool:
+    """Whether ``df`` has phrase matches that ``rules`` can use: made with the same dictionaries, or the caller's own.
+
+    Matches are the caller's own when the column does not say what made it.
+    """
+    return "phrase_hits" in df.columns and df.schema["phrase_hits"].metadata.get(MADE_BY) in (None, rules.fingerprint())
+
+
 def known_words(text: str, vocab: Sequence[str]) -> Column:
     """The words of ``vocab`` that occur in normalized ``text``."""
     return F.expr(f"array_intersect(split({text}, ' '), {sql_array(vocab)})")

@@ -102,7 +102,7 @@ def keep_first(df: DataFrame, order: Sequence[str] = INGEST_ORDER, words: str =
 def derived_fields(df: DataFrame, rules: RuleSet = DEFAULT_RULES) -> DataFrame:
     """Rating bucket, disruption keywords and the negative-experience flag."""
     hits = "phrase_hits"
-    if hits not in df.columns:
+    if not match.matched_by(df, rules):
         hits, vocab = "_hits", match.vocabulary(rules.disruption_keywords)
         df = df.withColumn("_known", match.known_words("clean_text", vocab))
         df = df.withColumn(hits, match.phrase_hits("clean_text", "_known", rules.disruption_keywords))

@@ -7,6 +7,7 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from voxtally.functions import match
 from voxtally.functions.literals import sql_array, sql_let
 from voxtally.functions.text import aliased, excerpt, share_pct, strip, with_exprs
 from voxtally.operators import quant
@@ -132,7 +133,7 @@ def _tally(scored: DataFrame, rules: RuleSet) -> DataFrame:
 
     As many rows as the dictionaries have entries and pairs, whatever the data.
     """
-    if "phrase_hits" not in scored.columns:
+    if not match.matched_by(scored, rules):
         scored = match_text(scored, rules)
     pains = f"array_intersect({sql_array(rules.ordered_pain_points())}, themes)"
     pair_labels = f"transform({quant.pairs_of('v.pains')}, p -> concat(p.theme_a, ' + ', p.theme_b))"

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from voxtally import dictionaries
+from voxtally.functions import match
 from voxtally.functions.literals import sql_array, sql_let, sql_string
 from voxtally.functions.text import aliased, flag_label, share_pct
 from voxtally.operators.themes import match_text, per_theme
@@ -32,7 +33,7 @@ def negative_reviews(scored: DataFrame) -> DataFrame:
 def seeded_phrases(scored: DataFrame, rules: RuleSet = DEFAULT_RULES, limit: int = TOP_TERMS) -> DataFrame:
     """How many negative reviews mention each candidate term, the ``limit`` most frequent."""
     reviews = negative_reviews(scored)
-    if "phrase_hits" not in scored.columns:
+    if not match.matched_by(scored, rules):
         reviews = match_text(reviews, rules)
     found = f"array_intersect({sql_array(rules.candidate_terms())}, phrase_hits)"
     # the row without a term counts the review itself

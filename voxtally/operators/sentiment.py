@@ -48,7 +48,7 @@ def score_sentiment(df: DataFrame, rules: RuleSet = DEFAULT_RULES) -> DataFrame:
     A phrase counts once per review, a word at every occurrence; a word's sign
     flips when one of the two words before it is a negation.
     """
-    if "phrase_hits" not in df.columns:
+    if not match.matched_by(df, rules):
         df = match_text(df, rules)
     phrase = _weight(rules.lexicon.phrase_weights, "phrase")
     word = _weight(rules.lexicon.word_weights, "hit.word")

@@ -27,20 +27,22 @@ def match_text(df: DataFrame, rules: RuleSet = DEFAULT_RULES) -> DataFrame:
 
     Adds ``known_words`` and ``phrase_hits``.  Themes, sentiment, disruption
     keywords and negative terms are all derived from these two small arrays,
-    so the text is split and scanned once whatever is asked for.
+    so the text is split and scanned once whatever is asked for.  The column
+    carries which dictionaries made it, also through a written Parquet table.
     """
     words, phrases = text_to_match(df), rules.all_phrases()
     df = df.withColumn("known_words", match.known_words(words, match.vocabulary(phrases, rules.anchor_words())))
-    return df.withColumn("phrase_hits", match.phrase_hits(words, "known_words", phrases))
+    hits = match.phrase_hits(words, "known_words", phrases)
+    return df.withColumn("phrase_hits", hits.alias("phrase_hits", metadata={match.MADE_BY: rules.fingerprint()}))
 
 
 def code_themes(df: DataFrame, rules: RuleSet = DEFAULT_RULES) -> DataFrame:
     """Adds ``themes`` (dictionary order), ``theme_count`` and ``primary_theme``.
 
-    Matches made earlier by :func:`match_text` are reused; drop ``phrase_hits``
-    before coding with other rules.
+    Matches made earlier by :func:`match_text` with the same dictionaries are
+    reused, others are made again.
     """
-    if "phrase_hits" not in df.columns:
+    if not match.matched_by(df, rules):
         df = match_text(df, rules)
     wanted = sql_arrays(t.phrases for t in rules.themes)
     barred = sql_arrays(t.suppressed_by for t in rules.themes)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import hashlib
+import json
 import re
 from dataclasses import dataclass, field
 
@@ -114,6 +116,11 @@ class RuleSet:
         anchors = [p.anchor for t in self.themes for p in t.patterns if p.anchor]
         return _distinct([*anchors, *self.lexicon.word_weights])
 
+    def fingerprint(self) -> str:
+        """Equal for rule sets that look up the same words and phrases, in whatever order."""
+        looked_up = json.dumps([sorted(self.all_phrases()), sorted(self.anchor_words())])
+        return hashlib.sha256(looked_up.encode()).hexdigest()
+
 
 def _distinct(values) -> list[str]:
     return list(dict.fromkeys(values))
