@@ -147,3 +147,27 @@ def test_shared_lines_are_a_longest_common_subsequence():
         places = page_text.shared_lines(a, b)
         rest = iter(b)
         assert len(places) == best[-1][-1] and places == sorted(set(places)) and all(any(a[i] == y for y in rest) for i in places)
+
+
+@pytest.mark.parametrize("most_held", [0, 100, 1 << 20])
+def test_suffix_tree_keeps_every_context_seen_often(documents, most_held):
+    pick = random.Random(5)
+    texts = ["rare qzkjvx" + " qzkjvx" * 4] * 12 + [" ".join(pick.choice(["alpha", "beta", "gamma", "delta", "epsilon"]) for _ in range(4000)) for _ in range(60)]
+    docs = documents(*texts)
+    teaching = docs.doc_id >= 0
+    counted = suffix_tree.counts(docs, 4).cache()
+    whole = sum(r.n for r in counted.where("kind = 0").collect())
+    assert 50 <= 60 < 5e-5 * whole  # by their share the rare word's contexts were left out
+    scratch = Scratch(docs.sparkSession, "test")
+    root, model = suffix_tree.contexts(counted, scratch, 4, 50, 1.0)
+    assert {(1, ord(c)) for c in "qzkjvx"} <= {(r.k, r.context) for r in model.collect()}
+    tree = suffix_tree.tree(counted, 4, 50 / whole, 1.0)
+    assert model.count() + 1 == tree.kept
+    words = {r.key: r.n for r in counted.where("kind = 1").collect()}
+    total, once = sum(words.values()), max(1, sum(n == 1 for n in words.values()))
+    rows = {r.doc_id: r.score for r in suffix_tree.score(docs, teaching, 4, most_held=most_held).collect()}
+    for i in (0, 30):
+        normal = suffix_tree.normal(texts[i].encode())
+        hashes = [*next(iter(suffix_tree.hashed_texts([normal]))).view("int64").tolist(), int(suffix_tree.END_TOKEN)]
+        want = sum(math.log10((words[h] + once * 10.0**p) / (total + once)) for h, p in zip(hashes, tree.spell([normal]), strict=True))
+        assert rows[i] == pytest.approx(want, rel=1e-5)

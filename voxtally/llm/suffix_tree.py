@@ -1,10 +1,10 @@
 """Language-model scores from a probabilistic suffix tree.
 
 The tree spells texts byte by byte: each word and a space, then an end.  A context of up to ``depth`` symbols is
-kept when it is frequent and its next-symbol counts diverge from those of its suffix by more than they cost to
-describe.  A kept context's distribution is smoothed with that of its longest kept suffix.  For scoring the
-tree becomes an automaton: a state for each kept context and each prefix of one, with the longest
-suffix state as the target of every symbol, so a symbol costs two table lookups.
+kept when it occurs ``least`` times, however large the corpus, and its next-symbol counts diverge from those of its
+suffix by more than they cost to describe.  A kept context's distribution is smoothed with that of its longest kept
+suffix.  The tree is a written table with a row for each kept context, and grows with the corpus.  Tasks hold its most
+frequent part, of bounded size; runs of symbols that may go on into the rest are looked up there by joins.
 
 A token's probability is ``(c + a t) / (N + a)``: ``c`` of ``N`` training tokens are this one, ``t`` is the tree's
 probability of spelling it where it stands, and ``a`` is the number of tokens seen once, which
@@ -24,7 +24,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from voxtally.llm.common import Scratch, crc_remainder, hashed_texts, map_batches, slices, text_bytes, whole_documents
+from voxtally.llm.common import Scratch, crc_remainder, hashed_texts, map_batches, mix, slices, text_bytes, whole_documents
 
 END, PAD, SYMBOLS, BITS = 256, 257, 257, 9
 #: Token that ends every text, beside the hashes of words.
@@ -61,6 +61,16 @@ def stream(texts: list[bytes], depth: int) -> tuple[np.ndarray, np.ndarray]:
     return out, begins
 
 
+def runs(texts: list[bytes], depth: int) -> tuple[np.ndarray, np.ndarray]:
+    """Every symbol of normal texts with the ``depth`` before it, packed, and the symbol alone."""
+    symbols, _ = stream(texts, depth)
+    packed = np.zeros(len(symbols) - depth, np.uint64)
+    for j in range(depth + 1):
+        packed |= symbols[j : len(symbols) - depth + j].astype(np.uint64) << np.uint64(BITS * (depth - j))
+    own = symbols[depth:] != PAD
+    return packed[own], symbols[depth:][own]
+
+
 # --- counting -------------------------------------------------------------------------------------------------------
 
 
@@ -106,11 +116,7 @@ def counts(documents: DataFrame, depth: int) -> DataFrame:
             raw = text_bytes(batch.column("text"))
             for first, last in slices(raw):
                 texts = [normal(t) for t in raw[first:last]]
-                symbols, begins = stream(texts, depth)
-                packed = np.zeros(len(symbols) - depth, np.uint64)
-                for j in range(depth + 1):
-                    packed |= symbols[j : len(symbols) - depth + j].astype(np.uint64) << np.uint64(BITS * (depth - j))
-                grams.add(packed[symbols[depth:] != PAD])
+                grams.add(runs(texts, depth)[0])
                 words.add(np.concatenate([*hashed_texts(texts), np.full(len(texts), END_TOKEN)]))
                 for kind, found in ((GRAM, grams), (WORD, words)):
                     if found.size > _MERGE_AT:
@@ -163,10 +169,9 @@ class Automaton:
 
 
 def tree(counted: DataFrame, depth: int, least_share: float, strength: float) -> Automaton:
-    """Keep contexts and build the automaton.
+    """A small tree as an automaton in memory, of contexts with at least ``least_share`` of all symbols.
 
-    A kept context has at least ``least_share`` of all symbols, so a length has at most ``1 / least_share`` of them: this
-    bounds what comes to the driver, however large the corpus.  The counts behind it are those of all texts.
+    Scoring uses ``contexts`` instead, which leaves no context out; an automaton of as many contexts gives the same.
     """
     grams = counted.where(f"kind = {GRAM}").select("key", "n")
     whole = grams.agg(F.sum("n")).first()[0] or 0
@@ -257,13 +262,233 @@ def _automaton(ks: np.ndarray, keys: np.ndarray, ns: np.ndarray, depth: int, str
     return Automaton(depth, classes, width, target.ravel(), log10.ravel(), len(kept))
 
 
+# --- the tree as a table --------------------------------------------------------------------------------------------
+
+#: Stands in a symbol's place for the context itself.
+_ITSELF = np.uint64((1 << BITS) - 1)
+#: Symbols and contexts of the tree's most frequent part that every task holds.
+MOST_HELD = 1 << 21
+#: Bits that tell which contexts the rest of the tree may have.
+_REST_BITS = 26
+_NO_KEY = np.uint64((1 << 64) - 1)
+
+CONTEXT = "k int, context long, of long, symbols array<int>, logs array<double>, weight double"
+
+
+def _suffix(key: np.ndarray, symbols: int) -> np.ndarray:
+    return key & np.uint64((1 << BITS * symbols) - 1)
+
+
+def _flat(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The entries of a column of lists, and the row of each."""
+    sizes = np.diff(column.offsets.to_numpy())
+    return column.flatten().to_numpy(zero_copy_only=False), np.repeat(np.arange(len(column)), sizes)
+
+
+def _with_parent(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Counts of each context's symbols, the row of each, and its place in the flat lists of the parent, which has them all."""
+    symbols, row = _flat(batch.column("symbols"))
+    theirs, their_row = _flat(batch.column("parent_symbols"))
+    return _flat(batch.column("ns"))[0].astype(float), row, np.searchsorted(their_row << BITS | theirs, row << BITS | symbols)
+
+
+def contexts(counted: DataFrame, scratch: Scratch, depth: int, least: int, strength: float) -> tuple[np.ndarray, DataFrame]:
+    """log10 probability of each symbol without a context, and the table of all kept contexts.
+
+    A row has the context, how often it occurs, the symbols seen behind it with their log10 probabilities, and ``weight``,
+    log10 of what any other symbol's probability with the next shorter context is multiplied by.
+    """
+    grams = counted.where(f"kind = {GRAM}").select("key", "n")
+    levels = None
+    for k in range(depth + 1):
+        arcs = grams.groupBy(F.col("key").bitwiseAND((1 << BITS * (k + 1)) - 1).alias("key")).agg(F.sum("n").alias("n"))
+        arc = F.struct(F.col("key").bitwiseAND((1 << BITS) - 1).cast("int").alias("symbol"), "n")
+        level = arcs.groupBy(F.shiftright("key", BITS).alias("context")).agg(F.sum("n").alias("of"), F.array_sort(F.collect_list(arc)).alias("arcs"))
+        level = level.where((F.col("of") >= least) | F.lit(k == 0)).select(F.lit(k).alias("k"), "context", "of", "arcs.symbol", "arcs.n")
+        levels = level if levels is None else levels.unionAll(level)
+    frequent = scratch.land(levels.toDF("k", "context", "of", "symbols", "ns"), "frequent")
+    root = np.ones(SYMBOLS)
+    for r in frequent.where("k = 0").collect():
+        root[r.symbols] += r.ns
+    root = np.log10(root / root.sum())
+
+    def above(child: DataFrame, parent: DataFrame, *more: str) -> DataFrame:
+        """Contexts with columns of the one that is a symbol shorter."""
+        suffix = F.expr(f"context & (shiftleft(1L, {BITS} * (k - 1)) - 1)")
+        named = parent.select((F.col("k") + 1).alias("k"), F.col("context").alias("suffix"), *(F.col(c).alias(f"parent_{c}") for c in more))
+        return child.where("k > 0").withColumn("suffix", suffix).join(named, ["k", "suffix"])
+
+    def tell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            n, row, place = _with_parent(batch)
+            k, of, parent_of = (batch.column(c).to_numpy() for c in ("k", "of", "parent_of"))
+            parent = _flat(batch.column("parent_ns"))[0][place] / parent_of[row]
+            symbols = _flat(batch.column("symbols"))[0]
+            parent = np.where(k[row] == 1, 10 ** root[symbols], parent)
+            divergence = np.bincount(row, n * np.log(n / of[row] / parent), len(batch))
+            kinds = np.bincount(row, minlength=len(batch))
+            yield batch.select(["k", "context"]).filter(pa.array(divergence > strength * kinds * np.log(of + 1) / 2))
+
+    told = map_batches(above(frequent, frequent, "of", "symbols", "ns"), tell, "k int, context long")
+    # A context needs its suffixes.
+    wanted = told.select(F.explode(F.expr(f"transform(sequence(1, k), j -> struct(j as k, context & (shiftleft(1L, {BITS} * j) - 1) as context))")).alias("c"))
+    kept = scratch.land(frequent.join(wanted.select("c.*").distinct(), ["k", "context"], "left_semi"), "kept")
+    scratch.drop(frequent)
+
+    def smooth(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            n, row, place = _with_parent(batch)
+            of, kinds = batch.column("of").to_numpy(), np.bincount(row, minlength=len(batch))
+            # As much faith in the suffix as there are different symbols.
+            parent = 10 ** _flat(batch.column("parent_logs"))[0][place]
+            logs = np.log10((parent * kinds[row] + n) / (of + kinds)[row])
+            column = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(kinds)]), pa.int32()), pa.array(logs, pa.float64()))
+            weight = pa.array(np.log10(kinds / (of + kinds)), pa.float64())
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("k", "context", "of", "symbols")), column, weight], ["k", "context", "of", "symbols", "logs", "weight"])
+
+    first = counted.sparkSession.createDataFrame([(0, 0, 0, list(range(SYMBOLS)), root.tolist(), 0.0)], CONTEXT)
+    out, parents = None, first
+    for k in range(1, depth + 1):
+        parents = scratch.land(map_batches(above(kept.where(f"k = {k}"), parents, "symbols", "logs"), smooth, CONTEXT), f"contexts{k}")
+        out = parents if out is None else out.unionAll(parents)
+    scratch.drop(kept)
+    return root, out
+
+
+class _Table:
+    """Values by key, in open slots."""
+
+    def __init__(self, keys: np.ndarray, values: np.ndarray) -> None:
+        self.bits = max(4, (len(keys) * 5 // 4).bit_length())
+        self.keys = np.full(1 << self.bits, _NO_KEY)
+        self.values = np.zeros(1 << self.bits, np.float32)
+        at, todo = self._first(keys), np.arange(len(keys))
+        while len(todo):
+            free = todo[self.keys[at[todo]] == _NO_KEY]
+            slot, which = np.unique(at[free], return_index=True)
+            self.keys[slot], self.values[slot] = keys[free[which]], values[free[which]]
+            todo = todo[self.keys[at[todo]] != keys[todo]]
+            at[todo] = at[todo] + 1 & (1 << self.bits) - 1
+
+    def _first(self, keys: np.ndarray) -> np.ndarray:
+        return (mix(keys) >> np.uint64(64 - self.bits)).astype(np.int64)
+
+    def find(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Which keys are there, and their values."""
+        found, values = np.zeros(len(keys), bool), np.zeros(len(keys), np.float32)
+        at, todo = self._first(keys), np.arange(len(keys))
+        while len(todo):
+            there = self.keys[at]
+            hit = there == keys[todo]
+            found[todo[hit]], values[todo[hit]] = True, self.values[at[hit]]
+            on = ~hit & (there != _NO_KEY)
+            todo, at = todo[on], at[on] + 1 & (1 << self.bits) - 1
+        return found, values
+
+
+def _rest_slots(k: int | np.ndarray, context: np.ndarray) -> np.ndarray:
+    return mix(context * np.uint64(8) + np.asarray(k, np.uint64)) >> np.uint64(64 - _REST_BITS)
+
+
+@dataclass(frozen=True)
+class Held:
+    """The most frequent part of the tree, and bits that tell of which contexts there may be more."""
+
+    depth: int
+    root: np.ndarray
+    tables: list[_Table]
+    rest: np.ndarray | None
+
+    def find(self, grams: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """log10 probability of each run's last symbol by the longest held context, the length of that one, and whether a longer
+        one may be in the rest."""
+        symbol = _suffix(grams, 1)
+        logs, length = self.root[symbol.astype(np.int64)].copy(), np.zeros(len(grams), np.int64)
+        going = np.arange(len(grams))
+        for k, table in enumerate(self.tables, 1):
+            key = _suffix(grams[going], k + 1)
+            found, weight = table.find(key | _ITSELF)
+            going, key, weight = going[found], key[found], weight[found]
+            seen, own = table.find(key)
+            logs[going] = np.where(seen, own, logs[going] + weight)
+            length[going] = k
+        more = np.zeros(len(grams), bool)
+        if self.rest is not None:
+            open_ = np.flatnonzero(length < self.depth)
+            bits = (length[open_] + 1).astype(np.uint64) * np.uint64(BITS)
+            context = grams[open_] >> np.uint64(BITS) & (_ONE << bits) - _ONE
+            slot = _rest_slots(length[open_] + 1, context)
+            more[open_] = self.rest[(slot >> np.uint64(6)).astype(np.int64)] >> (slot & np.uint64(63)) & _ONE
+        return logs, length, more
+
+
+_ONE = np.uint64(1)
+
+
+def held(model: DataFrame, root: np.ndarray, depth: int, most: int) -> tuple[Held, DataFrame | None]:
+    """What tasks hold, at most ``most`` symbols and contexts, and the rest of the tree if there is any.
+
+    A suffix is at least as frequent as what it ends, so the held part has the suffixes of all its contexts.
+    """
+    by_size = model.groupBy(F.floor(8 * F.log2("of")).cast("int").alias("size")).agg(F.sum(F.size("symbols") + 1).alias("n")).collect()
+    limit, many = 0, 0
+    for r in sorted(by_size, reverse=True):
+        many += r.n
+        if many > most:
+            limit = r.size + 1
+            break
+    frequent = F.floor(8 * F.log2("of")) >= limit
+    found = model.where(frequent).select("k", "context", "weight", "symbols", "logs").toArrow().combine_chunks()
+    ks, context, weight = (found[c].to_numpy() for c in ("k", "context", "weight"))
+    context = context.astype(np.uint64) << np.uint64(BITS)
+    lists = [found[c].combine_chunks() for c in ("symbols", "logs")]
+    (symbols, row), (logs, _) = ((_flat(c.chunk(0) if isinstance(c, pa.ChunkedArray) else c)) for c in lists)
+    tables = []
+    for k in range(1, depth + 1):
+        mine, arcs = ks == k, ks[row] == k
+        keys = np.concatenate([context[mine] | _ITSELF, context[row[arcs]] | symbols[arcs].astype(np.uint64)])
+        tables.append(_Table(keys, np.concatenate([weight[mine], logs[arcs]])))
+    if not limit:
+        return Held(depth, root, tables, None), None
+    rest = model.where(~frequent)
+
+    def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            slot = np.unique(_rest_slots(batch.column("k").to_numpy(), batch.column("context").to_numpy().astype(np.uint64)))
+            places, first = np.unique(slot >> np.uint64(6), return_index=True)
+            bits = np.bitwise_or.reduceat(_ONE << (slot & np.uint64(63)), first) if len(slot) else slot
+            yield pa.RecordBatch.from_arrays([pa.array(places.astype(np.int64)), pa.array(bits.view(np.int64))], ["place", "bits"])
+
+    marks = map_batches(rest.select("k", "context"), mark, "place long, bits long").groupBy("place").agg(F.bit_or("bits").alias("bits")).toArrow()
+    bits = np.zeros(1 << _REST_BITS - 6, np.uint64)
+    bits[marks["place"].to_numpy()] = marks["bits"].to_numpy().view(np.uint64)
+    return Held(depth, root, tables, bits), rest
+
+
+def resolved(grams: DataFrame, rest: DataFrame, scratch: Scratch, depth: int) -> DataFrame:
+    """``gram`` and ``log`` of runs given with what the held part tells: ``gram``, ``length`` and ``log``."""
+    for k in range(1, depth + 1):
+        level = rest.where(f"k = {k}").select("context", "symbols", "logs", "weight")
+        grams = grams.withColumn("context", F.expr(f"shiftright(gram, {BITS}) & {(1 << BITS * k) - 1}L"))
+        own = F.expr(f"get(logs, cast(array_position(symbols, cast(gram & {(1 << BITS) - 1} as int)) as int) - 1)")
+        longer = F.col("weight").isNotNull() & (F.col("length") == k - 1)
+        grams = grams.join(level, "context", "left").select(
+            "gram", F.when(longer, k).otherwise(F.col("length")).alias("length"), F.when(longer, F.coalesce(own, F.col("log") + F.col("weight"))).otherwise(F.col("log")).alias("log"),
+        )
+    return scratch.land(grams.select("gram", "log"), "resolved")
+
+
 # --- scoring --------------------------------------------------------------------------------------------------------
 
-SCORED = "row long, token long, spelled double, told struct<doc_id:long,held_out:boolean,n_tokens:long,n_known:long,base:double,score:double>"
+_TOLD = pa.struct([("doc_id", pa.int64()), ("held_out", pa.bool_()), ("n_tokens", pa.int64()), ("n_known", pa.int64()), ("base", pa.float64()), ("score", pa.float64())])
+SCORED = (
+    "row long, place int, token long, c double, spelled double, open array<long>, "
+    "told struct<doc_id:long,held_out:boolean,n_tokens:long,n_known:long,base:double,score:double>"
+)
 
 
-def score(documents: DataFrame, teaching: F.Column | None = None, depth: int = 6, least_share: float = 5e-5, strength: float = 1.0,
-          common_words: int = 1 << 19) -> DataFrame:
+def score(documents: DataFrame, teaching: F.Column | None = None, depth: int = 6, least: int = 50, strength: float = 1.0,
+          common_words: int = 1 << 19, most_held: int = MOST_HELD) -> DataFrame:
     """Every row's unigram ``base_score`` and model's ``score``, both log10, with ``n_tokens``, ``n_known`` and ``train_tokens``.
 
     Rows where ``teaching`` holds are learned from (default: those not held out); repeated rows teach as often as they
@@ -271,59 +496,91 @@ def score(documents: DataFrame, teaching: F.Column | None = None, depth: int = 6
 
     Counts of words with more than a ``common_words``-th of all tokens, of which there are fewer than ``common_words``,
     go to all tasks; the counts of all others meet the texts in a join by word, so the vocabulary may be of any size.
+    So do the tree's ``most_held`` most frequent symbols and contexts and its rest.  Neither number changes a score.
     """
     spark = documents.sparkSession
     scratch = Scratch(spark, "suffix_tree")
     out = held_out(documents)
     counted = scratch.land(counts(documents.where(~out if teaching is None else teaching), depth), "counts")
-    model = tree(counted, depth, least_share, strength)
-    words = counted.where(f"kind = {WORD}").select(F.col("key").alias("token"), "n")
+    root, model = contexts(counted, scratch, depth, least, strength)
+    words = scratch.land(counted.where(f"kind = {WORD}").select(F.col("key").alias("token"), "n"), "words")
+    scratch.drop(counted)
+    near, rest = held(model, root, depth, most_held)
     total, different, once = words.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1)), F.count_if(F.col("n") == 1)).first()
     common = words.where(F.col("n") > total / common_words).toArrow()
     keys = common["token"].to_numpy().view(np.uint64)
     order = np.argsort(keys)
-    shared = spark.sparkContext.broadcast((model, keys[order], common["n"].to_numpy().astype(float)[order]))
+    shared = spark.sparkContext.broadcast((near, keys[order], common["n"].to_numpy().astype(float)[order]))
     novel = float(max(1, once))
     base_divisor, divisor = math.log10(total + different + 1), math.log10(total + novel)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model, known, n_known = shared.value
+        near, known, n_known = shared.value
         row = TaskContext.get().partitionId() << 36
         for batch in batches:
             ids, outs, raw = batch.column("doc_id").to_pylist(), batch.column("held_out").to_pylist(), text_bytes(batch.column("text"))
             for first, last in slices(raw):
                 texts = [normal(t) for t in raw[first:last]]
-                spelled = model.spell(texts)
-                rows, tokens, logs, told = [], [], [], []
-                at = 0
-                for i, words in enumerate(hashed_texts(texts)):
-                    words = np.append(words, END_TOKEN)
-                    own = spelled[at : at + len(words)]
-                    at += len(words)
-                    place = np.minimum(np.searchsorted(known, words), max(len(known) - 1, 0))
-                    found = known[place] == words if len(known) else np.zeros(len(words), bool)
-                    c = n_known[place[found]]
-                    rare = np.flatnonzero(~found)
-                    # The row's own line must not meet any word's count: it goes by its number.
-                    rows.append(np.full(1 + len(rare), row))
-                    tokens.append(np.concatenate([np.array([row], np.uint64), words[rare]]).view(np.int64))
-                    logs.append(np.concatenate([[np.nan], own[rare]]))
-                    told.append({
-                        "doc_id": ids[first + i], "held_out": outs[first + i], "n_tokens": len(words), "n_known": int(found.sum()),
-                        "base": float(np.log10(c + 1).sum()) - len(words) * base_divisor,
-                        "score": float(np.log10(c + novel * 10 ** own[found]).sum()) - len(words) * divisor,
-                    })
-                    told += [None] * len(rare)
-                    row += 1
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.concatenate(rows)), pa.array(np.concatenate(tokens)), pa.array(np.concatenate(logs), from_pandas=True), pa.array(told, _TOLD)],
-                    ["row", "token", "spelled", "told"],
-                )
-
-    scored = map_batches(whole_documents(documents, out.alias("held_out")), work, SCORED)
+                many = len(texts)
+                grams, symbols = runs(texts, depth)
+                each, where = np.unique(grams, return_inverse=True)
+                logs, _, more = near.find(each)
+                ends = (symbols == _SPACE) | (symbols == END)
+                spelled = np.diff(np.cumsum(np.where(more, 0.0, logs)[where])[ends], prepend=0.0)
+                ahead = np.flatnonzero(more[where])
+                token_of = (np.cumsum(ends) - ends)[ahead]
+                waiting = np.bincount(token_of, minlength=len(spelled))
+                hashed = [np.append(words, END_TOKEN) for words in hashed_texts(texts)]
+                sizes = np.array([len(words) for words in hashed])
+                words, text = np.concatenate(hashed), np.repeat(np.arange(many), sizes)
+                at = np.minimum(np.searchsorted(known, words), max(len(known) - 1, 0))
+                found = known[at] == words if len(known) else np.zeros(len(words), bool)
+                c = np.where(found, n_known[at], 0.0) if len(known) else np.zeros(len(words))
+                done = found & (waiting == 0)
+                left = np.flatnonzero(~done)
+                added = lambda x: np.bincount(text[done], x, many)  # noqa: E731, B023
+                base = added(np.log10(c[done] + 1)) - sizes * base_divisor
+                score = added(np.log10(c[done] + novel * 10 ** spelled[done])) - sizes * divisor
+                here = np.bincount(text[done], minlength=many)
+                told = [
+                    {"doc_id": ids[first + i], "held_out": outs[first + i], "n_tokens": int(sizes[i]), "n_known": int(here[i]), "base": float(base[i]), "score": float(score[i])}
+                    for i in range(many)
+                ]
+                rows = np.arange(row, row + many)
+                row += many
+                own = rows[text[left]]
+                items = pa.array(each[where[ahead]].view(np.int64))
+                offsets = np.concatenate([np.zeros(many + 1, np.int64), np.cumsum(waiting[left])])
+                yield pa.RecordBatch.from_arrays([
+                    pa.array(np.concatenate([rows, own])), pa.array(np.concatenate([np.full(many, -1), left]).astype(np.int32)),
+                    # Lines whose count is known, and the row's own, must not meet any word's count: they go by their row.
+                    pa.array(np.concatenate([rows, np.where(found[left], own, words[left].view(np.int64))])),
+                    pa.array(np.concatenate([np.full(many, np.nan), np.where(found[left], c[left], np.nan)]), from_pandas=True),
+                    pa.array(np.concatenate([np.full(many, np.nan), spelled[left]]), from_pandas=True),
+                    pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), items), pa.array(told + [None] * len(left), _TOLD),
+                ], ["row", "place", "token", "c", "spelled", "open", "told"])
+
+    lines = map_batches(whole_documents(documents, out.alias("held_out")), work, SCORED)
+    columns = ("row", "token", "c", "spelled", "told")
+    if rest is None:
+        lines = lines.select(*columns)
+    else:
+        lines = scratch.land(lines, "lines")
+        waiting = lines.where("size(open) > 0").select("row", "place", "token", "c", "spelled", F.explode("open").alias("gram"))
+
+        def nearest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                logs, length, _ = shared.value[0].find(batch.column("gram").to_numpy().view(np.uint64))
+                yield pa.RecordBatch.from_arrays([batch.column("gram"), pa.array(length.astype(np.int32)), pa.array(logs)], ["gram", "length", "log"])
+
+        grams = map_batches(waiting.select("gram").distinct(), nearest, "gram long, length int, log double")
+        spelt = waiting.join(resolved(grams, rest, scratch, depth), "gram").groupBy("row", "place").agg(
+            F.first("token").alias("token"), F.first("c").alias("c"), (F.first("spelled") + F.sum("log")).alias("spelled"), F.lit(None).cast(lines.schema["told"].dataType).alias("told")
+        )
+        lines = lines.where("size(open) = 0").select(*columns).unionAll(spelt.select(*columns))
     rare = words.where(F.col("n") <= total / common_words)
-    met = scored.join(rare, "token", "left").select(
-        "row", "told", F.when(F.col("spelled").isNotNull(), F.coalesce("n", F.lit(0))).alias("n"), "spelled"
+    met = lines.join(rare, "token", "left").select(
+        "row", "told", F.when(F.col("spelled").isNotNull(), F.coalesce("c", "n", F.lit(0))).alias("n"), "spelled"
     ).select(
         "row", "told", (F.col("n") > 0).cast("long").alias("known"), F.log10(F.col("n") + 1).alias("base"),
         F.when(F.col("n") == 0, math.log10(novel) + F.col("spelled")).otherwise(F.log10(F.col("n") + novel * F.pow(F.lit(10.0), "spelled"))).alias("score"),
@@ -336,6 +593,3 @@ def score(documents: DataFrame, teaching: F.Column | None = None, depth: int = 6
         F.lit(int(total)).cast("long").alias("train_tokens"), (F.col("told.base") + F.col("base")).alias("base_score"),
         (F.col("told.score") + F.col("score")).alias("score"),
     )
-
-
-_TOLD = pa.struct([("doc_id", pa.int64()), ("held_out", pa.bool_()), ("n_tokens", pa.int64()), ("n_known", pa.int64()), ("base", pa.float64()), ("score", pa.float64())])
