@@ -41,3 +41,19 @@ def test_pipeline_equals_its_stages_by_brute_force(spark, documents, sql):
     rows = corpus_pipeline.run(spark, SF_DIR).collect()
     assert {r.doc_id: r.n_tokens for r in rows} == want and len(rows) == len(want)
     assert all(len(r.token_ids) == r.n_tokens for r in rows)
+
+
+def test_pipeline_drops_copies_that_share_four_fifths_of_five_word_shingles(spark, documents):
+    words = [f"w{i}" for i in range(490)]
+    changed = [f"n{i}" if i % 200 == 3 else w for i, w in enumerate(words)]
+    texts = [" ".join(words[:400]), " ".join(words), " ".join(words[:300]), " ".join(changed[:400]), "other text of a few words", None]
+    shingles = [{tuple(w[i : i + 5]) for i in range(len(w) - 4)} for w in ((t or "").split() for t in texts)]
+    root = list(range(len(texts)))
+    for _ in texts:
+        for i, a in enumerate(shingles):
+            for j, b in enumerate(shingles):
+                if a and b and 10 * len(a & b) >= 8 * len(a | b):
+                    root[i] = root[j] = min(root[i], root[j])
+    assert root == [0, 0, 2, 0, 4, 5]
+    kept = corpus_pipeline.drop_near_copies(spark, documents(*texts), SF_DIR).collect()
+    assert sorted(r.doc_id for r in kept) == [0, 2, 4, 5]
