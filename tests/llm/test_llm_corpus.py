@@ -171,3 +171,16 @@ def test_suffix_tree_keeps_every_context_seen_often(documents, most_held):
         hashes = [*next(iter(suffix_tree.hashed_texts([normal]))).view("int64").tolist(), int(suffix_tree.END_TOKEN)]
         want = sum(math.log10((words[h] + once * 10.0**p) / (total + once)) for h, p in zip(hashes, tree.spell([normal]), strict=True))
         assert rows[i] == pytest.approx(want, rel=1e-5)
+
+
+@pytest.mark.parametrize("tasks", [1, 3, 40])
+def test_pages_are_paired_over_folders_copies_and_tasks(spark, documents, tasks):
+    page = "<body><div>Menu</div><p>{}</p><div>Foot</div></body>"
+    folders = [(i, f"http://h/2024/{i // 30:02}/{i % 30:02}/title-{i}/", page.format(f"own {i}")) for i in range(40)]
+    copies = [(100 + i, f"http://k/a/{i:02}", page.format("one" if i < 20 else "two")) for i in range(40)]
+    rest = [(200, "http://g/x", page.format("alone")), (201, "http://l/a", page.format("same")), (202, "http://l/b", page.format("same")), (203, "http://h/2024/00/05/x", None)]
+    df = spark.createDataFrame([*folders, *copies, *rest], "page_id long, url string, html string")
+    rows = {r.page_id: r.text for r in page_text.extract(df, tasks).collect()}
+    want = {i: f"own {i}" for i in range(40)} | {100 + i: "one" if i < 20 else "two" for i in range(40)}
+    want |= {200: "Menu\n\nalone\n\nFoot", 201: "Menu\n\nsame\n\nFoot", 202: "Menu\n\nsame\n\nFoot", 203: ""}
+    assert rows == want
