@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from voxtally.llm import bpe, decontaminate, jaccard_join, language, page_text, quality, secrets, suffix_tree, token_counts, warc
+from voxtally.llm import bpe, decontaminate, hard_negatives, jaccard_join, language, page_text, quality, secrets, suffix_tree, token_counts, warc
 
 #: Folder of public vocabulary files; another one may be named in the environment.
 TOKENIZERS = os.environ.get("VOXTALLY_TOKENIZERS", "/opt/tokenizers")
@@ -69,6 +69,10 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.archived(table(spark, sf_dir, "pages")).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hard_negatives.mine(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe,
     "op2_jaccard_join": op2_jaccard_join,
@@ -80,6 +84,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_secrets": op8_secrets,
     "op9_quality": op9_quality,
     "op10_warc": op10_warc,
+    "op11_hard_negatives": op11_hard_negatives,
 }
 
 _BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
@@ -130,4 +135,22 @@ ORACLE_SQL: dict[str, str] = {
             case when page_id <> original then original end as refers_to
         from first
     """,
+    "op11_hard_negatives": """
+        with given as (select vec_id, label, embedding from embeddings
+            where vec_id is not null and label is not null and embedding is not null
+            and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+        v as materialized (select vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label,
+            list_transform(embedding, lambda x: cast(floor(256 * cast(x as double)) as bigint)) as e from given),
+        scored as materialized (select a.vec_id as anchor_id, b.vec_id as other_id, a.label = b.label as same,
+                cast(coalesce(list_sum(list_transform(list_zip(a.e, b.e), lambda p: p[1] * p[2])), 0) as bigint) as score
+            from v a join v b on a.vec_id <> b.vec_id where a.vec_id % 50 = 0),
+        positive as (select anchor_id, other_id as positive_id, score as positive_score from scored where same
+            qualify row_number() over (partition by anchor_id order by score desc, other_id) <= 5)
+        select anchor_id, positive_id,
+            cast(row_number() over (partition by anchor_id, positive_id order by score desc, other_id) as int) as rank,
+            other_id as negative_id, positive_score, score as negative_score
+        from positive join scored using (anchor_id)
+        where not same and 50 * positive_score <= 100 * score and 100 * score <= 95 * positive_score
+        qualify rank <= 3
+    """,
 }
