@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from voxtally.llm import bpe, decontaminate, hard_negatives, jaccard_join, language, page_text, quality, secrets, suffix_tree, token_counts, warc
+from voxtally.llm import bpe, decontaminate, divergence, hard_negatives, jaccard_join, language, page_text, personal_data, quality, secrets, suffix_tree, token_counts, warc
 
 #: Folder of public vocabulary files; another one may be named in the environment.
 TOKENIZERS = os.environ.get("VOXTALLY_TOKENIZERS", "/opt/tokenizers")
@@ -73,6 +73,15 @@ def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hard_negatives.mine(table(spark, sf_dir, "embeddings"))
 
 
+def op12_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(table(spark, sf_dir, "documents"))
+
+
+def op13_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    return personal_data.digests(documents, personal_data.learn(documents))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe,
     "op2_jaccard_join": op2_jaccard_join,
@@ -85,6 +94,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_quality": op9_quality,
     "op10_warc": op10_warc,
     "op11_hard_negatives": op11_hard_negatives,
+    "op12_divergence": op12_divergence,
+    "op13_personal_data": op13_personal_data,
 }
 
 _BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
@@ -153,4 +164,29 @@ ORACLE_SQL: dict[str, str] = {
         where not same and 50 * positive_score <= 100 * score and 100 * score <= 95 * positive_score
         qualify rank <= 3
     """,
+    "op12_divergence": r"""
+        with given as materialized (select row_number() over () as doc, coalesce(lang, '') as lang, coalesce(source, '') as source,
+            translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as t from documents),
+        word as materialized (select doc, lang, source, unnest(regexp_extract_all(t, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) as term from given),
+        kept as materialized (select lang, term, count(*) as n from word group by all having count(distinct doc) >= 3),
+        lang_size as (select lang, count(*) as v, sum(n) as n from kept group by all),
+        grp as materialized (select distinct lang, source from given),
+        counted as materialized (select word.lang, source, term, count(*) as n from word join kept using (lang, term) group by all),
+        size as (select grp.lang, grp.source, coalesce(sum(n), 0) as n from grp left join counted using (lang, source) group by all),
+        p as materialized (select size.lang, size.source, kept.term, coalesce(counted.n, 0) as n,
+                cast(1 + (1000000000::hugeint * (coalesce(counted.n, 0) + 1)) // (size.n + lang_size.v) as bigint) as p,
+                cast(1 + (1000000000::hugeint * (kept.n + 1)) // (lang_size.n + lang_size.v) as bigint) as q
+            from size join kept on size.lang = kept.lang join lang_size on lang_size.lang = size.lang
+            left join counted on counted.lang = size.lang and counted.source = size.source and counted.term = kept.term),
+        apart as (select a.lang, a.source, b.source as item, sum((a.p - b.p) * (a.p - b.p) // b.p) as value
+            from p a join p b on a.lang = b.lang and a.term = b.term and a.source <> b.source group by all),
+        pair as (select a.lang, a.source, b.source as item, cast(coalesce(value, 0) as bigint) as value
+            from grp a join grp b on a.lang = b.lang and a.source <> b.source
+            left join apart on apart.lang = a.lang and apart.source = a.source and apart.item = b.source),
+        more as (select lang, source, term as item, (p - q) * (p - q) // q as value from p where n > 0 and p > q)
+        select lang, source, 'pair' as part, item, value, cast(row_number() over (partition by lang, source order by value desc, item) as int) as rank from pair
+        union all
+        select lang, source, 'term' as part, item, value, cast(row_number() over (partition by lang, source order by value desc, item) as int) as rank from more
+        qualify rank <= 200
+    """,
 }
