@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator, Sequence
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -15,8 +16,27 @@ from pyspark.sql import functions as F
 SLICE_BYTES = 1 << 20
 
 
-#: Spark's own setting: shuffle files go when their query ends, not when the driver happens to collect garbage.
-_RELEASE = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+#: Spark's own settings while a job of an operator runs: shuffle files go when their query ends, not when the driver
+#: happens to collect garbage, and batches for Python are bounded in bytes, so that long texts do not fill a worker.
+_SETTINGS = {
+    "spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true",
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "2048",
+    "spark.sql.execution.arrow.maxBytesPerBatch": str(8 << 20),
+}
+
+
+@contextmanager
+def modest(spark: SparkSession) -> Iterator[None]:
+    """Settings for a job that runs inside the block; what is still lazy afterwards runs with the session's own."""
+    before = {key: spark.conf.get(key, None) for key in _SETTINGS}
+    for key, value in _SETTINGS.items():
+        spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
 
 # --- scratch tables -----------------------------------------------------------------------------------------------
 
@@ -46,12 +66,8 @@ class Scratch:
     def land(self, df: DataFrame, name: str) -> DataFrame:
         """Write and read back: lineage ends here, and lost executors cost no more than their tasks."""
         path = self.folder(f"{name}-{uuid.uuid4().hex[:8]}")
-        before = self.spark.conf.get(_RELEASE, None)
-        self.spark.conf.set(_RELEASE, "true")
-        try:
+        with modest(self.spark):
             df.write.parquet(path)
-        finally:
-            self.spark.conf.unset(_RELEASE) if before is None else self.spark.conf.set(_RELEASE, before)
         return self.spark.read.schema(df.schema).parquet(path)
 
     def drop(self, *tables: DataFrame) -> None:

@@ -19,18 +19,19 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from voxtally.llm.common import Scratch, map_batches, mix, text_bytes
+from voxtally.llm.common import Scratch, map_batches, mix, modest
 
 TERM = re.compile(rb"[^\x00-\x40\x5B-\x60\x7B-\x7F]+")
 #: Bits of the map of prefixes that are still followed; a power of two.
 MAP_BITS = 1 << 27
 #: Length of the first prefixes in bytes; each level doubles it.
 FIRST_LEVEL = 4
-#: Entries a task gathers before it sends on what it has added up.
-GATHERED = 1 << 21
+#: Bytes of terms that are looked at together, and entries a task gathers before it sends on what it has added up.
+PIECE, GATHERED = 1 << 21, 1 << 19
 #: Entries of one matrix of shares.
 CELLS = 1 << 19
 #: Shares are counted in parts of so many.
@@ -46,71 +47,88 @@ def _named(documents: DataFrame) -> list[F.Column]:
     return [F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in ("lang", "source") if c in documents.columns]
 
 
+TERMS = "lang string, source string, terms binary, counts binary"
+
+
 def document_terms(documents: DataFrame) -> DataFrame:
-    """``lang``, ``source`` and the different terms of each whole text in byte order, with their occurrences; texts without terms are left out."""
+    """``lang``, ``source`` and the different ``terms`` of each whole text in byte order, each ended by a zero byte, with their
+    occurrences in ``counts`` (64 bits each); texts without terms are left out."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             at: list[int] = []
-            offsets, terms, counts, size = [0], [], [], 0
-            for i, text in enumerate(text_bytes(batch.column("text"))):
-                found = Counter(TERM.findall(text.lower()))
+            terms: list[bytes] = []
+            counts: list[bytes] = []
+            for i, text in enumerate(batch.column("text")):
+                found = Counter(TERM.findall((text.as_py() or "").encode().lower()))
                 if found:
-                    at.append(i)
                     names = sorted(found)
-                    terms += names
-                    counts += [found[t] for t in names]
-                    offsets.append(len(terms))
-                    size += len(text)
-                if size > 1 << 22:
-                    yield _term_batch(batch, at, offsets, terms, counts)
-                    at, offsets, terms, counts, size = [], [0], [], [], 0
-            if at:
-                yield _term_batch(batch, at, offsets, terms, counts)
+                    at.append(i)
+                    terms.append(b"\0".join(names) + b"\0")
+                    counts.append(np.array([found[t] for t in names], "<i8").tobytes())
+            of = batch.select(["lang", "source"]).take(pa.array(at, pa.int64()))
+            yield pa.RecordBatch.from_arrays([*of.columns, pa.array(terms, pa.binary()), pa.array(counts, pa.binary())], ["lang", "source", "terms", "counts"])
 
     texts = documents.select(*_named(documents), F.col("text").cast("string").alias("text")).where("text <> ''")
-    return map_batches(texts, work, "lang string, source string, terms array<binary>, counts array<long>")
+    return map_batches(texts, work, TERMS)
 
 
-def _term_batch(batch: pa.RecordBatch, at: list[int], offsets: list[int], terms: list[bytes], counts: list[int]) -> pa.RecordBatch:
-    ends = pa.array(offsets, pa.int32())
-    of = batch.select(["lang", "source"]).take(pa.array(at))
-    return pa.RecordBatch.from_arrays(
-        [*of.columns, pa.ListArray.from_arrays(ends, pa.array(terms, pa.binary())), pa.ListArray.from_arrays(ends, pa.array(counts, pa.int64()))],
-        ["lang", "source", "terms", "counts"],
-    )
+def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Batches of documents in pieces of about ``PIECE`` bytes of terms; a longer document goes alone."""
+    for batch in batches:
+        ends = np.cumsum([len(x) for x in _spans(batch.column("terms"))])
+        first = 0
+        while first < len(batch):
+            last = max(first + 1, int(np.searchsorted(ends, (ends[first - 1] if first else 0) + PIECE, side="right")))
+            yield batch.slice(first, last - first)
+            first = last
+
+
+def _spans(column: pa.BinaryArray) -> list[range]:
+    ends = np.frombuffer(column.buffers()[1], np.int32)[column.offset : column.offset + len(column) + 1].tolist() if len(column) else [0]
+    return [range(a, b) for a, b in zip(ends, ends[1:])]
 
 
 class Terms:
-    """All terms of a batch of documents: their bytes, places, lengths, documents, and a seed for each language."""
+    """All terms of a piece: their bytes, places, lengths, documents, and a seed for each language."""
 
     def __init__(self, batch: pa.RecordBatch) -> None:
-        lists = batch.column("terms")
-        sizes = np.diff(lists.offsets.to_numpy())
-        self.flat = lists.flatten()
-        self.doc = np.repeat(np.arange(len(sizes)), sizes)
-        ends = np.frombuffer(self.flat.buffers()[1], np.int32)[self.flat.offset : self.flat.offset + len(self.flat) + 1].astype(np.int64)
-        first = int(ends[0])
-        data = self.flat.buffers()[2]
-        raw = (data.to_pybytes() if data is not None else b"")[first : int(ends[-1])] + bytes(8)
-        self.words = np.ndarray((len(raw) - 7,), "<u8", raw, strides=(1,))  # the eight bytes from each place on
-        self.starts, self.lengths = ends[:-1] - first, np.diff(ends)
-        seeds = {lang: int.from_bytes(hashlib.blake2b(lang.encode(), digest_size=8).digest(), "little") for lang in batch.column("lang").unique().to_pylist()}
-        self.seed = np.array([seeds[x] for x in batch.column("lang").to_pylist()], np.uint64)[self.doc]
+        column = batch.column("terms")
+        spans = _spans(column)
+        first, end = spans[0].start, spans[-1].stop
+        self.raw = column.buffers()[2].slice(first, end - first).to_pybytes() + bytes(8)
+        self.words = np.ndarray((len(self.raw) - 7,), "<u8", self.raw, strides=(1,))  # the eight bytes from each place on
+        ends = np.flatnonzero(np.frombuffer(self.raw, np.uint8, end - first) == 0)
+        self.starts = np.concatenate([[0], ends[:-1] + 1])
+        self.lengths = ends - self.starts
+        self.doc = np.searchsorted([s.stop - first for s in spans], self.starts, side="right")
+        langs = batch.column("lang").to_pylist()
+        seeds = {lang: int.from_bytes(hashlib.blake2b(lang.encode(), digest_size=8).digest(), "little") for lang in set(langs)}
+        self.seed = np.array([seeds[x] for x in langs], np.uint64)
+
+    def named(self) -> pa.BinaryArray:
+        """The terms with their end marks."""
+        offsets = np.append(self.starts, len(self.raw) - 8).astype(np.int32)
+        return pa.BinaryArray.from_buffers(pa.binary(), len(self.starts), [None, pa.py_buffer(offsets), pa.py_buffer(self.raw)])
 
     def keys(self, rows: np.ndarray, upto: int | None = None) -> np.ndarray:
-        """Hash of each term's first ``upto`` bytes, an end mark counted as one; the last bit is set where the end is among them."""
-        key, length, start = self.seed[rows], self.lengths[rows], self.starts[rows]
+        """Hash of each term's first ``upto`` bytes, the end mark counted as one; the last bit is set where the end is among them."""
+        key, length, start = self.seed[self.doc[rows]], self.lengths[rows], self.starts[rows]
         marked = length + 1 if upto is None else np.minimum(length + 1, upto)
-        at, place = np.arange(len(rows)), 0
-        while len(at):
-            here = np.minimum(marked[at] - place, 8)
-            real = np.clip(np.minimum(length[at], marked[at]) - place, 0, 8)
-            word = self.words[np.minimum(start[at] + place, len(self.words) - 1)] & _LOW_BYTES[real]
-            key[at] = mix(key[at] ^ mix(word + _SEED * here.astype(np.uint64)))
+        at, place = None, 0
+        while True:
+            here = np.minimum(marked if at is None else marked[at] - place, 8)
+            word = self.words[(start if at is None else start[at]) + place] & _LOW_BYTES[here]
+            word += _SEED * here.astype(np.uint64)
+            if at is None:
+                key = mix(key ^ mix(word))
+                at = np.flatnonzero(marked > 8)
+            else:
+                key[at] = mix(key[at] ^ mix(word))
+                at = at[marked[at] > place + 8]
             place += 8
-            at = at[marked[at] > place]
-        return key & ~np.uint64(1) | (marked > length).astype(np.uint64)
+            if not len(at):
+                return key & ~np.uint64(1) | (marked > length).astype(np.uint64)
 
 
 _LOW_BYTES = np.array([(1 << 8 * n) - 1 for n in range(9)], np.uint64)
@@ -133,7 +151,7 @@ def prefix_documents(terms: DataFrame, before: int, length: int, alive: np.ndarr
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple[np.ndarray, np.ndarray]] = []
         size = 0
-        for batch in filter(len, batches):
+        for batch in _pieces(batches):
             of = Terms(batch)
             rows = np.flatnonzero(of.lengths >= before)
             if alive is not None and len(rows):
@@ -174,8 +192,9 @@ def kept_map(terms: DataFrame, least: int, map_bits: int = MAP_BITS, first_level
         counted = prefix_documents(terms, before, length, alive).groupBy("key").agg(F.sum("docs").alias("docs")).where(F.col("docs") >= least)
         place = F.pmod(F.shiftrightunsigned("key", 1), F.lit(map_bits))
         bit = F.expr("shiftleft(1L, int(place % 64))")
-        words = (counted.select((F.col("key") % 2 != 0).alias("complete"), place.alias("place"))
-                 .groupBy("complete", F.expr("place div 64").alias("word")).agg(F.bit_or(bit).alias("bits")).toArrow())
+        with modest(terms.sparkSession):
+            words = (counted.select((F.col("key") % 2 != 0).alias("complete"), place.alias("place"))
+                     .groupBy("complete", F.expr("place div 64").alias("word")).agg(F.bit_or(bit).alias("bits")).toArrow())
         complete, word, bits = (words.column(c).to_numpy() for c in ("complete", "word", "bits"))
         kept[word[complete]] |= bits[complete].view(np.uint64)
         if complete.all():
@@ -194,18 +213,19 @@ def kept_counts(terms: DataFrame, kept: np.ndarray, least: int) -> DataFrame:
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.Table] = []
         size = 0
-        for batch in filter(len, batches):
+        for batch in _pieces(batches):
             of = Terms(batch)
             rows = np.flatnonzero(_in_map(kept, of.keys(np.arange(len(of.lengths)))))
-            doc, at = pa.array(of.doc[rows]), pa.array(rows)
+            doc = pa.array(of.doc[rows])
+            counts = np.frombuffer(b"".join(batch.column("counts").to_pylist()), "<i8")
             held.append(_grouped([pa.table({
-                "lang": batch.column("lang").take(doc), "source": batch.column("source").take(doc), "term": of.flat.take(at),
-                "docs": pa.array(np.ones(len(rows), np.int64)), "n": batch.column("counts").flatten().take(at)})]))
+                "lang": batch.column("lang").take(doc), "source": batch.column("source").take(doc), "term": of.named().take(pa.array(rows)),
+                "docs": pa.array(np.ones(len(rows), np.int64)), "n": pa.array(counts[rows])})]))
             size += len(held[-1])
-            if size > GATHERED // 2:
+            if size > GATHERED:
                 held = [_grouped(held)]
                 size = len(held[0])
-                if size > GATHERED // 4:
+                if size > GATHERED // 2:
                     yield from _text_batches(held)
                     held, size = [], 0
         if held:
@@ -230,7 +250,8 @@ def _grouped(tables: list[pa.Table]) -> pa.Table:
 def _text_batches(tables: list[pa.Table]) -> Iterator[pa.RecordBatch]:
     for table in tables:
         place = table.schema.get_field_index("term")
-        yield from table.set_column(place, "term", table.column("term").cast(pa.string())).to_batches(max_chunksize=1 << 16)
+        names = pc.binary_slice(table.column("term"), 0, -1).cast(pa.string())
+        yield from table.set_column(place, "term", names).to_batches(max_chunksize=1 << 16)
 
 
 # --- shares and how they differ ---------------------------------------------------------------------------------------
