@@ -92,6 +92,46 @@ def test_not_a_number_is_missing(reviews):
     assert row.rating is None
 
 
+def test_later_copies_by_any_partitioning(spark, reviews):
+    rows = [(i % 2, i if i % 7 else None, f"{'x' if i % 5 else 'hot'} {i % 11 if i % 5 else 0} one two") for i in range(300)]
+    df = spark.createDataFrame(rows, "source_rank int, source_row long, review_text string").selectExpr("*", "cast(NULL AS string) AS review_title").repartition(9)
+    digests = clean.text_digests(df)
+    first = {}
+    for rank, row, text in rows:
+        place = (rank, row is None, row or 0)
+        first[text] = min(first.get(text, place), place)
+    want = sorted((rank, row is None, row or 0) for rank, row, text in rows if (rank, row is None, row or 0) != first[text])
+    copies = clean.later_copies(digests)
+    assert sorted((r.source_rank, r.source_row is None, r.source_row or 0) for r in copies.collect()) == want
+    for most in (0, 10_000):
+        left = clean.without(df, copies, most_sent=most)
+        assert left.count() == len(rows) - len(want) and ("BroadcastHashJoin" in plan_of(left)) >= (most > 0)
+
+
+def test_counters_of_deliveries_add_up(reviews):
+    texts = ["", "a b", "a b c d", "A b c d!", "e f g h", "a b c d", "e f g h", " "]
+    whole = reviews(*[dict(review_text=t) for t in texts])
+    parts = [clean.per_text(clean.text_digests(whole.where(f"source_row % 3 = {i}"))) for i in range(3)]
+    assert clean.count_reductions(clean.merge_texts(*parts)).first() == clean.quality_counts(whole).first()
+    staged = clean.staged(whole)
+    assert clean.count_reductions(clean.per_text(staged)).first() == clean.quality_counts(whole).first()
+
+
+def test_no_text_in_the_exchange_that_finds_duplicates(spark, reviews):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        df = reviews(*[dict(review_text="a b c d") for _ in range(5)])
+        plan = plan_of(clean.later_copies(clean.text_digests(df)))
+        for line in plan.split("Exchange hashpartitioning(text_key")[1:]:
+            below = line.split("Project [")[1].split("]")[0]
+            assert "review_text" not in below.split(" AS ")[0] and "source_row" in below
+        kept = plan_of(clean.clean(df, duplicates_first=True))
+        assert "Exchange hashpartitioning" not in kept and "BroadcastHashJoin" in kept
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
 def plan_of(df):
     return df._jdf.queryExecution().executedPlan().toString()
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from voxtally.functions import match
 from voxtally.operators import clean, kpis, quant, sentiment, themes
-from voxtally.rules import DEFAULT_RULES
+from voxtally.rules import DEFAULT_RULES, NegativeExperience, Signals
 
 TERM = "seat recline"
 OTHER = replace(
@@ -61,3 +61,13 @@ def test_negative_terms(matched):
     scored = scored.withColumns({"themes": F.array().cast("array<string>"), "sentiment_points": F.lit(-500), "rating_bucket": F.lit("low")})
     listed = kpis.headline_lists(scored, OTHER).where(F.col("label") == TERM).collect()
     assert [r["count"] for r in listed] == [1]
+
+
+def test_limits_and_signals_are_the_callers(matched):
+    rules = replace(DEFAULT_RULES, signals=Signals(low_rating=0, high_rating=1, high_points=2.5), negative_experience=NegativeExperience(rating=0.5, costly_types=("delay",), keywords=0))
+    praised = matched.withColumn("recommended", F.lit(None).cast("boolean"))
+    assert clean.derived_fields(praised, rules).first().likely_negative_experience is True
+    assert clean.derived_fields(praised.withColumn("disruption_type", F.lit("refund")), rules).first().likely_negative_experience is False
+    row = sentiment.add_sentiment_evidence(sentiment.score_sentiment(praised, rules), rules).first()
+    assert row.sentiment_evidence.endswith("rating>=1") and "rating<=" not in row.sentiment_evidence
+    assert row.sentiment_points == sentiment.score_sentiment(praised.drop("rating"), rules).first().sentiment_points + 250

@@ -1,11 +1,12 @@
 import hashlib
+import os
 
 import pytest
 
 from voxtally.operators.clean import clean
-from voxtally.sources.ingest import complete_columns, read_raw, spread, standardize, union_sources
+from voxtally.sources.ingest import complete_columns, headers, read_dataset, read_mixed, read_raw, short_ids, spread, standardize, union_sources
 from voxtally.sources.registry import AIRLINE_REVIEWS, DATASETS, DEMO_FEEDBACK, Dataset, Registry
-from voxtally.sources.sinks import land, shared_folder, write_table
+from voxtally.sources.sinks import Landing, land, publish, published, shared_folder, write_table
 
 CSV = '''airline_name,title,content,date,overall_rating,type_traveller,route,cabin_flown,recommended
 adria-airways,"Lost ""bag""","First line
@@ -116,6 +117,79 @@ def test_spread_moves_only_on_request(spark):
     assert spread(df, "id", 5).rdd.getNumPartitions() == 5
 
 
+def test_a_failed_write_leaves_the_table(spark, tmp_path):
+    path = str(tmp_path / "t")
+    write_table(spark.range(3), path)
+    with pytest.raises(Exception, match="boom"):
+        write_table(spark.range(5).selectExpr("id", "raise_error('boom') AS x"), path)
+    assert spark.read.parquet(path).count() == 3 and os.listdir(tmp_path) == ["t"]
+    write_table(spark.read.parquet(path).where("id > 0"), path)  # a table may be made from itself
+    assert spark.read.parquet(path).count() == 2 and os.listdir(tmp_path) == ["t"]
+
+
+def test_published_versions(spark, tmp_path):
+    path = str(tmp_path / "t")
+    with pytest.raises(ValueError, match="nothing is published"):
+        published(spark, path)
+    first = publish(spark.range(1), path)
+    reading = published(spark, path)
+    second = publish(published(spark, path).unionAll(spark.range(1)), path)
+    assert reading.count() == 1 and published(spark, path).count() == 2 and published(spark, path, first).count() == 1
+    with pytest.raises(Exception, match="boom"):
+        publish(spark.range(5).selectExpr("raise_error('boom') AS x"), path)
+    assert published(spark, path).count() == 2 and {f for f in os.listdir(path) if f.startswith("version")} == {first, second}
+    publish(spark.createDataFrame([(1, ["a"])], "i int, tags array<string>"), path, "csv", keep=0)
+    assert published(spark, path).first().asDict() == dict(i="1", tags='["a"]')
+    assert len([f for f in os.listdir(path) if f.startswith("version")]) == 1
+
+
+def test_landed_tables_go_with_their_work(spark):
+    with Landing(spark) as landing:
+        df = landing.land(spark.range(4), "x")
+        assert df.count() == 4 and os.path.exists(landing.path)
+    assert not os.path.exists(landing.path)
+    with pytest.raises(KeyError), Landing(spark) as landing:
+        landing.land(spark.range(4), "x")
+        raise KeyError
+    assert not os.path.exists(landing.path)
+
+
+def test_files_with_differing_headers(spark, tmp_path):
+    (tmp_path / "a.csv").write_text('title,content\nx,"first\nline"\n')
+    (tmp_path / "b.csv").write_text("content,title\r\ny,z\r\n")
+    (tmp_path / "c.csv").write_text("\ufeffcontent,overall_rating\nw,7\nv,NA\n")
+    (tmp_path / "d.csv").write_text("content,title\nu,t\n")
+    (tmp_path / "e.csv").write_text("")
+    df = read_mixed(spark, str(tmp_path))
+    got = sorted((r.content, r.title, r.overall_rating) for r in df.fillna("-").collect())
+    assert got == [("first\nline", "x", "-"), ("u", "t", "-"), ("v", "-", "-"), ("w", "-", "7"), ("y", "z", "-")]
+    assert df.select("source_row").distinct().count() == 5
+    assert {tuple(f.rsplit("/", 1)[1] for f in r.files) for r in headers(spark, str(tmp_path)).collect()} == {("a.csv",), ("b.csv", "d.csv"), ("c.csv",)}
+    dataset = Dataset("mine", "Mine", {"review_text": "content", "review_title": "title", "rating": "overall_rating"})
+    rows = {r.review_text: (r.review_title, r.rating) for r in read_dataset(spark, str(tmp_path), dataset).collect()}
+    assert rows == {"first\nline": ("x", None), "u": ("t", None), "v": (None, None), "w": (None, 7.0), "y": ("z", None)}
+    with pytest.raises(ValueError, match="no CSV file"):
+        read_mixed(spark, str(tmp_path / "e.csv"))
+
+
+def test_datasets_in_other_formats(spark, tmp_path):
+    spark.createDataFrame([("late bag",)], "body string").write.json(str(tmp_path / "j"))
+    dataset = Dataset("mine", "Mine", {"review_text": "body"}, "json")
+    assert read_dataset(spark, str(tmp_path / "j"), dataset).first().review_text == "late bag"
+
+
+def test_colliding_identifiers_stay_whole(spark):
+    raw = spark.range(200).selectExpr("concat('text ', id % 150) AS body")
+    whole = standardize(raw, Dataset("k", "K", {"review_text": "body"}), id_digits=32)
+    names = {}
+    for r in whole.collect():
+        names.setdefault(r.review_id[:4], set()).add(r.review_id)
+    got = {r.review_text: r.review_id for r in short_ids(whole, 2).collect()}
+    assert len(set(got.values())) == 150 and short_ids(whole, 2).count() == 200
+    assert {len(i) for i in got.values()} == {4, 34}
+    assert all(len(i) == (4 if len(names[i[:4]]) == 1 else 34) for i in got.values())
+
+
 def test_differing_headers_fail(spark, tmp_path):
     (tmp_path / "a.csv").write_text("title,content\nx,y\n")
     (tmp_path / "b.csv").write_text("content,title\ny,x\n")

@@ -1,7 +1,8 @@
 import pytest
 from pyspark.sql import functions as F
 
-from voxtally.operators import kpis, quant, sentiment, themes
+from voxtally.operators import kpis, quant, sentiment, summaries, themes
+from voxtally.plans.stages import SUMMARIES
 from voxtally.rules import DEFAULT_RULES as RULES
 
 DELAY, COMM, BAG = "delay frustration", "poor communication", "baggage problems"
@@ -95,6 +96,24 @@ def test_ngram_minimum_follows_the_number_of_reviews(spark, reviews, least):
     assert [w in found for w in ("alpha", "beta", "gamma")] == [least <= n for n in (1, 2, 3)]
 
 
+@pytest.mark.parametrize("buckets, first_buckets, limit", [(64, 1, 40), (1 << 16, 320, 40), (128, 2, 5), (3, 3, 1)])
+def test_ngrams_equal_a_whole_count(spark, buckets, first_buckets, limit):
+    import collections
+    import random
+    pick = random.Random(6)
+    words = [f"w{min(int(pick.paretovariate(0.7)), 60)}" for _ in range(6000)]
+    texts = [" ".join(words[i : i + pick.randrange(0, 50)]) for i in range(0, 6000, 30)] + ["", "the", "a b c"]
+    df = spark.createDataFrame([(t,) for t in texts], "clean_text string").repartition(5)
+    count, documents = collections.Counter(), collections.Counter()
+    for text in texts:
+        kept = [w for w in text.split() if len(w) > 1 and w not in quant.DEFAULT_STOP_WORDS]
+        terms = kept + [f"{a} {b}" for a, b in zip(kept, kept[1:])]
+        count.update(terms)
+        documents.update(set(terms))
+    want = sorted(((t, n) for t, n in count.items() if documents[t] >= 2), key=lambda x: (-x[1], x[0]))[:limit]
+    assert rows(quant.ngram_frequency(df, limit=limit, buckets=buckets, first_buckets=first_buckets), "term", "count") == want
+
+
 def test_rating_tables(scored):
     assert rows(quant.rating_distribution(scored), "rating", "rating_bucket", "count", "share_of_rated_reviews_pct") == [
         (1.0, "low", 1, 20.0), (2.0, "low", 1, 20.0), (3.0, "medium", 1, 20.0), (5.0, "high", 2, 40.0)]
@@ -149,6 +168,18 @@ def test_headline_lists_agree_with_their_tables(scored):
     assert lists["top_pairs"] == sorted(pairs, key=lambda p: (-p[1], p[0]))[:5]
 
 
+@pytest.mark.parametrize("which", ["all", "none"])
+def test_every_table_from_one_tally(scored, which):
+    scored = scored.where(F.lit(which == "all"))
+    tallied = summaries.tally(scored)
+    direct = {**SUMMARIES, "top_pain_points": kpis.top_pain_points, "most_negative_themes": kpis.most_negative_themes,
+              "highlighted_pairs": kpis.highlighted_pairs}
+    for name, cut in summaries.FROM_TALLY.items():
+        got, want = cut(tallied, RULES), direct[name](scored, RULES)
+        assert got.dtypes == want.dtypes, name
+        assert sorted(map(repr, got.collect())) == sorted(map(repr, want.collect())), name
+
+
 def quotes_frame(spark, rows):
     columns = "review_id string, is_synthetic boolean, text_length int, review_date date, analysis_text string"
     return spark.createDataFrame(rows, columns).selectExpr(

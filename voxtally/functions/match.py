@@ -34,6 +34,16 @@ def vocabulary(phrases: Sequence[str], words: Sequence[str] = ()) -> list[str]:
     return list(dict.fromkeys([*map(anchor_of, phrases), *words]))
 
 
+def made_by(df: DataFrame, column: str, fingerprint: str) -> bool:
+    """Whether ``df`` has a column of matches that says it was made with these dictionaries."""
+    return column in df.columns and df.schema[column].metadata.get(MADE_BY) == fingerprint
+
+
+def marked(matches: Column, column: str, fingerprint: str) -> Column:
+    """Matches that say what made them, also through a written Parquet table."""
+    return matches.alias(column, metadata={MADE_BY: fingerprint})
+
+
 def matched_by(df: DataFrame, rules: RuleSet) -> bool:
     """Whether ``df`` has phrase matches that ``rules`` can use: made with the same dictionaries, or the caller's own.
 
@@ -67,7 +77,7 @@ def phrase_hits(text: str, known: str, phrases: Sequence[str]) -> Column:
 
 
 def pattern_hits(text: str, known: str, themes: Sequence[Theme]) -> Column:
-    """``(theme, match)`` for each regular expression found in ``text``.
+    """``(theme, match)`` for each regular expression found in ``text``; null for a null text.
 
     The expressions are literals, so each is compiled once per task, and those
     with an anchor run only on texts in which the anchor occurs.
@@ -78,9 +88,8 @@ def pattern_hits(text: str, known: str, themes: Sequence[Theme]) -> Column:
             gate = f"array_contains({known}, {sql_string(pattern.anchor)}) AND " if pattern.anchor else ""
             found.append(f"CASE WHEN {gate}rlike({text}, {sql_string(pattern.regex)}) THEN named_struct("
                          f"'theme', {sql_string(theme.label)}, 'match', {sql_string('regex:' + pattern.regex)}) END")
-    if not found:
-        return F.expr(f"cast(array() as {PATTERN_HITS})")
-    return F.expr(f"filter(array({', '.join(found)}), hit -> hit IS NOT NULL)")
+    hits = f"filter(array({', '.join(found)}), hit -> hit IS NOT NULL)" if found else f"cast(array() as {PATTERN_HITS})"
+    return F.expr(f"IF({text} IS NULL, NULL, {hits})")
 
 
 def word_hits(text: str, known: str, lexicon: Lexicon) -> Column:

@@ -21,20 +21,30 @@ REPORT_CHARS = 190
 def disruption_counts(cleaned: DataFrame, limit: int = 8) -> DataFrame:
     """Most frequent disruption types."""
     kind = F.expr("coalesce(disruption_type, 'unknown')").alias("disruption_type")
-    return (cleaned.groupBy(kind).agg(F.expr("count(1)").alias("count"))
-            .orderBy(F.desc("count"), "disruption_type").limit(limit))
+    return disruption_rows(cleaned.groupBy(kind).agg(F.expr("count(1)").alias("count")), limit)
+
+
+def disruption_rows(grouped: DataFrame, limit: int = 8) -> DataFrame:
+    return (grouped.orderBy(F.desc("count"), "disruption_type").limit(limit))
 
 
 def top_pain_points(coded: DataFrame, rules: RuleSet = DEFAULT_RULES, limit: int = 8) -> DataFrame:
     """Most frequent themes among the pain points."""
-    return (quant.theme_frequency(coded, rules).where(F.col("theme").isin(*rules.pain_points))
+    return pain_point_rows(quant.theme_frequency(coded, rules), rules, limit)
+
+
+def pain_point_rows(frequency: DataFrame, rules: RuleSet = DEFAULT_RULES, limit: int = 8) -> DataFrame:
+    return (frequency.where(F.col("theme").isin(*rules.pain_points))
             .orderBy(F.desc("count"), "theme").limit(limit))
 
 
 def most_negative_themes(scored: DataFrame, rules: RuleSet = DEFAULT_RULES, limit: int = 8) -> DataFrame:
     """Themes with the largest negative share, among those that occur."""
-    return (sentiment_by_theme(scored, rules).where("review_count > 0")
-            .orderBy(F.desc("negative_share_pct"), F.desc("review_count"), "theme").limit(limit))
+    return negative_theme_rows(sentiment_by_theme(scored, rules), limit)
+
+
+def negative_theme_rows(by_theme: DataFrame, limit: int = 8) -> DataFrame:
+    return by_theme.where("review_count > 0").orderBy(F.desc("negative_share_pct"), F.desc("review_count"), "theme").limit(limit)
 
 
 def highlighted_pairs(coded: DataFrame, rules: RuleSet = DEFAULT_RULES, limit: int = 8) -> DataFrame:
@@ -57,6 +67,10 @@ def corpus_kpis(cleaned: DataFrame) -> DataFrame:
         "median_rating": "bround(median(rating), 2)",
         "recommended_share_pct": "bround(avg(int(recommended)) * 100, 2)",
     }))
+    return kpi_rows(row)
+
+
+def kpi_rows(row: DataFrame) -> DataFrame:
     return with_exprs(row, {
         "public_share_pct": share_pct("public_reviews", "total_reviews"),
         "synthetic_share_pct": share_pct("synthetic_reviews", "total_reviews"),
@@ -72,19 +86,28 @@ def rating_buckets(scored: DataFrame) -> DataFrame:
 
 def recommendation_pivot(scored: DataFrame, rules: RuleSet = DEFAULT_RULES) -> DataFrame:
     """Share of yes and no per theme, unused themes included, 0 where nobody said so."""
+    return pivot_rows(quant.theme_vs_recommendation(scored), rules)
+
+
+def pivot_rows(crosstab: DataFrame, rules: RuleSet = DEFAULT_RULES) -> DataFrame:
+    """:func:`recommendation_pivot` from the cross-tabulation of themes and answers."""
     def share(answer: str) -> str:
         return f"coalesce(max(share_within_theme_pct) FILTER (WHERE recommendation = '{answer}'), 0D)"
 
-    answers = quant.theme_vs_recommendation(scored).groupBy("theme").agg(
+    answers = crosstab.groupBy("theme").agg(
         *aliased({"yes_share_pct": share("yes"), "no_share_pct": share("no")}))
     # no more rows than themes on either side
-    return (theme_table(scored, rules).select("theme").join(answers, "theme", "left")
+    return (theme_table(crosstab, rules).select("theme").join(answers, "theme", "left")
             .select("theme", *aliased({n: f"coalesce({n}, 0D)" for n in ("yes_share_pct", "no_share_pct")})).orderBy("theme"))
 
 
 def recovery_signals(scored: DataFrame, rules: RuleSet = DEFAULT_RULES) -> DataFrame:
     """Share of positive reviews per theme that occurs."""
-    table = sentiment_by_theme(scored, rules).where("review_count > 0")
+    return recovery_rows(sentiment_by_theme(scored, rules))
+
+
+def recovery_rows(by_theme: DataFrame) -> DataFrame:
+    table = by_theme.where("review_count > 0")
     share = f"{share_pct('positive_count', 'review_count')} AS positive_share_pct"
     return (table.selectExpr("theme", "review_count", "positive_count", share)
             .orderBy(F.desc("positive_share_pct"), "theme"))
@@ -106,6 +129,11 @@ def headline_lists(scored: DataFrame, rules: RuleSet = DEFAULT_RULES, lengths: M
     ``lengths`` replaces single entries of :data:`LIST_LENGTHS`.
     All lists come from one pass over the reviews, see :func:`_tally`.
     """
+    return list_rows(_tally(scored, rules), lengths)
+
+
+def list_rows(tally: DataFrame, lengths: Mapping[str, int] | None = None) -> DataFrame:
+    """:func:`headline_lists` from rows as :func:`_tally` gives them."""
     of_reviews, of_negative = share_pct("n", "reviews"), share_pct("n", "negative_reviews")
     negative_share = share_pct("negative", "n")
     # points are hundredths; a theme without reviews sorts last
@@ -121,7 +149,7 @@ def headline_lists(scored: DataFrame, rules: RuleSet = DEFAULT_RULES, lengths: M
     entries = ", ".join(f"""CASE WHEN kind = '{kind}' THEN named_struct('list_name', '{name}', 'length', {int(longest[name])},
         'share_pct', {share}, 'by_1', double({first}), 'by_2', double({second}), 'by_3', double({third})) END"""
                         for name, kind, share, first, second, third in lists)
-    listed = _tally(scored, rules).selectExpr(
+    listed = tally.selectExpr(
         f"inline(filter(array({entries}), entry -> entry IS NOT NULL))", "label", "n AS count")
     rank = F.expr("row_number() OVER (PARTITION BY list_name ORDER BY by_1 DESC, by_2, by_3 DESC, label)")
     return (listed.withColumn("position", rank).where("position <= length")
@@ -147,9 +175,17 @@ def _tally(scored: DataFrame, rules: RuleSet) -> DataFrame:
         named("term", f"IF(sentiment_label = 'negative', {terms}, {sql_array([])})")])
     rows = scored.selectExpr(f"inline(concat({items}))", "int(sentiment_label = 'negative') AS negative",
                              "sentiment_points AS points", "1 AS n")
+    return tally_rows(rows, rules)
+
+
+def tally_rows(rows: DataFrame, rules: RuleSet) -> DataFrame:
+    """Sums of ``n``, ``negative`` and ``points`` per ``kind`` and ``label``, with every theme and focus pair, and the totals."""
+    def named(kind: str, labels: str) -> str:
+        return f"transform({labels}, label -> named_struct('kind', '{kind}', 'label', label))"
+
     focus = sql_array([f"{a} + {b}" for a, b in rules.focus_pairs])
     always = f"concat({named('theme', sql_array(rules.theme_labels))}, {named('pair', focus)})"
-    zeros = scored.sparkSession.range(1).selectExpr(f"inline({always})", "0 AS negative", "0 AS points", "0 AS n")
+    zeros = rows.sparkSession.range(1).selectExpr(f"inline({always})", "0 AS negative", "0 AS points", "0 AS n")
     counted = rows.unionByName(zeros).groupBy("kind", "label").agg(
         *aliased({name: f"sum({name})" for name in ("n", "negative", "points")}))
     return with_exprs(counted, {

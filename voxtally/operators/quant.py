@@ -4,13 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from voxtally import dictionaries
 from voxtally.functions import match
 from voxtally.functions.literals import sql_array, sql_let, sql_string
 from voxtally.functions.text import aliased, flag_label, share_pct
+from voxtally.operators import dictionary
 from voxtally.operators.themes import match_text, per_theme
 from voxtally.rules import DEFAULT_RULES, RuleSet
 
@@ -21,7 +22,12 @@ DEFAULT_STOP_WORDS = (*dictionaries.ENGLISH_STOP_WORDS, *dictionaries.DOMAIN_STO
 
 def theme_frequency(coded: DataFrame, rules: RuleSet = DEFAULT_RULES) -> DataFrame:
     """Count and share of all reviews per theme."""
-    return per_theme(coded.select("themes"), {}, rules).selectExpr(
+    return frequency_rows(per_theme(coded.select("themes"), {}, rules))
+
+
+def frequency_rows(table: DataFrame) -> DataFrame:
+    """:func:`theme_frequency` from a row per theme with ``reviews`` and ``total``."""
+    return table.selectExpr(
         "theme", "description", "reviews AS count", f"{share_pct('reviews', 'total')} AS share_of_reviews_pct",
     ).orderBy(F.desc("count"), "theme")
 
@@ -30,15 +36,26 @@ def negative_reviews(scored: DataFrame) -> DataFrame:
     return scored.where("sentiment_label = 'negative'")
 
 
-def seeded_phrases(scored: DataFrame, rules: RuleSet = DEFAULT_RULES, limit: int = TOP_TERMS) -> DataFrame:
-    """How many negative reviews mention each candidate term, the ``limit`` most frequent."""
+def seeded_phrases(scored: DataFrame, rules: RuleSet = DEFAULT_RULES, limit: int = TOP_TERMS, terms: DataFrame | None = None) -> DataFrame:
+    """How many negative reviews mention each candidate term, the ``limit`` most frequent.
+
+    ``terms``, a table with a normalized ``term``, takes the place of the rule set's candidates: for more of them than a
+    plan should hold as literals.
+    """
     reviews = negative_reviews(scored)
+    if terms is not None:
+        counts = dictionary.document_counts(reviews, terms, [])
+        return phrase_rows(counts.unionByName(reviews.agg(F.expr("cast(NULL AS string)").alias("term"), F.expr("count(1)").alias("count"))), limit)
     if not match.matched_by(scored, rules):
         reviews = match_text(reviews, rules)
     found = f"array_intersect({sql_array(rules.candidate_terms())}, phrase_hits)"
     # the row without a term counts the review itself
     marked = reviews.selectExpr(f"explode(array_append({found}, cast(NULL AS string))) AS term")
-    grouped = marked.groupBy("term").agg(F.expr("count(1)").alias("count"))
+    return phrase_rows(marked.groupBy("term").agg(F.expr("count(1)").alias("count")), limit)
+
+
+def phrase_rows(grouped: DataFrame, limit: int = TOP_TERMS) -> DataFrame:
+    """:func:`seeded_phrases` from a row per term with its ``count``, and one without a term for the negative reviews."""
     # no more rows than candidate terms
     grouped = grouped.withColumn("total", F.expr("max(IF(term IS NULL, count, NULL)) OVER ()"))
     return grouped.where("term IS NOT NULL").selectExpr(
@@ -50,35 +67,64 @@ def seeded_phrases(scored: DataFrame, rules: RuleSet = DEFAULT_RULES, limit: int
 LEAST_REVIEWS = ((500, 3), (100, 2))
 
 
-def ngram_frequency(reviews: DataFrame, stop_words: Sequence[str] = DEFAULT_STOP_WORDS,
-                    limit: int = TOP_TERMS, least_reviews: Sequence[tuple[int, int]] = LEAST_REVIEWS) -> DataFrame:
-    """Most frequent words and word pairs, stop words and one-letter words removed first.
+#: Buckets that terms are dealt into by hash, and how many of the fullest are counted term by term to begin with.
+TERM_BUCKETS, FIRST_BUCKETS = 1 << 16, 320
+
+
+def review_terms(reviews: DataFrame, stop_words: Sequence[str] = DEFAULT_STOP_WORDS) -> DataFrame:
+    """``terms`` of each review: its different words and word pairs with their occurrences, as ``(term, n)``.
 
-    A term has to occur in as many reviews as the first entry ``(reviews,
-    least)`` of ``least_reviews`` says that the number of reviews reaches, or
-    else in one.  One pass counts everything: a review emits each term once per
-    occurrence, each different term once, and one row without a term that
-    counts the review.  Only that row has no occurrences.
+    Stop words and one-letter words are removed first.  A review's terms are sorted and equal neighbours counted, so
+    each different term stands once and a long text costs its sort.
     """
     # one hash set per text finds its stop words; few are left to compare each word with
     present = f"array_intersect(split(clean_text, ' '), {sql_array(stop_words)})"
     kept = sql_let({"tokens": "split(clean_text, ' ')", "stops": present},
                    "filter(v.tokens, token -> length(token) > 1 AND NOT array_contains(v.stops, token))")
     pairs = "transform(slice(kept, 2, size(kept)), (word, i) -> concat(get(kept, i), ' ', word))"
-    rows = reviews.selectExpr(f"{kept} AS kept").selectExpr(f"concat(kept, {pairs}) AS terms")
-
-    def tagged(terms: str, occurrences: int, documents: int) -> str:
-        return (f"transform({terms}, term -> named_struct('term', term, 'occurrences', {occurrences}, "
-                f"'documents', {documents}))")
-
-    emitted = ", ".join([tagged("terms", 1, 0), tagged("array_distinct(terms)", 0, 1),
-                         tagged("array(cast(NULL AS string))", 0, 1)])
-    counts = rows.selectExpr(f"inline(concat({emitted}))").groupBy("term").agg(
-        *aliased({"count": "sum(occurrences)", "documents": "sum(documents)"}))
-    # Both uses of the counts read the same columns, so they share one shuffle.
-    least = counts.agg(F.expr("max(IF(count = 0, documents, NULL))").alias("n")).selectExpr(
-        f"CASE {' '.join(f'WHEN n >= {int(n)} THEN {int(k)}' for n, k in (*least_reviews, (0, 1)))} ELSE 1 END").scalar()
-    return (counts.where(F.expr("count > 0") & (F.col("documents") >= least)).select("term", "count")
+    begins = "filter(sequence(0, size(v.s) - 1), i -> i = 0 OR get(v.s, i) <> get(v.s, i - 1))"
+    counted = sql_let({"s": "sorted", "begins": sql_let({"s": "sorted"}, begins)}, """transform(v.begins, (at, j) ->
+        named_struct('term', get(v.s, at), 'n', coalesce(get(v.begins, j + 1), size(v.s)) - at))""")
+    rows = reviews.selectExpr(f"{kept} AS kept").selectExpr(f"array_sort(concat(kept, {pairs})) AS sorted")
+    return rows.selectExpr(f"IF(size(sorted) = 0, cast(array() AS array<struct<term:string,n:int>>), {counted}) AS terms")
+
+
+def _bucket_map(buckets: DataFrame, n_buckets: int) -> Column:
+    """A bit for each bucket listed, as one array value."""
+    bits = buckets.selectExpr("bucket div 64 AS word", "shiftleft(1L, int(bucket % 64)) AS bits")
+    zeros = buckets.sparkSession.range(-(-n_buckets // 64)).selectExpr("id AS word", "0L AS bits")
+    words = bits.unionAll(zeros).groupBy("word").agg(F.bit_or("bits").alias("bits"))
+    return words.agg(F.expr("transform(array_sort(collect_list(struct(word, bits))), w -> w.bits)")).scalar()
+
+
+def ngram_frequency(reviews: DataFrame, stop_words: Sequence[str] = DEFAULT_STOP_WORDS,
+                    limit: int = TOP_TERMS, least_reviews: Sequence[tuple[int, int]] = LEAST_REVIEWS,
+                    buckets: int = TERM_BUCKETS, first_buckets: int = FIRST_BUCKETS) -> DataFrame:
+    """Most frequent words and word pairs, stop words and one-letter words removed first.
+
+    A term has to occur in as many reviews as the first entry ``(reviews, least)`` of ``least_reviews`` says that the
+    number of reviews reaches, or else in one.
+
+    Nearly all different terms are rare, and none of them is shuffled.  Terms are dealt into ``buckets`` by hash and
+    only the buckets' sums are shuffled; a term is no more frequent than its bucket.  The terms of the ``first_buckets``
+    fullest are counted, and the last of the first ``limit`` that qualify there sets a threshold.  Buckets that reach it may
+    hold a term of the result, and their terms are counted exactly.  With fewer terms than ``limit`` that is all of them.
+    """
+    rows = review_terms(reviews, stop_words)
+    place = f"pmod(xxhash64(t.term), {buckets}L)"
+
+    def counted(chosen: Column) -> DataFrame:
+        inside = f"getbit(get(chosen, int({place} div 64)), int({place} % 64)) = 1"
+        found = rows.withColumn("chosen", chosen).selectExpr(f"inline(filter(terms, t -> {inside}))")
+        return found.groupBy("term").agg(*aliased({"count": "sum(n)", "documents": "count(1)"})).where(F.col("documents") >= least)
+
+    steps = " ".join(f"WHEN count(1) >= {int(n)} THEN {int(k)}" for n, k in (*least_reviews, (0, 1)))
+    least = rows.agg(F.expr(f"CASE {steps} ELSE 1 END")).scalar()
+    sums = rows.selectExpr(f"inline(transform(terms, t -> named_struct('bucket', {place}, 'n', t.n)))").groupBy("bucket").agg(F.expr("sum(n)").alias("n"))
+    fullest = sums.orderBy(F.desc("n"), "bucket").limit(first_buckets)
+    first = counted(_bucket_map(fullest, buckets)).orderBy(F.desc("count")).limit(limit)
+    threshold = first.agg(F.expr(f"IF(count(1) = {int(limit)}, min(count), 0L)")).scalar()
+    return (counted(_bucket_map(sums.where(F.col("n") >= threshold), buckets)).select("term", "count")
             .orderBy(F.desc("count"), "term").limit(limit))
 
 
@@ -86,7 +132,7 @@ def negative_terms(scored: DataFrame, rules: RuleSet = DEFAULT_RULES, stop_words
                    limit: int = TOP_TERMS) -> DataFrame:
     """Seeded phrase counts, or the n-gram table when no candidate term occurs.
 
-    Reads ``scored`` more than once: pass a table that has been written.
+    Reads ``scored`` more than once: cheapest on a table that has been written.
     """
     seeded = seeded_phrases(scored, rules, limit)
     hits = seeded.agg(F.expr("count(1)")).scalar()
@@ -98,6 +144,11 @@ def rating_distribution(scored: DataFrame) -> DataFrame:
     """Count and share of rated reviews per observed rating."""
     grouped = scored.where("rating IS NOT NULL").groupBy("rating", "rating_bucket").agg(
         F.expr("count(1)").alias("count"))
+    return distribution_rows(grouped)
+
+
+def distribution_rows(grouped: DataFrame) -> DataFrame:
+    """:func:`rating_distribution` from a row per rating and bucket with its ``count``."""
     total = grouped.agg(F.expr("sum(count)")).scalar()  # shares the shuffle of the counts
     return (grouped.withColumn("total", total)
             .selectExpr("rating", "rating_bucket", "count", f"{share_pct('count', 'total')} AS share_of_rated_reviews_pct")
@@ -117,7 +168,11 @@ def crosstab(rows: DataFrame, column: str, name: str) -> DataFrame:
     Totals come back by a join with one row per theme, not by a window: there
     are few themes, and a window would gather all values of one in one task.
     """
-    counts = rows.groupBy("theme", F.col(column).alias(name)).agg(F.expr("count(1)").alias("count"))
+    return crosstab_rows(rows.groupBy("theme", F.col(column).alias(name)).agg(F.expr("count(1)").alias("count")), name)
+
+
+def crosstab_rows(counts: DataFrame, name: str) -> DataFrame:
+    """:func:`crosstab` from a row per theme and value in ``name`` with its ``count``."""
     totals = counts.groupBy("theme").agg(F.expr("sum(count)").alias("total"))
     return (counts.join(F.broadcast(totals), "theme")
             .selectExpr("theme", name, "count", f"{share_pct('count', 'total')} AS share_within_theme_pct")
@@ -149,12 +204,16 @@ def pain_point_pairs(coded: DataFrame, rules: RuleSet = DEFAULT_RULES) -> DataFr
     are few, so pairs are formed from combinations and not from reviews.
     """
     pains = F.expr(f"array_intersect({sql_array(rules.ordered_pain_points())}, themes)")
-    sets = coded.groupBy(pains.alias("pains")).agg(F.expr("count(1)").alias("n"))
+    return pair_rows(coded.groupBy(pains.alias("pains")).agg(F.expr("count(1)").alias("n")), rules)
+
+
+def pair_rows(sets: DataFrame, rules: RuleSet = DEFAULT_RULES) -> DataFrame:
+    """:func:`pain_point_pairs` from a row per combination of pain points, the empty one included, with its number ``n``."""
     review = "array(cast(NULL AS struct<theme_a:string,theme_b:string>))"
     found = sets.selectExpr(f"explode(concat({pairs_of('pains')}, {review})) AS pair", "n").selectExpr("pair.*", "n")
     if rules.focus_pairs:
         listed = ", ".join(f"({sql_string(a)}, {sql_string(b)}, 0L)" for a, b in rules.focus_pairs)
-        found = found.unionByName(coded.sparkSession.sql(f"SELECT * FROM VALUES {listed} AS t(theme_a, theme_b, n)"))
+        found = found.unionByName(sets.sparkSession.sql(f"SELECT * FROM VALUES {listed} AS t(theme_a, theme_b, n)"))
     grouped = found.groupBy("theme_a", "theme_b").agg(F.expr("sum(n)").alias("count"))
     # the row without a pair holds the number of reviews; at most one row per pair of themes
     total = "coalesce(max(IF(theme_a IS NULL, count, NULL)) OVER (), 0L)"

@@ -27,19 +27,20 @@ def _weight(table: dict[str, float], term: str) -> str:
     return f"coalesce(try_element_at(map({entries}), {term}), 0)"
 
 
-def _signals(df: DataFrame) -> list[tuple[str, int, str]]:
+def _signals(df: DataFrame, rules: RuleSet) -> list[tuple[str, int, str]]:
     """Condition, points and evidence name for each signal outside the text."""
+    s = rules.signals
     flag = {c: c if df.schema[c].dataType.typeName() == "boolean" else text.parse_flag(c)
             for c in ("recommended", "likely_negative_experience") if c in df.columns}
     recommended, negative = flag.get("recommended"), flag.get("likely_negative_experience")
     conditions = [
-        ("rating", "rating <= 2", -120, "rating<=2"),
-        ("rating", "rating >= 4", 80, "rating>=4"),
-        ("recommended", f"({recommended})", 60, "recommended_true"),
-        ("recommended", f"NOT ({recommended})", -80, "recommended_false"),
-        ("likely_negative_experience", f"({negative})", -60, "likely_negative_experience"),
+        ("rating", f"rating <= {s.low_rating}", s.low_points, f"rating<={s.low_rating:g}"),
+        ("rating", f"rating >= {s.high_rating}", s.high_points, f"rating>={s.high_rating:g}"),
+        ("recommended", f"({recommended})", s.recommended, "recommended_true"),
+        ("recommended", f"NOT ({recommended})", s.not_recommended, "recommended_false"),
+        ("likely_negative_experience", f"({negative})", s.likely_negative, "likely_negative_experience"),
     ]
-    return [(condition, points, name) for column, condition, points, name in conditions if column in df.columns]
+    return [(condition, round(100 * points), name) for column, condition, points, name in conditions if column in df.columns]
 
 
 def score_sentiment(df: DataFrame, rules: RuleSet = DEFAULT_RULES) -> DataFrame:
@@ -55,9 +56,11 @@ def score_sentiment(df: DataFrame, rules: RuleSet = DEFAULT_RULES) -> DataFrame:
     points = " + ".join([
         f"aggregate(phrase_hits, 0, (total, phrase) -> total + {phrase})",
         f"aggregate(word_hits, 0, (total, hit) -> total + IF(hit.negated, -1, 1) * {word})",
-        *[f"CASE WHEN {condition} THEN {points} ELSE 0 END" for condition, points, _ in _signals(df)],
+        *[f"CASE WHEN {condition} THEN {points} ELSE 0 END" for condition, points, _ in _signals(df, rules)],
     ])
-    df = df.withColumn("word_hits", match.word_hits(text_to_match(df), "known_words", rules.lexicon))
+    if not match.made_by(df, "word_hits", rules.word_fingerprint()):
+        found = match.word_hits(text_to_match(df), "known_words", rules.lexicon)
+        df = df.withColumn("word_hits", match.marked(found, "word_hits", rules.word_fingerprint()))
     return with_exprs(df.withColumn("sentiment_points", F.expr(points)), {
         "sentiment_score": "sentiment_points / 100D",
         "sentiment_label": f"""CASE WHEN sentiment_points >= {POSITIVE_FROM} THEN 'positive'
@@ -76,7 +79,7 @@ def add_sentiment_evidence(scored: DataFrame, rules: RuleSet = DEFAULT_RULES) ->
         own = f"filter(word_hits, hit -> array_contains({sql_array(list(table))}, hit.word))"
         return f"transform({own}, hit -> concat(IF(hit.negated, 'negated:', ''), hit.word))"
 
-    names = [f"CASE WHEN {condition} THEN {sql_string(name)} END" for condition, _, name in _signals(scored)]
+    names = [f"CASE WHEN {condition} THEN {sql_string(name)} END" for condition, _, name in _signals(scored, rules)]
     signals = f"filter(cast(array({', '.join(names)}) AS array<string>), name -> name IS NOT NULL)"
     groups = [phrases(lexicon.positive_phrases), phrases(lexicon.negative_phrases), words(lexicon.positive_words),
               words(lexicon.negative_words), signals]
@@ -87,6 +90,11 @@ def sentiment_summary(scored: DataFrame) -> DataFrame:
     """Count, mean score and share of all reviews per label."""
     grouped = scored.groupBy(F.col("sentiment_label").alias("sentiment")).agg(*aliased({
         "count": "count(1)", "avg_sentiment_score": "bround(avg(sentiment_points) / 100D, 2)"}))
+    return label_rows(grouped)
+
+
+def label_rows(grouped: DataFrame) -> DataFrame:
+    """:func:`sentiment_summary` from a row per label with ``count`` and ``avg_sentiment_score``."""
     # three rows at most
     share = F.expr(text.share_pct("count", "sum(count) OVER ()"))
     return grouped.withColumn("share_of_reviews_pct", share).orderBy("sentiment")
@@ -95,8 +103,13 @@ def sentiment_summary(scored: DataFrame) -> DataFrame:
 def sentiment_by_theme(scored: DataFrame, rules: RuleSet = DEFAULT_RULES) -> DataFrame:
     """Sentiment mix per theme, most negative first; unused themes come with zeros and nulls."""
     counts = {f"{label}_count": f"count_if(sentiment_label = '{label}')" for label in LABELS}
-    table = per_theme(scored.select("themes", "sentiment_label", "sentiment_points"),
-                      {"mean": "avg(sentiment_points) / 100D", **counts}, rules)
+    return by_theme_rows(per_theme(scored.select("themes", "sentiment_label", "sentiment_points"),
+                                   {"mean": "avg(sentiment_points) / 100D", **counts}, rules))
+
+
+def by_theme_rows(table: DataFrame) -> DataFrame:
+    """:func:`sentiment_by_theme` from a row per theme with ``reviews``, ``mean`` score and a count for each label."""
+    counts = [f"{label}_count" for label in LABELS]
     table = with_exprs(table, {name: f"coalesce({name}, 0L)" for name in counts})
     # ties go to the label that comes first in the alphabet
     return table.selectExpr(

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from voxtally.functions import match
 from voxtally.functions.literals import sql_array, sql_arrays, sql_let, sql_string
 from voxtally.functions.text import aliased, excerpt, normalize_words, share_pct, with_exprs
+from voxtally.operators import dictionary
 from voxtally.rules import DEFAULT_RULES, RuleSet
 
 UNCLASSIFIED = "unclassified"
@@ -22,18 +25,40 @@ def text_to_match(df: DataFrame) -> str:
     return f"coalesce({', '.join(['clean_text', *others])}, '')"
 
 
-def match_text(df: DataFrame, rules: RuleSet = DEFAULT_RULES) -> DataFrame:
+def match_text(df: DataFrame, rules: RuleSet = DEFAULT_RULES, key: Sequence[str] | None = None, terms: DataFrame | None = None) -> DataFrame:
     """Look up all dictionaries at once.
 
     Adds ``known_words`` and ``phrase_hits``.  Themes, sentiment, disruption
     keywords and negative terms are all derived from these two small arrays,
     so the text is split and scanned once whatever is asked for.  The column
     carries which dictionaries made it, also through a written Parquet table.
+
+    With ``key``, columns that identify a row, phrases are looked up as a table: ``terms`` with a normalized
+    ``term``, or the rule set's own.  The plan then holds none of them, and the hits are joined back by ``key``.
     """
     words, phrases = text_to_match(df), rules.all_phrases()
-    df = df.withColumn("known_words", match.known_words(words, match.vocabulary(phrases, rules.anchor_words())))
-    hits = match.phrase_hits(words, "known_words", phrases)
-    return df.withColumn("phrase_hits", hits.alias("phrase_hits", metadata={match.MADE_BY: rules.fingerprint()}))
+    if key is None:
+        df = df.withColumn("known_words", match.known_words(words, match.vocabulary(phrases, rules.anchor_words())))
+        hits = match.phrase_hits(words, "known_words", phrases)
+    else:
+        terms = dictionary.phrase_table(df.sparkSession, rules) if terms is None else terms
+        found = dictionary.phrase_hits_by_table(df.select(*key, F.expr(words).alias("_text")), terms, key, "_text")
+        df = df.drop("phrase_hits").withColumn("known_words", match.known_words(words, rules.anchor_words())).join(found, list(key), "left")
+        hits = F.expr(f"coalesce(phrase_hits, {sql_array([])})")
+    return df.withColumn("phrase_hits", match.marked(hits, "phrase_hits", rules.fingerprint()))
+
+
+def read_texts(df: DataFrame, rules: RuleSet = DEFAULT_RULES) -> DataFrame:
+    """Everything that later steps want to know of the texts: matches of all kinds and the excerpt.
+
+    What comes after, a join included, then needs no text; the steps that would look these things up find them.
+    """
+    if not match.matched_by(df, rules):
+        df = match_text(df, rules)
+    patterns = match.pattern_hits("clean_text", "known_words", rules.themes)
+    words = match.word_hits(text_to_match(df), "known_words", rules.lexicon)
+    df = df.withColumn("pattern_hits", match.marked(patterns, "pattern_hits", rules.pattern_fingerprint()))
+    return add_quote_excerpt(df.withColumn("word_hits", match.marked(words, "word_hits", rules.word_fingerprint())))
 
 
 def code_themes(df: DataFrame, rules: RuleSet = DEFAULT_RULES) -> DataFrame:
@@ -48,11 +73,13 @@ def code_themes(df: DataFrame, rules: RuleSet = DEFAULT_RULES) -> DataFrame:
     barred = sql_arrays(t.suppressed_by for t in rules.themes)
     detect = f"""filter({sql_array(rules.theme_labels)}, (label, i) -> NOT arrays_overlap(get({barred}, i), v.phrases)
         AND (arrays_overlap(get({wanted}, i), v.phrases) OR exists(v.patterns, hit -> hit.theme = label)))"""
-    # most reviews match nothing and skip the comparison altogether
-    themes = F.expr(f"""CASE WHEN clean_text IS NULL OR (size(phrase_hits) = 0 AND size(pattern_hits) = 0)
+    # most reviews match nothing and skip the comparison altogether; no clean text has null for patterns
+    themes = F.expr(f"""CASE WHEN pattern_hits IS NULL OR (size(phrase_hits) = 0 AND size(pattern_hits) = 0)
         THEN {sql_array([])} ELSE {sql_let({'phrases': 'phrase_hits', 'patterns': 'pattern_hits'}, detect)} END""")
-    return (df.withColumn("pattern_hits", match.pattern_hits("clean_text", "known_words", rules.themes))
-            .withColumn("themes", themes)
+    if not match.made_by(df, "pattern_hits", rules.pattern_fingerprint()):
+        found = match.pattern_hits("clean_text", "known_words", rules.themes)
+        df = df.withColumn("pattern_hits", match.marked(found, "pattern_hits", rules.pattern_fingerprint()))
+    return (df.withColumn("themes", themes)
             .withColumns({"theme_count": F.expr("size(themes)"),
                           "primary_theme": F.expr(f"coalesce(get(themes, 0), {sql_string(UNCLASSIFIED)})")}))
 
@@ -94,13 +121,22 @@ def per_theme(df: DataFrame, aggregates: dict[str, str], rules: RuleSet) -> Data
     # From here on there are as many rows as themes, whatever the data: one
     # task and a broadcast are in order.
     grouped = grouped.withColumn("total", F.expr("max(IF(theme IS NULL, reviews, NULL)) OVER ()"))
-    joined = theme_table(df, rules).join(F.broadcast(grouped), "theme", "left")
+    return every_theme(grouped, rules)
+
+
+def every_theme(grouped: DataFrame, rules: RuleSet) -> DataFrame:
+    """A row for every theme of the rule set, from at most one row per theme with ``reviews`` and ``total``."""
+    joined = theme_table(grouped, rules).join(F.broadcast(grouped), "theme", "left")
     return with_exprs(joined, {"reviews": "coalesce(reviews, 0L)", "total": "coalesce(total, 0L)"})
 
 
 def theme_summary(coded: DataFrame, rules: RuleSet = DEFAULT_RULES) -> DataFrame:
     """Count, share of all reviews and mean rating per theme, unused themes included."""
-    table = per_theme(coded.select("themes", "rating"), {"mean": "avg(rating)"}, rules)
+    return summary_rows(per_theme(coded.select("themes", "rating"), {"mean": "avg(rating)"}, rules))
+
+
+def summary_rows(table: DataFrame) -> DataFrame:
+    """:func:`theme_summary` from a row per theme with ``reviews``, ``total`` and ``mean`` rating."""
     return table.selectExpr(
         "theme", "description", "reviews AS count", f"{share_pct('reviews', 'total')} AS share_of_reviews_pct",
         "bround(mean, 2) AS avg_rating").orderBy(F.desc("count"), "theme")

@@ -398,6 +398,33 @@ _STANDARD_DOCUMENTS = f"""
   FROM raw"""
 
 
+def _spelled() -> str:
+    """The view with a date, a number and a flag that stand in the text in many spellings."""
+    day = "date '2020-01-01' + cast(doc_id % 2500 AS INT)"
+    return REVIEWS + f""",
+spelled AS (
+  SELECT * REPLACE (CASE WHEN doc_id % 10 = 7 THEN NULL ELSE {day} END AS review_date,
+    CASE doc_id % 7 WHEN 0 THEN 7.0 WHEN 1 THEN 8.5 WHEN 2 THEN 10.0 WHEN 5 THEN -2.0 END::DOUBLE AS rating,
+    CASE WHEN doc_id % 14 IN (0, 1, 2, 3, 4, 10) THEN true WHEN doc_id % 14 IN (5, 6, 7, 8, 9, 11) THEN false END AS recommended)
+  FROM raw
+)"""
+
+
+def _full_id(key: str) -> str:
+    parts = " || ' | ' || ".join(f"coalesce(cast({c} AS VARCHAR), 'nan')" for c in ("airline", "review_date", "review_title", "review_text"))
+    return f"md5({q(key)} || ' | ' || {parts})"
+
+
+_TERMS = """,
+items AS (SELECT item_id, string_split(trim(regexp_replace(lower(text), '[^a-z0-9]+', ' ', 'g')), ' ') AS w FROM benchmark),
+item_runs AS (SELECT DISTINCT item_id, n, array_to_string(w[i:i + n - 1], ' ') AS term
+  FROM (SELECT item_id, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM items, (SELECT unnest(range(1, 9)) AS n) WHERE len(w) >= n) WHERE term <> ''),
+usable AS (SELECT doc_id, string_split(clean_text, ' ') AS w FROM prepared WHERE clean_text <> '' AND word_count >= 4),
+all_runs AS (SELECT doc_id, array_to_string(w[i:i + n - 1], ' ') AS term
+  FROM (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM usable, (SELECT unnest(range(1, 9)) AS n) WHERE len(w) >= n)),
+runs AS (SELECT DISTINCT doc_id, term FROM all_runs SEMI JOIN item_runs USING (term))"""
+
+
 def build(rules: RuleSet = DEFAULT_RULES) -> dict[str, str]:
     coded, scored, themes = _coded(rules), _scored(rules), _theme_values(rules)
     by_theme = f"{scored}, {themes}{_BY_THEME}"
@@ -420,6 +447,26 @@ def build(rules: RuleSet = DEFAULT_RULES) -> dict[str, str]:
         "airline_names": f"{REVIEWS} SELECT doc_id, {_airline('airline')} AS airline FROM raw",
         "disruption_types": f"""{STANDARD} SELECT doc_id, disruption_type AS inferred_type,
             {_label("' ' || upper(disruption_type) || chr(9)")} AS standardized_type FROM standard""",
+        "spelled_fields": f"""{_spelled()} SELECT doc_id, 'raw_documents_' || substr({_full_id('raw_documents')}, 1, 12) AS review_id,
+            cast(review_date AS VARCHAR) AS review_date, rating, recommended FROM spelled""",
+        "spelled_dates": f"""{_spelled()} SELECT count(*) AS dated, count(*) FILTER (WHERE doc_id % 10 IN (0, 1, 6)) AS year_first,
+            count(*) FILTER (WHERE doc_id % 10 = 3) AS compact, count(*) FILTER (WHERE doc_id % 10 IN (2, 8)) AS year_last,
+            count(*) FILTER (WHERE doc_id % 10 IN (4, 9)) AS day_month_name, count(*) FILTER (WHERE doc_id % 10 = 5) AS month_name_day,
+            count(*) FILTER (WHERE doc_id % 10 = 7) AS unread, count(*) FILTER (WHERE doc_id % 10 IN (2, 8) AND day(review_date) > 12) AS day_votes,
+            0::BIGINT AS month_votes FROM spelled""",
+        "safe_review_ids": f"""{REVIEWS}, full_ids AS (SELECT doc_id, {_full_id('document_reviews')} AS whole FROM raw)
+            SELECT doc_id, 'document_reviews_' || CASE WHEN min(whole) OVER w <> max(whole) OVER w THEN whole ELSE left(whole, 3) END
+              AS review_id FROM full_ids WINDOW w AS (PARTITION BY left(whole, 3))""",
+        "text_fallback": f"{scored} SELECT doc_id, sentiment_score, sentiment_label FROM scored",
+        "negative_fallback": f"""{scored}{_ngrams(DEFAULT_STOP_WORDS).replace('SELECT term, count(*) AS count FROM grams',
+            'SELECT term, count(*) AS count, NULL::DOUBLE AS share_of_negative_reviews_pct, NULL::VARCHAR AS source FROM grams')}""",
+        "dictionary_counts": f"{PREPARED}{_TERMS} SELECT term, count(*) AS count FROM runs GROUP BY term",
+        "dictionary_themes": f"""{PREPARED}{_TERMS},
+            themed AS (SELECT DISTINCT item_id % 40 AS place, term, md5(term) LIKE '0%' AS barred FROM item_runs WHERE n BETWEEN 2 AND 5),
+            found AS (SELECT doc_id, place FROM runs JOIN themed USING (term) GROUP BY doc_id, place HAVING NOT bool_or(barred))
+            SELECT doc_id, string_agg('topic ' || place, '; ' ORDER BY place) AS themes FROM found GROUP BY doc_id""",
+        "dictionary_points": f"""{PREPARED}{_TERMS} SELECT doc_id,
+            sum(strpos('0123456789abcdef', left(md5(term), 1)) - 9)::BIGINT AS points FROM runs GROUP BY doc_id""",
         "disruption_keywords": f"""{CLEANED} SELECT doc_id, disruption_keywords_found, len(keywords)::BIGINT AS keyword_count
             FROM cleaned""",
         "clean_reviews": f"""{CLEANED} SELECT doc_id, review_id, source, airline, review_date, review_month, review_title,

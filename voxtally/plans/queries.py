@@ -3,18 +3,20 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from voxtally.functions import text
-from voxtally.operators import clean, kpis, quant, sentiment, themes
-from voxtally.plans.review_view import raw_reviews, standardized_reviews
-from voxtally.plans.stages import scored_reviews
-from voxtally.rules import DEFAULT_RULES
-from voxtally.sources.ingest import standardize, union_sources
+from voxtally.functions.literals import sql_array, sql_string
+from voxtally.operators import clean, dictionary, kpis, quant, sentiment, themes
+from voxtally.plans.review_view import raw_reviews, read_reviews, standardized_reviews
+from voxtally.plans.stages import annotate
+from voxtally.rules import DEFAULT_RULES, RuleSet
+from voxtally.sources.dates import date_profile
+from voxtally.sources.ingest import short_ids, standardize, union_sources
 from voxtally.sources.registry import Dataset
-from voxtally.sources.sinks import land
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -32,12 +34,15 @@ _ROW = ["doc_id"]
 
 
 def _cleaned(spark: SparkSession, sf_dir: str, duplicates_first: bool = False) -> DataFrame:
-    cleaned = clean.clean(standardized_reviews(spark, sf_dir), duplicates_first=duplicates_first)
+    if duplicates_first:
+        cleaned = clean.clean(standardized_reviews(spark, sf_dir), duplicates_first=True)
+    else:
+        cleaned = clean.keep_first(clean.derived_fields(read_reviews(spark, sf_dir)))
     return cleaned.withColumnRenamed("source_row", "doc_id")
 
 
-def _scored(spark: SparkSession, sf_dir: str, details: bool = False) -> DataFrame:
-    scored = scored_reviews(standardized_reviews(spark, sf_dir), details=details)
+def _scored(spark: SparkSession, sf_dir: str, details: bool = False, rules: RuleSet = DEFAULT_RULES) -> DataFrame:
+    scored = clean.keep_first(annotate(read_reviews(spark, sf_dir, rules), rules, details))
     return scored.withColumnRenamed("source_row", "doc_id")
 
 
@@ -113,9 +118,93 @@ def negative_ngrams(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def negative_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Read several times (terms, their number, fallback), hence landed once."""
-    scored = _scored(spark, sf_dir).select("sentiment_label", "clean_text", "phrase_hits")
-    return quant.negative_terms(land(quant.negative_reviews(scored), "negative_reviews"))
+    return quant.negative_terms(_scored(spark, sf_dir))
+
+
+def negative_fallback(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The chooser where no candidate term occurs, so the n-gram table takes their place."""
+    rules = replace(DEFAULT_RULES, negative_terms=("zzyzx qwxyz",), pain_points=())
+    return quant.negative_terms(_scored(spark, sf_dir, rules=rules), rules)
+
+
+def text_fallback(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scores where a third of the reviews lack the normalized text, which is then made from the analysis text."""
+    prepared = clean.prepare(standardized_reviews(spark, sf_dir))
+    kept = clean.keep_first(prepared)
+    lacking = kept.withColumn("clean_text", F.expr("IF(source_row % 3 = 0, NULL, clean_text)"))
+    scored = sentiment.score_sentiment(clean.derived_fields(themes.match_text(lacking)))
+    return scored.selectExpr("source_row AS doc_id", "sentiment_score", "sentiment_label")
+
+
+# --- raw text in many spellings ---------------------------------------------------------------------------
+
+# Fixed values of the view: spellings of flags and numbers, blanks included, and forms of dates.
+FLAG_SPELLINGS = ["yes", " Y ", "TRUE", "1", "1.0", "no", "N", "False", "0", "0.0", "Recommended", "NOT recommended", "maybe", ""]
+NUMBER_SPELLINGS = ["7", " 8.5 ", "1e1", "nan", "seven", "-2", ""]
+DATE_FORMS = ["yyyy-MM-dd", "yyyy/MM/dd", "dd/MM/yyyy", "yyyyMMdd", "d MMMM yyyy", "MMMM d, yyyy", "yyyy-MM-dd'T10:20:30'", "'some time soon'",
+              "dd.MM.yyyy", "' 'd MMM yyyy' '"]
+RAW_DOCUMENTS = Dataset("raw_documents", "Raw documents", DOCUMENT_REVIEWS.column_map)
+
+
+def spelled_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The view with its date, rating and flag as text in many spellings."""
+    day = "date_add(date'2020-01-01', int(doc_id % 2500))"
+    forms = " ".join(f"WHEN {i} THEN date_format({day}, {sql_string(form)})" for i, form in enumerate(DATE_FORMS))
+    raw = raw_reviews(spark, sf_dir, labelled=False).withColumn("source_row", F.col("doc_id"))
+    return text.with_exprs(raw, {
+        "review_date": f"CASE doc_id % {len(DATE_FORMS)} {forms} END",
+        "rating": f"get({sql_array(NUMBER_SPELLINGS)}, int(doc_id % {len(NUMBER_SPELLINGS)}))",
+        "recommended": f"get({sql_array(FLAG_SPELLINGS)}, int(doc_id % {len(FLAG_SPELLINGS)}))",
+    })
+
+
+def spelled_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return standardize(spelled_reviews(spark, sf_dir), RAW_DOCUMENTS).selectExpr(
+        "source_row AS doc_id", "review_id", "review_date", "rating", "recommended")
+
+
+def spelled_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return date_profile(spelled_reviews(spark, sf_dir), "review_date")
+
+
+def safe_review_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Identifiers cut to three digits, so that many collide and stay whole."""
+    raw = raw_reviews(spark, sf_dir, labelled=False).withColumn("source_row", F.col("doc_id"))
+    return short_ids(standardize(raw, DOCUMENT_REVIEWS, id_digits=32), 3).selectExpr("source_row AS doc_id", "review_id")
+
+
+# --- dictionaries as tables -----------------------------------------------------------------------------------
+
+#: Words in the longest term of the dictionaries made from the benchmark.
+LONGEST_TERM = 8
+
+
+def benchmark_terms(spark: SparkSession, sf_dir: str, shortest: int = 1, longest: int = LONGEST_TERM) -> DataFrame:
+    """Every run of words of the benchmark's texts as ``term``, with the ``item_id`` it stands in: some ten thousand terms."""
+    items = spark.read.parquet(f"{sf_dir}/benchmark.parquet").selectExpr("item_id", f"split({text.normalize_words('text')}, ' ') AS words")
+    lengths = items.selectExpr("item_id", "words", f"explode(sequence({shortest}, {longest})) AS n").where("size(words) >= n")
+    runs = lengths.selectExpr("item_id", "explode(transform(sequence(1, size(words) - n + 1), i -> array_join(slice(words, i, n), ' '))) AS term")
+    return dictionary.terms_table(runs).distinct()
+
+
+def _texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return clean.prepare(standardized_reviews(spark, sf_dir, labelled=False)).selectExpr("source_row AS doc_id", "clean_text")
+
+
+def dictionary_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dictionary.document_counts(_texts(spark, sf_dir), benchmark_terms(spark, sf_dir), _ROW)
+
+
+def dictionary_themes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Forty themes of several thousand terms, every sixteenth of which bars its theme."""
+    rules = benchmark_terms(spark, sf_dir, 2, 5).selectExpr(
+        "concat('topic ', item_id % 40) AS theme", "int(item_id % 40) AS place", "IF(startswith(md5(term), '0'), 'barred', 'wanted') AS kind", "term")
+    return dictionary.code_by_table(_texts(spark, sf_dir), rules, _ROW).selectExpr(*_ROW, "array_join(themes, '; ') AS themes")
+
+
+def dictionary_points(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lexicon = benchmark_terms(spark, sf_dir).select("term").distinct().selectExpr("term", "instr('0123456789abcdef', left(md5(term), 1)) - 9 AS weight")
+    return dictionary.points_by_table(_texts(spark, sf_dir), lexicon, _ROW)
 
 
 def theme_indicators(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -132,6 +221,10 @@ QUERIES: dict[str, Query] = {
     "disruption_keywords": disruption_keywords,
     "clean_reviews": clean_reviews,
     "review_order": ordered_reviews,
+    "spelled_fields": spelled_fields,
+    "spelled_dates": spelled_dates,
+    "safe_review_ids": safe_review_ids,
+    "text_fallback": text_fallback,
     # quality
     "quality_counts": lambda spark, sf_dir: clean.quality_counts(standardized_reviews(spark, sf_dir)),
     "missing_profile": _on_cleaned(clean.missing_profile),
@@ -153,12 +246,17 @@ QUERIES: dict[str, Query] = {
     "negative_phrases": _on_scored(quant.seeded_phrases),
     "negative_ngrams": negative_ngrams,
     "negative_terms": negative_terms,
+    "negative_fallback": negative_fallback,
     "rating_distribution": _on_scored(quant.rating_distribution),
     "theme_rows": _on_scored(quant.theme_rows),
     "theme_vs_sentiment": _on_scored(quant.theme_vs_sentiment),
     "theme_vs_airline": _on_scored(quant.theme_vs_airline),
     "theme_vs_recommendation": _on_scored(quant.theme_vs_recommendation),
     "pain_point_pairs": _on_scored(quant.pain_point_pairs),
+    # dictionaries as tables
+    "dictionary_counts": dictionary_counts,
+    "dictionary_themes": dictionary_themes,
+    "dictionary_points": dictionary_points,
     # headline figures
     "disruption_counts": _on_cleaned(kpis.disruption_counts),
     "top_pain_points": _on_scored(kpis.top_pain_points),

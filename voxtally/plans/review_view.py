@@ -15,7 +15,8 @@ from pyspark.sql import functions as F
 from voxtally.functions import text
 from voxtally.functions.literals import sql_array
 from voxtally.functions.text import with_exprs
-from voxtally.rules import DEFAULT_RULES
+from voxtally.operators import clean, themes
+from voxtally.rules import DEFAULT_RULES, RuleSet
 from voxtally.sources.ingest import complete_columns
 
 VIEW_KEY = "documents"
@@ -54,18 +55,29 @@ def _at(values: list[str], index: str) -> str:
     return f"get({sql_array(values)}, int({index}))"
 
 
-def raw_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
+def labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per labelled document, with ``recommended`` as found.
+
+    Being one row, it can neither repeat a review nor cost a scan where nothing is asked of it.
+    """
+    marks = spark.read.schema("doc_id long, quality int").parquet(f"{sf_dir}/labels.parquet")
+    best = marks.groupBy("doc_id").agg(F.max("quality").alias("quality"))
+    return best.selectExpr("doc_id", "CASE WHEN quality = 1 THEN 'yes' WHEN quality = 0 THEN '0' END AS recommended")
+
+
+def raw_reviews(spark: SparkSession, sf_dir: str, labelled: bool = True) -> DataFrame:
     """One review per document, before any standardization.
 
     How labels are joined is left to the planner: they may grow with the
-    documents, so no broadcast is forced.
+    documents, so no broadcast is forced.  Without ``labelled``, they can be
+    joined by ``doc_id`` when no text is needed any more.
     """
     documents = spark.read.schema("doc_id long, text string, source string, n_chars long").parquet(f"{sf_dir}/documents.parquet")
-    labels = spark.read.schema("doc_id long, quality int").parquet(f"{sf_dir}/labels.parquet")
     # Empty reviews are rows of their own; no document's text is left out.
     rows = documents.selectExpr("*", "explode(IF(n_chars % 97 = 0, array(false, true), array(false))) AS blank").selectExpr(
         "IF(blank, doc_id + 1000000000, doc_id) AS doc_id", "text", "source", "n_chars", "blank")
-    return rows.join(labels, "doc_id", "left").selectExpr(
+    rows = rows.join(labels(spark, sf_dir), "doc_id", "left") if labelled else rows.withColumn("recommended", F.lit(None).cast("string"))
+    return rows.selectExpr(
         "doc_id", "source",
         f"{_at(AIRLINES, 'doc_id % 8')} AS airline",
         "CASE WHEN n_chars % 5 = 0 THEN NULL ELSE 'Review' END AS review_title",
@@ -76,16 +88,27 @@ def raw_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
         "CASE doc_id % 4 WHEN 0 THEN 'Business' WHEN 1 THEN ' Solo  Leisure ' WHEN 2 THEN '' END AS traveler_type",
         "CASE WHEN doc_id % 3 = 0 THEN 'PHX-ATL' END AS route",
         "CASE doc_id % 5 WHEN 0 THEN 'Economy' WHEN 1 THEN '' ELSE 'First Class' END AS seat_type",
-        "CASE WHEN quality = 1 THEN 'yes' WHEN quality = 0 THEN '0' END AS recommended",
+        "recommended",
     )
 
 
-def standardized_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
+def standardized_reviews(spark: SparkSession, sf_dir: str, labelled: bool = True) -> DataFrame:
     """The view in the standard schema, ordered by document id."""
-    raw = with_exprs(raw_reviews(spark, sf_dir), {
+    raw = with_exprs(raw_reviews(spark, sf_dir, labelled), {
         "review_id": text.review_id(VIEW_KEY, "airline", "review_date", "review_title", "review_text"),
         "raw_text": text.combine_parts("review_title", "review_text"),
         "disruption_type": text.infer_disruption(text.combine_parts("review_title", "review_text"), DEFAULT_RULES),
         "source_row": "doc_id",
     })
     return complete_columns(raw).withColumn("source_rank", F.lit(0))
+
+
+def read_reviews(spark: SparkSession, sf_dir: str, rules: RuleSet = DEFAULT_RULES, min_words: int = clean.MIN_WORDS) -> DataFrame:
+    """Prepared reviews with all that is known of their texts, and only then labelled.
+
+    Texts that nobody asks for are pruned before the labels are joined, so the join moves digests, matches and numbers.
+    """
+    read = themes.read_texts(clean.prepare(standardized_reviews(spark, sf_dir, labelled=False), rules, min_words), rules)
+    keyed = read.withColumn("_text_key", F.expr(clean.text_key("clean_text"))).drop("recommended").withColumn("doc_id", F.col("source_row"))
+    told = keyed.join(labels(spark, sf_dir), "doc_id", "left").drop("doc_id")
+    return with_exprs(told, {"recommended": text.parse_flag("recommended")})

@@ -6,10 +6,12 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame
 
+from voxtally.functions import match
 from voxtally.operators import clean, kpis, quant, sentiment, themes
+from voxtally.operators.summaries import FROM_TALLY, tally
 from voxtally.rules import DEFAULT_RULES, RuleSet
 from voxtally.schema import INGEST_ORDER
-from voxtally.sources.sinks import write_table
+from voxtally.sources.sinks import Landing, write_table
 
 
 def annotate(prepared: DataFrame, rules: RuleSet = DEFAULT_RULES, details: bool = True) -> DataFrame:
@@ -18,9 +20,12 @@ def annotate(prepared: DataFrame, rules: RuleSet = DEFAULT_RULES, details: bool
     With ``details`` also the evidence behind them and the 0/1 theme columns.
     Narrow throughout, so it also applies to a streaming DataFrame.
     """
-    matched = clean.derived_fields(themes.match_text(prepared, rules), rules)
+    if not match.made_by(prepared, "phrase_hits", rules.fingerprint()):
+        prepared = themes.match_text(prepared, rules)
+    matched = clean.derived_fields(prepared, rules)
     scored = sentiment.score_sentiment(themes.code_themes(matched, rules), rules)
-    scored = themes.add_quote_excerpt(scored)
+    if "quote_excerpt" not in scored.columns:
+        scored = themes.add_quote_excerpt(scored)
     if not details:
         return scored
     return sentiment.add_sentiment_evidence(themes.add_indicators(themes.add_evidence(scored, rules), rules), rules)
@@ -35,8 +40,8 @@ def scored_reviews(standardized: DataFrame, rules: RuleSet = DEFAULT_RULES, min_
     duplicates are dropped, with the same result.  It comes before: whatever a
     query does not ask for is then pruned ahead of the only shuffle, and a
     summary shuffles labels and numbers instead of texts.  To write whole
-    reviews, say ``duplicates_first=True``: one raw copy of each text is
-    shuffled, and all that is made of it comes after.
+    reviews, say ``duplicates_first=True``: duplicates are found among digests
+    when this is called, and texts are not shuffled at all.
     """
     if duplicates_first:
         return annotate(clean.prepare_distinct(standardized, rules, min_words, order), rules, details)
@@ -74,14 +79,23 @@ def run(standardized: DataFrame, out_dir: str, rules: RuleSet = DEFAULT_RULES, m
         summaries: Sequence[str] | None = None) -> DataFrame:
     """Write the scored reviews once and compute every result table from them.
 
-    Returns the scored reviews as read back.  Each summary scans only the
-    columns it needs, and none reads whole texts but the n-gram fallback.
+    Returns the scored reviews as read back.  Raw text is normalized once, into a staged table; its digests give both the
+    counters and the duplicates.  The small tables come from one aggregation over the scored reviews; quotes,
+    terms and missing values scan the columns they need.  Nothing is left in the shared folder.
     """
     spark = standardized.sparkSession
-    write_table(clean.quality_counts(standardized, min_words), f"{out_dir}/quality_counts", summary_format)
-    whole = scored_reviews(standardized, rules, min_words, order, duplicates_first=True)
-    write_table(whole, f"{out_dir}/scored_reviews")
-    scored = spark.read.parquet(f"{out_dir}/scored_reviews")
-    for name in summaries if summaries is not None else SUMMARIES:
-        write_table(SUMMARIES[name](scored, rules), f"{out_dir}/{name}", summary_format)
+    wanted = list(summaries if summaries is not None else SUMMARIES)
+    with Landing(spark) as landing:
+        staged = landing.land(clean.staged(standardized, rules, min_words), "staged")
+        digests = staged.select(*order, "status", "text_key")
+        write_table(clean.count_reductions(clean.per_text(digests)), f"{out_dir}/quality_counts", summary_format)
+        copies = landing.land(clean.later_copies(digests, order), "copies")
+        kept = clean.without(staged.where("status = 'usable'"), copies, order).drop("status", "text_key")
+        write_table(annotate(kept, rules), f"{out_dir}/scored_reviews")
+        scored = spark.read.parquet(f"{out_dir}/scored_reviews")
+        if any(name in FROM_TALLY for name in wanted):
+            tallied = landing.land(tally(scored, rules), "tally")
+        for name in wanted:
+            table = FROM_TALLY[name](tallied, rules) if name in FROM_TALLY else SUMMARIES[name](scored, rules)
+            write_table(table, f"{out_dir}/{name}", summary_format)
     return scored

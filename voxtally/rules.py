@@ -65,6 +65,29 @@ class Lexicon:
         return {**self.positive_words, **self.negative_words}
 
 
+@dataclass(frozen=True)
+class Signals:
+    """Points (at most two decimals) that a review gets for what is said outside its text, and from which ratings on."""
+
+    low_rating: float = 2
+    low_points: float = -1.2
+    high_rating: float = 4
+    high_points: float = 0.8
+    recommended: float = 0.6
+    not_recommended: float = -0.8
+    likely_negative: float = -0.6
+
+
+@dataclass(frozen=True)
+class NegativeExperience:
+    """When a review is likely to tell of a negative experience: its rating is low, it does not recommend, or it is of a
+    costly disruption type and names so many disruption keywords."""
+
+    rating: float = 2
+    costly_types: tuple[str, ...] = ("cancellation", "refund", "customer_support")
+    keywords: int = 2
+
+
 @dataclass(frozen=True)
 class RuleSet:
     themes: tuple[Theme, ...]
@@ -76,6 +99,8 @@ class RuleSet:
     disruption_labels: dict[str, str] = field(default_factory=dict)
     disruption_keywords: tuple[str, ...] = ()
     airline_names: dict[str, str] = field(default_factory=dict)
+    signals: Signals = Signals()
+    negative_experience: NegativeExperience = NegativeExperience()
 
     def __post_init__(self):
         labels = self.theme_labels
@@ -118,8 +143,19 @@ class RuleSet:
 
     def fingerprint(self) -> str:
         """Equal for rule sets that look up the same words and phrases, in whatever order."""
-        looked_up = json.dumps([sorted(self.all_phrases()), sorted(self.anchor_words())])
-        return hashlib.sha256(looked_up.encode()).hexdigest()
+        return _digest([sorted(self.all_phrases()), sorted(self.anchor_words())])
+
+    def pattern_fingerprint(self) -> str:
+        """Equal for rule sets that try the same regular expressions for the same themes."""
+        return _digest([[t.label, [[p.regex, p.anchor] for p in t.patterns]] for t in self.themes])
+
+    def word_fingerprint(self) -> str:
+        """Equal for rule sets that score the same words and know the same negations."""
+        return _digest([sorted(self.lexicon.word_weights), sorted(self.lexicon.negations)])
+
+
+def _digest(value) -> str:
+    return hashlib.sha256(json.dumps(value).encode()).hexdigest()
 
 
 def _distinct(values) -> list[str]:
