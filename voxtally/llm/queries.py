@@ -101,32 +101,43 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 _BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
 
 
+def _worded(key: str, source: str) -> str:
+    return f"(select {key}, list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[^\\p{{L}}\\p{{N}}]+'), lambda x: x <> '') as w from {source})"
+
+
 def _five_word_shingles(key: str, source: str) -> str:
     """Different shingles of each text of a table; a shorter text is one."""
     return f"""(
         select distinct {key}, unnest(case
             when len(w) >= 5 then list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))
             when len(w) > 0 then [array_to_string(w, ' ')] else [] end) as shingle
-        from (select {key}, list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[^\\p{{L}}\\p{{N}}]+'), lambda x: x <> '') as w from {source}))"""
+        from {_worded(key, source)})"""
 
 
-ORACLE_SQL: dict[str, str] = {
-    "op2_jaccard_join": """
+def jaccard_sql(k: int = 4, percent: int = 85) -> str:
+    """Sizes and groups of ``documents``, linked where ``percent`` of the runs of ``k`` words are in common."""
+    return f"""
         with recursive lowered as (select doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as t from documents),
         worded as (select doc_id, list_filter(regexp_split_to_array(t, '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') as w from lowered),
         gram as materialized (select distinct doc_id, unnest(case
-            when len(w) >= 4 then list_transform(range(1, len(w) - 2), lambda i: array_to_string(w[i:i + 3], ' '))
+            when len(w) >= {k} then list_transform(range(1, len(w) - {k - 2}), lambda i: array_to_string(w[i:i + {k - 1}], ' '))
             when len(w) > 0 then [array_to_string(w, ' ')] else [] end) as g from worded),
         size as materialized (select doc_id, count(*) as n from gram group by all),
         shared as (select a.doc_id as x, b.doc_id as y, count(*) as s from gram a join gram b on a.g = b.g and a.doc_id <> b.doc_id group by all),
-        link as materialized (select x, y from shared join size p on p.doc_id = x join size q on q.doc_id = y where 100 * s >= 85 * (p.n + q.n - s)),
+        link as materialized (select x, y from shared join size p on p.doc_id = x join size q on q.doc_id = y where 100 * s >= {percent} * (p.n + q.n - s)),
         reach(doc_id, other) as (select doc_id, doc_id from documents union select reach.doc_id, link.y from reach join link on link.x = reach.other)
         select doc_id, cast(coalesce(n, 0) as bigint) as n_shingles, component_id
         from (select doc_id, min(other) as component_id from reach group by all) left join size using (doc_id)
-    """,
+    """
+
+
+ORACLE_SQL: dict[str, str] = {
+    "op2_jaccard_join": jaccard_sql(),
     "op5_decontamination": f"""
-        with d as {_five_word_shingles('doc_id', 'documents')},
-        b as {_five_word_shingles('item_id', 'benchmark')},
+        with b as {_five_word_shingles('item_id', 'benchmark')},
+        lengths as (select distinct least(5, len(string_split(shingle, ' '))) as k from b),
+        d as (select distinct doc_id, array_to_string(w[i:i + k - 1], ' ') as shingle
+            from (select doc_id, w, k, unnest(range(1, len(w) - k + 2)) as i from {_worded('doc_id', 'documents')}, lengths where len(w) >= k)),
         size as (select item_id, count(*) as n from b group by all),
         shared as (select doc_id, item_id, count(*) as n_shared from d join b using (shingle) group by all)
         select doc_id, item_id, n as n_item_shingles, n_shared, n_shared / n as containment
