@@ -25,6 +25,9 @@ RESPONSE, REVISIT = "response", "revisit"
 #: Archives are made, not crawled: every run writes the same date.
 DATE = "2024-01-01T00:00:00Z"
 
+#: Tasks that read archives, at most.
+MOST_TASKS = 10_000
+
 FILES = "file string, n_records long, n_bytes long"
 RECORDS = "page_id long, url string, payload_bytes long, payload_digest string, record_type string, refers_to long, digest_ok boolean, payload binary"
 
@@ -35,16 +38,21 @@ def resolve(pages: DataFrame, least_bytes: int = 0) -> DataFrame:
     Of pages whose payloads are equal and have at least ``least_bytes`` bytes that with the smallest ``page_id`` is the
     response; smaller payloads are all responses.  A null ``html`` is an empty payload.  Rows that repeat both
     ``page_id`` and payload of a response are responses too; a null ``page_id`` is larger than any other.
-    Only digests and ids meet to decide, pre-aggregated in each task; a payload of a third of all rows is one row there.
+    Only digests and ids meet to decide; a payload of a third of all rows is pre-aggregated there, and its pages are a
+    skewed key of narrow rows.  The verdicts go back to the pages by id and digest, so no two pages' texts meet for having
+    the same payload.
     """
     page = pages.select(
         F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"),
         F.coalesce(F.col("html").cast("string"), F.lit("")).alias("html"),
     ).withColumn("digest", F.sha1("html"))
     originals = page.groupBy("digest").agg(F.min("page_id").alias("original"), F.count(F.lit(1)).alias("n")).where("n > 1 and original is not null")
-    is_revisit = F.col("original").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("original")) & (F.octet_length("html") >= least_bytes)
-    return page.join(originals, "digest", "left").select(
-        "page_id", "url", "html", F.when(is_revisit, REVISIT).otherwise(RESPONSE).alias("record_type"), F.when(is_revisit, F.col("original")).alias("refers_to")
+    again = page.where(F.octet_length("html") >= least_bytes).select("page_id", "digest").join(originals, "digest")
+    again = again.where(~F.col("page_id").eqNullSafe(F.col("original"))).select(F.col("page_id").alias("_page"), F.col("digest").alias("_digest"), "original").distinct()
+    same = F.col("page_id").eqNullSafe(F.col("_page")) & (F.col("digest") == F.col("_digest"))
+    is_revisit = F.col("original").isNotNull()
+    return page.join(again, same, "left").select(
+        "page_id", "url", "html", F.when(is_revisit, REVISIT).otherwise(RESPONSE).alias("record_type"), F.col("original").alias("refers_to")
     )
 
 
@@ -122,7 +130,7 @@ def _page_of(urn: str | None) -> int | None:
 
 
 def read_archives(files: DataFrame, payloads: bool = False) -> DataFrame:
-    """Every record of the named files.  A revisit's length is that of the response's HTTP headers, which it repeats;
+    """Every record of the named files, which must be a written table.  A revisit's length is that of the response's HTTP headers, which it repeats;
     ``digest_ok`` says whether a response's payload has the digest of its header (null for revisits)."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -149,7 +157,8 @@ def read_archives(files: DataFrame, payloads: bool = False) -> DataFrame:
                 if rows:
                     yield _records(rows)
 
-    return map_batches(files.repartition("file"), work, RECORDS)
+    # A number of tasks that is given is not merged again; each has a few files.
+    return map_batches(files.repartition(max(1, min(files.count(), MOST_TASKS))), work, RECORDS)
 
 
 _RECORD_TYPES = [
