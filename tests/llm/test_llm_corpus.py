@@ -14,6 +14,7 @@ import pytest
 from voxtally.llm import components, decontaminate, jaccard_join, page_text, suffix_tree, warc
 from voxtally.llm.common import Scratch
 
+from . import automaton
 from .conftest import ODD
 
 
@@ -80,6 +81,52 @@ def test_contained_items(documents, spark):
     assert decontaminate.contained_items(docs.where("false"), benchmark).count() == 0
 
 
+def brute_contained(texts, items):
+    words = lambda t: [w for w in re.split(r"[^\w]+|_", (t or "").lower()) if w]
+    out = set()
+    for j, item in enumerate(items):
+        iw = words(item)
+        k = min(5, len(iw))
+        own = {tuple(iw[i:i + k]) for i in range(len(iw) - k + 1)} if k else set()
+        for i, text in enumerate(texts):
+            dw = words(text)
+            shared = len(own & {tuple(dw[a:a + k]) for a in range(len(dw) - k + 1)})
+            if own and 10 * shared >= 8 * len(own):
+                out.add((i, j, len(own), shared))
+    return out
+
+
+def test_contained_items_equal_brute_force(documents, spark):
+    pick = random.Random(9)
+    vocabulary = [f"w{i}" for i in range(300)]
+    run = lambda n: [pick.choice(vocabulary) for _ in range(n)]
+    items = [" ".join(run(n)) for n in (1, 2, 3, 4, 5, 6, 9, 14, 20, 40, 80) for _ in range(3)] + ["", None, "one two three four"]
+    texts = [None, "", "one two three four", "a one, two THREE four b"]
+    for _ in range(120):
+        text = run(pick.choice([0, 3, 30, 200]))
+        item = (pick.choice(items) or "").split()
+        for i in range(len(item)):
+            if pick.random() < 0.02:
+                item[i] = "zz"
+        at = pick.randint(0, len(text))
+        texts.append(" ".join([*text[:at], *item, *text[at:]]))
+    benchmark = spark.createDataFrame([(j, t, 1) for j, t in enumerate(items)], "item_id long, text string, n int")
+    want = brute_contained(texts, items)
+    rows = decontaminate.contained_items(documents(*texts), benchmark).collect()
+    assert {(r.doc_id, r.item_id, r.n_item_shingles, r.n_shared) for r in rows} == want and len(rows) == len(want) > 100
+    leaky = {i for i, *_ in want}
+    assert sorted(r.doc_id for r in decontaminate.clean(documents(*texts), benchmark).collect()) == [i for i in range(len(texts)) if i not in leaky]
+
+
+def test_leaks_without_ids(documents, spark):
+    item = "one two three four five six"
+    benchmark = spark.createDataFrame([(None, item), (None, "seven eight"), (3, item)], "item_id long, text string")
+    docs = documents(f"x {item}", f"y {item}", "seven eight nine", "clean", ids=[None, 5, 5, None])
+    assert [r.text for r in decontaminate.clean(docs, benchmark).collect()] == ["clean"]
+    rows = {(r.doc_id, r.item_id) for r in decontaminate.contained_items(docs, benchmark).collect()}
+    assert rows == {(None, None), (None, 3), (5, None), (5, 3)}
+
+
 def test_base_score_and_known_words(documents):
     texts = [*ODD, *(f"some words repeat word{i % 7} and Words{i}" for i in range(40))]
     rows = {r.doc_id: r for r in suffix_tree.score(documents(*texts), common_words=8).collect()}
@@ -97,7 +144,7 @@ def test_base_score_and_known_words(documents):
 def test_suffix_tree_learns_contexts_and_adds_up(documents, spark):
     docs = documents(*["abab abab abab"] * 30)
     counted = suffix_tree.counts(docs, 3)
-    tree = suffix_tree.tree(counted, 3, 1e-4, 1.0)
+    tree = automaton.tree(counted, 3, 1e-4, 1.0)
     assert tree.kept > 1
     spelled = tree.spell([suffix_tree.normal(b"abab"), suffix_tree.normal(b"bbbb")])
     assert spelled[0] > spelled[2] and len(spelled) == 4
@@ -136,6 +183,44 @@ def test_page_text(spark, documents):
     assert page_text.extract(df.where("false")).count() == 0
 
 
+def texts_of(spark, pages):
+    df = spark.createDataFrame([(i, f"http://h{i}/x", p) for i, p in enumerate(pages)], "page_id long, url string, html string")
+    return [r.text for r in sorted(page_text.extract(df).collect(), key=lambda r: r.page_id)]
+
+
+def test_layout_classes_lose_no_text(spark, documents):
+    whole = ["<body class='right-sidebar'><article><p>main text</p></article></body>", "<body class='single no-sidebar comments-open'><article><p>main text</p></article>",
+             "<html class='cookie'><main class='search'><p>main text</p></main>"]
+    assert texts_of(spark, whole) == ["main text"] * 3
+    inside = [f"<article><p>first</p><div {a}>second</div></article>" for a in ("class='post-search'", "class='social-science'", "class='alert'", "id='related-work'", "class=adverb")]
+    assert texts_of(spark, inside) == ["first\n\nsecond"] * 5
+    gone = [f"<article><p>first</p><div {a}>second</div></article>" for a in ("class='big ad'", "class='ad-box'", "id=comments", "role=navigation hidden", "class=share_links")]
+    assert texts_of(spark, gone) == ["first"] * 5
+    assert texts_of(spark, ["<article><header class='banner'><h1>Head</h1></header><p>text</p></article><header class=x>top</header>"]) == ["Head\n\ntext"]
+
+
+def test_small_containers_do_not_decide(spark, documents):
+    body = "".join(f"<p>paragraph {i} of the page</p>" for i in range(5))
+    text = "\n\n".join(f"paragraph {i} of the page" for i in range(5))
+    assert texts_of(spark, [f"<body>{body}<article class='teaser'>Read also this</article>", f"<main>stub</main><div>{body}"]) == [f"{text}\n\nRead also this", f"stub\n\n{text}"]
+    assert texts_of(spark, [f"<div>short aside line</div><article>{body}</article>"]) == [text]
+
+
+def test_generated_hosts_without_containers(spark, documents):
+    pick = random.Random(12)
+    rows, want = [], {}
+    for host in range(6):
+        template = [f"menu {host}", f"about {host}", f"contact {host} now"]
+        pages = [[f"page {host} {i} {pick.random()}" for _ in range(pick.randint(1, 6))] for i in range(12)]
+        for i, own in enumerate(pages):
+            lines = [template[0], *own[: len(own) // 2], template[1], *own[len(own) // 2 :], template[2]]
+            teaser = "<article>x</article>" if host % 2 else ""
+            rows.append((100 * host + i, f"https://host{host}.org/{pick.choice('abc')}/{i}", teaser + "".join(f"<div>{t}</div>" for t in lines)))
+            want[100 * host + i] = "\n\n".join([*(["x"] if teaser else []), *own])
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    assert {r.page_id: r.text for r in page_text.extract(df, 3).collect()} == want
+
+
 def test_shared_lines_are_a_longest_common_subsequence():
     pick = random.Random(3)
     for _ in range(500):
@@ -161,7 +246,7 @@ def test_suffix_tree_keeps_every_context_seen_often(documents, most_held):
     scratch = Scratch(docs.sparkSession, "test")
     root, model = suffix_tree.contexts(counted, scratch, 4, 50, 1.0)
     assert {(1, ord(c)) for c in "qzkjvx"} <= {(r.k, r.context) for r in model.collect()}
-    tree = suffix_tree.tree(counted, 4, 50 / whole, 1.0)
+    tree = automaton.tree(counted, 4, 50 / whole, 1.0)
     assert model.count() + 1 == tree.kept
     words = {r.key: r.n for r in counted.where("kind = 1").collect()}
     total, once = sum(words.values()), max(1, sum(n == 1 for n in words.values()))
