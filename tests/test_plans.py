@@ -48,4 +48,4 @@ def test_duplicates_are_found_without_texts(plan, name):
 
 def test_terms_are_shuffled_by_bucket_first(plan):
     text = plan("negative_ngrams")
-    assert exchanges(text, "bucket") and all(columns <= {"bucket", "sum"} for columns in exchanges(text, "bucket"))
+    assert exchanges(text, "bucket") and all(columns <= {"bucket", "count"} for columns in exchanges(text, "bucket"))

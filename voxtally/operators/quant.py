@@ -72,21 +72,24 @@ TERM_BUCKETS, FIRST_BUCKETS = 1 << 16, 320
 
 
 def review_terms(reviews: DataFrame, stop_words: Sequence[str] = DEFAULT_STOP_WORDS) -> DataFrame:
-    """``terms`` of each review: its different words and word pairs with their occurrences, as ``(term, n)``.
+    """``terms`` of each review: its words and word pairs, once per occurrence.
 
-    Stop words and one-letter words are removed first.  A review's terms are sorted and equal neighbours counted, so
-    each different term stands once and a long text costs its sort.
+    Stop words and one-letter words are removed first.
     """
     # one hash set per text finds its stop words; few are left to compare each word with
     present = f"array_intersect(split(clean_text, ' '), {sql_array(stop_words)})"
     kept = sql_let({"tokens": "split(clean_text, ' ')", "stops": present},
                    "filter(v.tokens, token -> length(token) > 1 AND NOT array_contains(v.stops, token))")
     pairs = "transform(slice(kept, 2, size(kept)), (word, i) -> concat(get(kept, i), ' ', word))"
-    begins = "filter(sequence(0, size(v.s) - 1), i -> i = 0 OR get(v.s, i) <> get(v.s, i - 1))"
-    counted = sql_let({"s": "sorted", "begins": sql_let({"s": "sorted"}, begins)}, """transform(v.begins, (at, j) ->
-        named_struct('term', get(v.s, at), 'n', coalesce(get(v.begins, j + 1), size(v.s)) - at))""")
-    rows = reviews.selectExpr(f"{kept} AS kept").selectExpr(f"array_sort(concat(kept, {pairs})) AS sorted")
-    return rows.selectExpr(f"IF(size(sorted) = 0, cast(array() AS array<struct<term:string,n:int>>), {counted}) AS terms")
+    return reviews.selectExpr(f"{kept} AS kept").selectExpr(f"concat(kept, {pairs}) AS terms")
+
+
+def _occurrences(terms: str) -> str:
+    """SQL for the different strings of a sorted array with their number: equal neighbours are counted."""
+    begins = f"filter(sequence(0, size({terms}) - 1), i -> i = 0 OR get({terms}, i) <> get({terms}, i - 1))"
+    counted = sql_let({"begins": begins}, f"""transform(v.begins, (at, j) ->
+        named_struct('term', get({terms}, at), 'n', coalesce(get(v.begins, j + 1), size({terms})) - at))""")
+    return f"IF(size({terms}) = 0, cast(array() AS array<struct<term:string,n:int>>), {counted})"
 
 
 def _bucket_map(buckets: DataFrame, n_buckets: int) -> Column:
@@ -111,16 +114,19 @@ def ngram_frequency(reviews: DataFrame, stop_words: Sequence[str] = DEFAULT_STOP
     hold a term of the result, and their terms are counted exactly.  With fewer terms than ``limit`` that is all of them.
     """
     rows = review_terms(reviews, stop_words)
-    place = f"pmod(xxhash64(t.term), {buckets}L)"
+    place = f"pmod(xxhash64(t), {buckets}L)"
+    # every review also stands in a bucket of its own kind, which counts the reviews
+    sums = rows.selectExpr(f"explode(array_append(transform(terms, t -> {place}), -1L)) AS bucket").groupBy("bucket").agg(F.expr("count(1)").alias("n"))
+    steps = " ".join(f"WHEN n >= {int(n)} THEN {int(k)}" for n, k in (*least_reviews, (0, 1)))
+    least = sums.where("bucket < 0").agg(F.expr("coalesce(max(n), 0L)").alias("n")).selectExpr(f"CASE {steps} ELSE 1 END").scalar()
+    sums = sums.where("bucket >= 0")
 
     def counted(chosen: Column) -> DataFrame:
         inside = f"getbit(get(chosen, int({place} div 64)), int({place} % 64)) = 1"
-        found = rows.withColumn("chosen", chosen).selectExpr(f"inline(filter(terms, t -> {inside}))")
-        return found.groupBy("term").agg(*aliased({"count": "sum(n)", "documents": "count(1)"})).where(F.col("documents") >= least)
+        found = rows.withColumn("chosen", chosen).selectExpr(f"array_sort(filter(terms, t -> {inside})) AS found")
+        each = found.selectExpr(f"inline({_occurrences('found')})")
+        return each.groupBy("term").agg(*aliased({"count": "sum(n)", "documents": "count(1)"})).where(F.col("documents") >= least)
 
-    steps = " ".join(f"WHEN count(1) >= {int(n)} THEN {int(k)}" for n, k in (*least_reviews, (0, 1)))
-    least = rows.agg(F.expr(f"CASE {steps} ELSE 1 END")).scalar()
-    sums = rows.selectExpr(f"inline(transform(terms, t -> named_struct('bucket', {place}, 'n', t.n)))").groupBy("bucket").agg(F.expr("sum(n)").alias("n"))
     fullest = sums.orderBy(F.desc("n"), "bucket").limit(first_buckets)
     first = counted(_bucket_map(fullest, buckets)).orderBy(F.desc("count")).limit(limit)
     threshold = first.agg(F.expr(f"IF(count(1) = {int(limit)}, min(count), 0L)")).scalar()
