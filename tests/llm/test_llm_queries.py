@@ -7,7 +7,7 @@ import pytest
 
 import corpus_pipeline
 from voxtally.llm import bpe, secrets
-from voxtally.llm.queries import ORACLE_SQL, QUERIES, TOKENIZERS, vocabulary
+from voxtally.llm.queries import ORACLE_SQL, QUERIES, TOKENIZERS, jaccard_sql, vocabulary
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 
@@ -15,7 +15,7 @@ SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 @pytest.fixture(scope="module")
 def sql():
     connection = duckdb.connect()
-    for name in ("documents", "pages", "benchmark"):
+    for name in ("documents", "pages", "benchmark", "embeddings"):
         connection.execute(f"CREATE VIEW {name} AS SELECT * FROM '{SF_DIR}/{name}.parquet'")
     return connection
 
@@ -35,7 +35,9 @@ def test_pipeline_equals_its_stages_by_brute_force(spark, documents, sql):
     texts = {i: t for i, t in sql.execute("SELECT doc_id, text FROM documents").fetchall() if any(c.isalpha() for c in t or "")}
     sql.execute("CREATE OR REPLACE TEMP VIEW leaks AS " + ORACLE_SQL["op5_decontamination"])
     leaks = {i for (i,) in sql.execute("SELECT doc_id FROM leaks").fetchall()}
-    component = {r[0]: r[1] for r in sql.execute(f"SELECT doc_id, component_id FROM ({ORACLE_SQL['op2_jaccard_join']})").fetchall()}
+    sql.execute("CREATE OR REPLACE TEMP TABLE lettered AS SELECT * FROM documents WHERE doc_id IN (SELECT unnest(?))", [list(texts)])
+    near = jaccard_sql(5, 80).replace("from documents", "from lettered")
+    component = {r[0]: r[1] for r in sql.execute(f"SELECT doc_id, component_id FROM ({near})").fetchall()}
     coder = bpe.automaton(vocabulary())
     want = {i: len(coder.encode(secrets.redacted(t))) // 4 for i, t in texts.items() if component[i] == i and i not in leaks}
     rows = corpus_pipeline.run(spark, SF_DIR).collect()

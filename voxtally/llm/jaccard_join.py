@@ -41,6 +41,8 @@ CANDIDATE_COST = 20
 FEW_MEETINGS = 60
 #: Rounds that join groups by their nearest members before all pairs of different groups are tried.
 JOINING_ROUNDS = 1
+#: Size from which the narrow bitmaps rule out little, and the wider ones go into the last round's join.
+WIDE_FROM = 300
 #: Partners of a set whose wider bitmaps are looked at in a joining round.
 LOOKED_AT = 8
 #: Words of 64 bits of the wider bitmaps, which are looked at once for each pair.
@@ -204,6 +206,10 @@ def _apart(x: str, y: str) -> str:
     return " + ".join(f"bit_count({x}.bits[{i}] ^ {y}.bits[{i}])" for i in range(4))
 
 
+def _wide_apart(x: str, y: str) -> str:
+    return f"aggregate(zip_with({x}.wide, {y}.wide, (p, q) -> bit_count(p ^ q)), 0, (s, c) -> s + c)"
+
+
 def _most_apart(x: str, y: str, percent: int) -> str:
     """SQL: as many tokens in one of two sets only as their similarity allows."""
     return f"{x}.n + {y}.n - 2 * {_least_shared(x, y, percent)}"
@@ -225,7 +231,7 @@ def _not_ruled_out(pairs: DataFrame, signed: DataFrame, percent: int) -> DataFra
     return (
         pairs.join(wide.select(F.col("doc_id").alias("a"), F.col("w").alias("x")), "a")
         .join(wide.select(F.col("doc_id").alias("b"), F.col("w").alias("y")), "b")
-        .withColumn("apart", F.expr("aggregate(zip_with(x.wide, y.wide, (p, q) -> bit_count(p ^ q)), 0, (s, c) -> s + c)"))
+        .withColumn("apart", F.expr(_wide_apart("x", "y")))
         .where(f"apart <= {_most_apart('x', 'y', percent)}").drop("x", "y")
     )
 
@@ -324,12 +330,14 @@ def groups(documents: DataFrame, k: int = 4, percent: int = 85) -> DataFrame:
         scratch.drop(before)
 
     # Last round: whatever a list holds of different groups.
-    before, open_lists = open_lists, open_lists.join(bitmaps.select("doc_id", "bits"), "doc_id")
+    large = F.when(F.col("n") >= WIDE_FROM, F.col("wide")).alias("wide")
+    before, open_lists = open_lists, open_lists.join(signed.select("doc_id", "bits", large), "doc_id")
     meetings = open_lists.alias("x").join(
         open_lists.alias("y"),
         F.expr(
             "x.key = y.key and x.root <> y.root and (x.n < y.n or (x.n = y.n and x.doc_id < y.doc_id))"
             f" and (x.key % 2 <> 0 or y.n >= {boundary}) and {_may_be_similar('x', 'y', percent)}"
+            f" and (x.wide is null or y.wide is null or {_wide_apart('x', 'y')} <= {_most_apart('x', 'y', percent)})"
         ),
     ).select(F.col("x.doc_id").alias("a"), F.col("y.doc_id").alias("b"), F.col("x.n").alias("p"), F.col("y.n").alias("q"), F.expr("x.key % 2 <> 0").alias("is_subset"))
     # What two sets share is in both prefixes, and then they meet there, or behind the prefix that ends first.
