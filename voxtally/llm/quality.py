@@ -88,7 +88,7 @@ def _repeated(words: np.ndarray, width: int = 5) -> int:
 
 
 def statistics(documents: DataFrame) -> DataFrame:
-    """``COUNTS`` of every whole text; a null text has none of anything."""
+    """``COUNTS`` of every whole text; a null text has none of anything.  Rows are treated alone; null ids stay null."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -191,11 +191,17 @@ def _gain(g, h, value):
 def learn(counted: DataFrame, labels: DataFrame, most_rows: int = 20_000) -> Trees:
     """Fit on labelled rows: at most ``most_rows`` of them, those whose id hashes lowest, so the same ones each time.
 
+    The labelled rows are counted first, and only those with a hash low enough for a few more than are wanted are sorted.
+
     Rows without a quality label teach nothing; a document labelled more than once counts once, as its lowest label.
     """
     marks = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").cast("int").alias("quality")).dropna()
     marks = marks.groupBy("doc_id").agg(F.min("quality").alias("quality"))
-    rows = counted.join(marks, "doc_id").orderBy(F.xxhash64("doc_id"), "doc_id", *COUNTS).limit(most_rows).toPandas()
+    labelled = counted.join(marks, "doc_id")
+    many, scale = labelled.count(), 1 << 40
+    share = min(1.0, (most_rows + 6 * most_rows**0.5) / max(many, 1))
+    place = F.pmod(F.xxhash64("doc_id"), F.lit(scale))
+    rows = labelled.where(place <= int(share * scale)).orderBy(place, "doc_id", *COUNTS).limit(most_rows).toPandas()
     return fit(features(rows[list(COUNTS)].to_numpy(np.int64)), (rows["quality"].to_numpy() > 0).astype(float))
 
 
