@@ -19,6 +19,8 @@ from voxtally.llm.bpe import automaton
 from voxtally.llm.common import Scratch, map_batches, new_file, opened, present, whole_documents
 
 END_OF_DOCUMENT = "<|endoftext|>"
+#: Tasks that search blocks, at most.
+MOST_TASKS = 10_000
 ORDER = "file string, place long, doc_id long, n_bytes long"
 BLOCKS = "file string, block long, n_tokens long, n_ends long, first_end long, last_end long, inner array<long>"
 
@@ -97,8 +99,10 @@ def count_tokens(files: DataFrame, kind: str, end: int, block_tokens: int = 1 <<
         files.where("n_bytes > 0")
         .select("file", "n_bytes", F.explode(F.sequence(F.lit(0).cast("long"), F.expr(f"(n_bytes - 1) div {bytes_a_block}"))).alias("block"))
         .select("file", "block", F.least(F.lit(bytes_a_block), F.col("n_bytes") - F.col("block") * bytes_a_block).alias("size"))
-        .repartition("file", "block")
     )
+    # A number of tasks that is given is not merged again; each has a few blocks.
+    many = files.where("n_bytes > 0").agg(F.coalesce(F.sum(F.expr(f"(n_bytes - 1) div {bytes_a_block} + 1")), F.lit(1))).first()[0]
+    blocks = blocks.repartition(min(many, MOST_TASKS))
     found = map_batches(blocks, work, BLOCKS)
     # The scan over blocks: documents, tokens and the last separator before each.
     before = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
@@ -128,12 +132,14 @@ def document_token_counts(documents: DataFrame, vocabulary: str, block_tokens: i
     """``doc_id``, ``n_tokens``, and ``place`` in its file, for every row, by way of flat token files.
 
     The files live in the shared folder while they are scanned and are deleted then; the counts are a landed table.
+    A document is a place in a file, so null and repeated ids stay as they are; a null text has no token.
     """
     scratch = Scratch(documents.sparkSession, "token_counts")
     order = scratch.land(write_token_files(documents, vocabulary, scratch.folder("tokens")), "order")
-    counts = count_tokens(order.where("place = -1").select("file", "n_bytes"), *id_type(vocabulary), block_tokens)
+    # Landed, so the planner knows how large the counts are, and they are as many as the documents.
+    counts = scratch.land(count_tokens(order.where("place = -1").select("file", "n_bytes"), *id_type(vocabulary), block_tokens), "lengths")
     named = order.where("place >= 0").select("file", "place", "doc_id")
     result = scratch.land(named.join(counts, ["file", "place"]).select("doc_id", "n_tokens", "place", "first_token"), "counts")
     scratch.delete(scratch.folder("tokens"))
-    scratch.drop(order)
+    scratch.drop(order, counts)
     return result
