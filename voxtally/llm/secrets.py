@@ -80,7 +80,7 @@ def linked_spans(text: str, base: list[Span], reach: int = REACH) -> list[Span]:
     low = text.lower() if secrets or base else ""
     endpoints = [m.span() for m in _ENDPOINT.finditer(text)] if "://" in low else []
     names = [m.span() for m in _IDENTIFIER.finditer(text) if free(m.span())] if low and any(k in low for k in ("client", "account", "access", "user", "login")) else []
-    secrets = [s for s in secrets if not any(e[0] <= s[0] < e[1] for e in endpoints)] if len(endpoints) < 64 else _outside(secrets, endpoints)
+    secrets = _outside(secrets, endpoints) if endpoints else secrets
     strong_secrets = [(s, e) for s, e, kind in base if kind in ("assign", "hex")]
     strong_names = [(s, e) for s, e, kind in base if kind == "access"]
     breaks = np.array([m.end() for m in _BREAK.finditer(text)])
@@ -141,7 +141,7 @@ def scan(documents: DataFrame, reach: int = REACH) -> DataFrame:
 
 
 def digests(documents: DataFrame, reach: int = REACH) -> DataFrame:
-    """Counts by base kind, a digest of the base spans, and all spans as text."""
+    """Counts by base kind, a digest of the base spans, and all spans as text; rows as in :func:`scan`, null ids stay null."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
