@@ -102,6 +102,18 @@ def test_languages(documents):
     assert {r.lang_pred for r in language.identify(docs, nothing).collect()} == {"und"}
 
 
+def test_languages_of_odd_texts(documents):
+    docs = documents("the cat and the dog", "\u0301\u0302", "日本語の文章です", "", None, "12", langs=["en"] * 6)
+    profiles = language.learn(docs.where("doc_id = 0"))
+    rows = {r.doc_id: (r.lang_pred, r.score) for r in language.identify(docs, profiles).collect()}
+    assert rows[1] == rows[3] == rows[4] == rows[5] == ("und", 0.0) and rows[0][0] == "en"
+    assert sorted(r.doc_id for r in language.identified(docs, profiles).collect()) == [0, 2]  # too short to tell
+    long = documents("the cat and the dog " * 20, "日本語の文章です" * 20)
+    assert [r.doc_id for r in language.identified(long, profiles).collect()] == [0]
+    nothing = language.learn(docs.where("false"))
+    assert sorted(r.doc_id for r in language.identified(docs, nothing).collect()) == [0, 2]
+
+
 def test_bundles_are_the_sum_of_bound_vectors():
     text = language.runs("Ab c")
     letters = {c: language.letter_vectors(np.array([ord(c) if c != " " else 0]), 256)[0].astype(int) for c in "abc "}

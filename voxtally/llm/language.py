@@ -35,6 +35,11 @@ class Profiles:
     vectors: np.ndarray
 
 
+@cache
+def _is_letter() -> np.ndarray:
+    return np.array([chr(code).isalpha() for code in range(sys.maxunicode + 1)])
+
+
 @cache
 def _letters() -> np.ndarray:
     """Lower-case letter of each code point, or the boundary mark for what is no letter."""
@@ -52,9 +57,9 @@ def _letters() -> np.ndarray:
 def runs(text: str) -> np.ndarray:
     """The three-letter runs of a text, words marked off by one boundary, packed into 63 bits each."""
     codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
-    letters = _letters()[codes]
-    if not letters.any():
+    if not _is_letter()[codes].any():  # accents alone are no text in a language
         return np.empty(0, np.uint64)
+    letters = _letters()[codes]
     letters = np.concatenate([[_BOUNDARY], letters, [_BOUNDARY]])
     letters = letters[np.concatenate([[True], (letters[1:] != _BOUNDARY) | (letters[:-1] != _BOUNDARY)])].astype(np.uint64)
     return letters[:-2] << np.uint64(42) | letters[1:-1] << np.uint64(21) | letters[2:]
@@ -137,7 +142,7 @@ def identify(documents: DataFrame, profiles: Profiles, *keep: str) -> DataFrame:
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            names, scores = predictions(batch.column("text").to_pylist(), profiles)
+            names, scores, _ = predictions(batch.column("text").to_pylist(), profiles)
             handed = [batch.column(c) for c in ("doc_id", *keep)]
             yield pa.RecordBatch.from_arrays([*handed, pa.array(names, pa.string()), pa.array(scores, pa.float64())], ["doc_id", *keep, "lang_pred", "score"])
 
@@ -146,12 +151,15 @@ def identify(documents: DataFrame, profiles: Profiles, *keep: str) -> DataFrame:
     return map_batches(rows, work, f"{schema}, lang_pred string, score double")
 
 
-def predictions(texts: list[str | None], profiles: Profiles) -> tuple[list[str], list[float]]:
+def predictions(texts: list[str | None], profiles: Profiles) -> tuple[list[str], list[float], list[int]]:
+    """Language, cosine and number of runs of each text."""
     languages, vectors = profiles.languages, profiles.vectors
     names: list[str] = []
     scores: list[float] = []
+    sizes: list[int] = []
     for first in range(0, len(texts), _TEXTS):
         found = [runs(present(t)) for t in texts[first : first + _TEXTS]]
+        sizes += map(len, found)
         if not languages:
             names += [UNKNOWN] * len(found)
             scores += [0.0] * len(found)
@@ -162,16 +170,29 @@ def predictions(texts: list[str | None], profiles: Profiles) -> tuple[list[str],
         best = cosines.argmax(axis=1)
         names += [languages[b] if len(f) else UNKNOWN for b, f in zip(best, found, strict=True)]
         scores += np.clip(cosines[np.arange(len(found)), best], 0, 1).tolist()
-    return names, scores
+    return names, scores, sizes
 
 
-def identified(documents: DataFrame, profiles: Profiles) -> DataFrame:
-    """The documents, all columns, that are in some learned language: those that are not ``und``."""
+#: Cosine that a text of ``LONG`` runs or more in a learned language has at least.  Vectors of other letters are as good as
+#: random, with cosines about zero; a few words of a known language may have no more.
+LEAST_SCORE, LONG = 0.1, 100
+
+
+def identified(documents: DataFrame, profiles: Profiles, least_score: float = LEAST_SCORE) -> DataFrame:
+    """The documents, all columns, that are in some learned language.
+
+    Null texts and texts without a letter go, and so do those of ``LONG`` runs or more with less than ``least_score``.
+    Where no language was learned, no document can be told to be in another one: all with a letter stay.
+    """
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            names, _ = predictions(batch.column("text").cast(pa.string()).to_pylist(), profiles)
-            yield batch.filter(pa.array([n != UNKNOWN for n in names], pa.bool_()))
+            texts = batch.column("text").cast(pa.string()).to_pylist()
+            if not profiles.languages:
+                stays = [len(runs(present(t))) > 0 for t in texts]
+            else:
+                stays = [n != UNKNOWN and (size < LONG or score >= least_score) for n, score, size in zip(*predictions(texts, profiles), strict=True)]
+            yield batch.filter(pa.array(stays, pa.bool_()))
 
     return documents.mapInArrow(work, documents.schema)
 
