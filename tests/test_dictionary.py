@@ -87,3 +87,13 @@ def test_plan_holds_no_phrases(spark):
     rules = RuleSet(themes=(), lexicon=RULES.lexicon, negative_terms=tuple(phrases))
     plan = match_text(frame(spark, ["x"]), rules, key=["i"])._jdf.queryExecution().optimizedPlan().toString()
     assert "term299" not in plan
+
+
+def test_runs_grow_only_where_a_term_goes_on(spark):
+    df = spark.createDataFrame([(1, "a b c d a b c"), (2, "b c d"), (3, "a b c d e"), (4, "a"), (5, ""), (6, None)], "i int, clean_text string")
+    terms = spark.createDataFrame([("a b c d",), ("d",), ("c d e f",)], "term string")
+    runs = dictionary.word_runs(df, terms, ["i"])
+    assert sorted((r.i, r.term) for r in runs.collect()) == [(1, "a b c d"), (1, "d"), (2, "d"), (3, "a b c d"), (3, "d")]
+    # found once for each text, and not a second time by a filter that asks whether there are any
+    plan = runs._jdf.queryExecution().optimizedPlan().toString()
+    assert not [line for line in plan.splitlines() if "Filter" in line and "lambda" in line]

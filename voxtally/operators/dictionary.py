@@ -1,13 +1,14 @@
 """Dictionaries as tables: matching against more terms than a plan should hold as literals.
 
 The other operators carry a rule set's phrases inside the plan, which is right for some hundred.  Here a dictionary is a
-table of terms with whatever belongs to them.  A text gives its runs of words, only of the lengths that terms have, each
-different run once; the runs are joined to the terms, and what is found is grouped by the row it came from.
-
-Before anything is shuffled the runs pass a *sieve*: a map of fixed size with a bit for the hash of each term.  What
-it lets through is nearly only terms, so the join moves what is found and not what a text consists of; when a
-dictionary outgrows the sieve, more passes and the join still decides.  Both the lengths and the sieve are computed
-from the dictionary inside the same plan.
+table of terms with whatever belongs to them.  A text gives its runs of words that may be terms, each different run once;
+the runs are joined to the terms, and what is found is grouped by the row it came from.
+
+Before anything is shuffled the runs pass a *sieve*: maps of fixed size with a bit for the hash of each term and of each
+beginning of one.  A run is made longer only where a term may go on, so the work per text follows the runs that terms begin
+with and not the lengths that terms have.  What the sieve lets through is nearly only terms, so the join moves what is found
+and not what a text consists of; when a dictionary outgrows the sieve, more passes and the join still decides.  The sieve
+is computed from the dictionary inside the same plan.
 """
 
 from __future__ import annotations
@@ -17,10 +18,11 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from voxtally.functions.literals import sql_let
 from voxtally.functions.text import normalize_words
 from voxtally.rules import RuleSet
 
-#: Bits of the sieve; as many terms as an eighth of it leave it nearly without false hits.
+#: Bits of each map of the sieve; as many beginnings as an eighth of it leave it nearly without false hits.
 SIEVE_BITS = 1 << 22
 
 
@@ -35,29 +37,54 @@ def _quoted(column: str) -> str:
     return "`" + column.replace("`", "``") + "`"
 
 
-def term_lengths(terms: DataFrame) -> Column:
-    """The numbers of words that terms have, as one array value."""
-    return terms.agg(F.expr("collect_set(size(split(term, ' ')))")).scalar()
+def longest_term(terms: DataFrame) -> Column:
+    """The number of words of the longest term; null without terms."""
+    return terms.agg(F.expr("max(size(split(term, ' ')))")).scalar()
+
+
+def _holds(bits: str, hashed: str, size: int) -> str:
+    """SQL: whether a map of ``size`` bits holds a hash.  Its highest bits say which bit of a number, the rest which number."""
+    return f"getbit(get({bits}, int(pmod({hashed}, {size // 64}L))), int(shiftrightunsigned({hashed}, 58))) = 1"
 
 
 def sieve(terms: DataFrame, bits: int = SIEVE_BITS) -> Column:
-    """A bit for each term's hash, as one array value of ``bits / 64`` numbers whatever the size of the dictionary."""
-    place = f"pmod(xxhash64(term), {bits}L)"
-    set_bits = terms.selectExpr(f"{place} div 64 AS word", f"shiftleft(1L, int({place} % 64)) AS bits")
-    zeros = terms.sparkSession.range(bits // 64).selectExpr("id AS word", "0L AS bits")
-    words = set_bits.unionAll(zeros).groupBy("word").agg(F.bit_or("bits").alias("bits"))
-    return words.agg(F.expr("transform(array_sort(collect_list(struct(word, bits))), w -> w.bits)")).scalar()
+    """A bit for the hash of each term (``whole``), and of each run of words that a term begins with (``begun``).
+
+    One value, two arrays of ``bits / 64`` numbers whatever the size of the dictionary.  The hash of a run takes in the hash
+    of the run without its last word, and that word.
+    """
+    hashes = """aggregate(split(term, ' '), cast(array() AS array<bigint>), (done, word) ->
+        array_append(done, IF(size(done) = 0, xxhash64(word), xxhash64(get(done, size(done) - 1), word))))"""
+    runs = terms.selectExpr(f"{hashes} AS hashes").selectExpr("posexplode_outer(hashes) AS (i, h)", "size(hashes) AS n").where("h IS NOT NULL")
+    set_bits = runs.selectExpr(f"pmod(h, {bits // 64}L) AS word", "shiftleft(1L, int(shiftrightunsigned(h, 58))) AS bit", "i", "n")
+    set_bits = set_bits.selectExpr("word", "IF(i = n - 1, bit, 0L) AS whole", "bit AS begun")
+    zeros = terms.sparkSession.range(bits // 64).selectExpr("id AS word", "0L AS whole", "0L AS begun")
+    words = set_bits.unionAll(zeros).groupBy("word").agg(F.bit_or("whole").alias("whole"), F.bit_or("begun").alias("begun"))
+    in_order = words.agg(F.expr("array_sort(collect_list(struct(word, whole, begun)))").alias("words"))
+    return in_order.selectExpr("struct(words.whole AS whole, words.begun AS begun)").scalar()
 
 
 def word_runs(texts: DataFrame, terms: DataFrame, key: Sequence[str], text: str = "clean_text", bits: int = SIEVE_BITS) -> DataFrame:
-    """``key`` and each different run of words of normalized ``text`` that may be a term, as ``term``."""
-    run = "transform(sequence(1, size(_words) - n + 1), i -> array_join(slice(_words, i, n), ' '))"
-    runs = f"flatten(transform(_lengths, n -> IF(size(_words) < n, cast(array() AS array<string>), {run})))"
-    place = f"pmod(xxhash64(run), {bits}L)"
-    passes = f"getbit(get(_sieve, int({place} div 64)), int({place} % 64)) = 1"
-    split = texts.where(F.col(text) != "").select(*key, F.split(text, " ").alias("_words")).withColumns(
-        {"_lengths": term_lengths(terms), "_sieve": sieve(terms, bits)})
-    return split.selectExpr(*key, f"explode(array_distinct(filter({runs}, run -> {passes}))) AS term")
+    """``key`` and each different run of words of normalized ``text`` that may be a term, as ``term``.
+
+    Runs grow by a word at a time, from the places where a term may go on; only what may be a whole term becomes a string.
+    """
+    singles = f"filter(array_distinct(v.words), word -> {_holds('v.whole', 'xxhash64(word)', bits)})"
+    begun = _holds("v.begun", "run.h", bits)
+    first = f"filter(transform(v.words, (word, i) -> named_struct('i', i, 'h', xxhash64(word))), run -> {begun})"
+    longer = f"""filter(transform(filter(acc.open, run -> run.i + n <= size(v.words)),
+        run -> named_struct('i', run.i, 'h', xxhash64(run.h, get(v.words, run.i + n - 1)))), run -> {begun})"""
+    whole = f"transform(filter(open, run -> {_holds('v.whole', 'run.h', bits)}), run -> array_join(slice(v.words, run.i + 1, n), ' '))"
+    grown = f"transform(array({longer}), open -> named_struct('open', open, 'found', concat(acc.found, {whole})))[0]"
+    several = f"""aggregate(IF(v.longest > 1, sequence(2, v.longest), cast(array() AS array<int>)),
+        named_struct('open', {first}, 'found', cast(array() AS array<string>)),
+        (acc, n) -> IF(size(acc.open) = 0, acc, {grown}), acc -> array_distinct(acc.found))"""
+    known = texts.select(*key, F.col(text).alias("_text")).withColumns({"_longest": longest_term(terms), "_sieve": sieve(terms, bits)})
+    maps = sql_let({"words": "v.words", "longest": "v.longest", "whole": "v.sieve.whole", "begun": "v.sieve.begun"}, f"concat({singles}, {several})")
+    # an empty text has no words, as a null one; names used once are not written into the rows
+    runs = sql_let({"words": "split(nullif(_text, ''), ' ')", "longest": "_longest", "sieve": "_sieve"}, maps)
+    # outer: else the optimizer puts the size of the runs into a filter in front, and finds them twice
+    return known.selectExpr(*key, f"{runs} AS _runs").selectExpr(*key, "explode_outer(_runs) AS term").where("term IS NOT NULL")
 
 
 def term_hits(texts: DataFrame, terms: DataFrame, key: Sequence[str], text: str = "clean_text", bits: int = SIEVE_BITS) -> DataFrame:
