@@ -203,3 +203,14 @@ def test_quotes_behind_many_copies_are_found(spark):
     others = [(f"o{i:03d}", False, 400 + i, None, f"text {i}") for i in range(400)]
     found = rows(themes.theme_quotes(quotes_frame(spark, copies + others), 3), "quote_rank", "review_id")
     assert found == [(1, "c000"), (2, "o000"), (3, "o001")]
+
+
+def test_ngrams_make_their_terms_once_for_each_use(spark):
+    rows = [("the slow slow desk",), ("slow desk a queue",), ("a",), ("",), (None,), ("slow slow slow",)]
+    df = spark.createDataFrame(rows, "clean_text string")
+    counted = quant.ngram_frequency(df, stop_words=["the"], limit=10, least_reviews=(), buckets=7, first_buckets=2)
+    assert [tuple(r) for r in counted.collect()] == [("slow", 6), ("slow slow", 3), ("desk", 2), ("slow desk", 2), ("desk queue", 1), ("queue", 1)]
+    assert quant.ngram_frequency(df, stop_words=[], limit=1).collect()[0].term == "slow"
+    plan = counted._jdf.queryExecution().optimizedPlan().toString()
+    # neither the terms nor their buckets are asked for by a filter in front of the sums
+    assert not [line for line in plan.splitlines() if "Filter" in line and ("lambda" in line or "bucket#" in line)]

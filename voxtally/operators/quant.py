@@ -71,17 +71,11 @@ LEAST_REVIEWS = ((500, 3), (100, 2))
 TERM_BUCKETS, FIRST_BUCKETS = 1 << 16, 320
 
 
-def review_terms(reviews: DataFrame, stop_words: Sequence[str] = DEFAULT_STOP_WORDS) -> DataFrame:
-    """``terms`` of each review: its words and word pairs, once per occurrence.
-
-    Stop words and one-letter words are removed first.
-    """
-    # one hash set per text finds its stop words; few are left to compare each word with
-    present = f"array_intersect(split(clean_text, ' '), {sql_array(stop_words)})"
-    kept = sql_let({"tokens": "split(clean_text, ' ')", "stops": present},
-                   "filter(v.tokens, token -> length(token) > 1 AND NOT array_contains(v.stops, token))")
-    pairs = "transform(slice(kept, 2, size(kept)), (word, i) -> concat(get(kept, i), ' ', word))"
-    return reviews.selectExpr(f"{kept} AS kept").selectExpr(f"concat(kept, {pairs}) AS terms")
+def kept_words(reviews: DataFrame, stop_words: Sequence[str] = DEFAULT_STOP_WORDS) -> DataFrame:
+    """The words of each review in order, as ``kept``, without stop words and one-letter words."""
+    # a list of literals is looked up by hash
+    stops = f" AND token NOT IN ({', '.join(map(sql_string, stop_words))})" if stop_words else ""
+    return reviews.selectExpr(f"filter(split(clean_text, ' '), token -> length(token) > 1{stops}) AS kept")
 
 
 def _occurrences(terms: str) -> str:
@@ -93,11 +87,10 @@ def _occurrences(terms: str) -> str:
 
 
 def _bucket_map(buckets: DataFrame, n_buckets: int) -> Column:
-    """A bit for each bucket listed, as one array value."""
-    bits = buckets.selectExpr("bucket div 64 AS word", "shiftleft(1L, int(bucket % 64)) AS bits")
-    zeros = buckets.sparkSession.range(-(-n_buckets // 64)).selectExpr("id AS word", "0L AS bits")
-    words = bits.unionAll(zeros).groupBy("word").agg(F.bit_or("bits").alias("bits"))
-    return words.agg(F.expr("transform(array_sort(collect_list(struct(word, bits))), w -> w.bits)")).scalar()
+    """For each bucket whether it is listed, as one array value."""
+    every = buckets.sparkSession.range(n_buckets).selectExpr("id AS bucket", "false AS listed")
+    told = buckets.selectExpr("bucket", "true AS listed").unionAll(every).groupBy("bucket").agg(F.expr("bool_or(listed)").alias("listed"))
+    return told.agg(F.expr("array_sort(collect_list(struct(bucket, listed)))").alias("told")).select("told.listed").scalar()
 
 
 def ngram_frequency(reviews: DataFrame, stop_words: Sequence[str] = DEFAULT_STOP_WORDS,
@@ -113,18 +106,31 @@ def ngram_frequency(reviews: DataFrame, stop_words: Sequence[str] = DEFAULT_STOP
     fullest are counted, and the last of the first ``limit`` that qualify there sets a threshold.  Buckets that reach it may
     hold a term of the result, and their terms are counted exactly.  With fewer terms than ``limit`` that is all of them.
     """
-    rows = review_terms(reviews, stop_words)
-    place = f"pmod(xxhash64(t), {buckets}L)"
+    rows = kept_words(reviews, stop_words)
+
+    def place(*words: str) -> str:
+        return f"pmod(xxhash64({', '.join(words)}), {buckets}L)"
+
+    def pairs(what: str) -> str:
+        return f"transform(slice(kept, 2, size(kept)), (word, i) -> {what})"
+
     # every review also stands in a bucket of its own kind, which counts the reviews
-    sums = rows.selectExpr(f"explode(array_append(transform(terms, t -> {place}), -1L)) AS bucket").groupBy("bucket").agg(F.expr("count(1)").alias("n"))
+    # outer, here and below: else the optimizer asks in front how many there are, and makes them twice
+    places = f"concat(transform(kept, word -> {place('word')}), {pairs(place('get(kept, i)', 'word'))}, array(-1L))"
+    sums = rows.selectExpr(f"explode_outer({places}) AS bucket").groupBy("bucket").agg(
+        F.expr("count(1)").alias("n"), F.expr("max(bucket < 0)").alias("is_reviews"))
     steps = " ".join(f"WHEN n >= {int(n)} THEN {int(k)}" for n, k in (*least_reviews, (0, 1)))
-    least = sums.where("bucket < 0").agg(F.expr("coalesce(max(n), 0L)").alias("n")).selectExpr(f"CASE {steps} ELSE 1 END").scalar()
-    sums = sums.where("bucket >= 0")
+    # chosen by a sum and not by the bucket, which would be put in front of the sums: both parts read the same ones
+    least = sums.where("is_reviews").agg(F.expr("coalesce(max(n), 0L)").alias("n")).selectExpr(f"CASE {steps} ELSE 1 END").scalar()
+    sums = sums.where("NOT is_reviews").drop("is_reviews")
 
     def counted(chosen: Column) -> DataFrame:
-        inside = f"getbit(get(chosen, int({place} div 64)), int({place} % 64)) = 1"
-        found = rows.withColumn("chosen", chosen).selectExpr(f"array_sort(filter(terms, t -> {inside})) AS found")
-        each = found.selectExpr(f"inline({_occurrences('found')})")
+        inside = lambda *words: f"get(chosen, int({place(*words)}))"
+        found_words = f"filter(kept, word -> {inside('word')})"
+        found_pairs = pairs(f"IF({inside('get(kept, i)', 'word')}, concat(get(kept, i), ' ', word), NULL)")
+        found = rows.withColumn("chosen", chosen).selectExpr(
+            f"array_sort(concat({found_words}, filter({found_pairs}, pair -> pair IS NOT NULL))) AS found")
+        each = found.selectExpr(f"inline_outer({_occurrences('found')})").where("term IS NOT NULL")
         return each.groupBy("term").agg(*aliased({"count": "sum(n)", "documents": "count(1)"})).where(F.col("documents") >= least)
 
     fullest = sums.orderBy(F.desc("n"), "bucket").limit(first_buckets)
