@@ -313,6 +313,7 @@ def groups(documents: DataFrame, k: int = 4, percent: int = 85) -> DataFrame:
 
     # Joining rounds: for two groups that meet, the likeliest pair.
     open_lists = scratch.land(still_open(lists), "open_lists")
+    scratch.drop(lists)
     for _ in range(JOINING_ROUNDS):
         tried = (
             nearest_others(open_lists).where(tokens_or_heavy)
@@ -353,7 +354,7 @@ def groups(documents: DataFrame, k: int = 4, percent: int = 85) -> DataFrame:
     members = rows.select("doc_id", "n", "digest").join(classes.select("digest", "representative"), "digest", "left")
     named = members.join(final.withColumnRenamed("node", "representative"), "representative", "left")
     result = scratch.land(named.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("root", "representative", "doc_id").alias("component_id")), "groups")
-    scratch.drop(signed, lists, before)
+    scratch.drop(signed, before)
     return result
 
 
