@@ -88,9 +88,10 @@ def _occurrences(terms: str) -> str:
 
 def _bucket_map(buckets: DataFrame, n_buckets: int) -> Column:
     """For each bucket whether it is listed, as one array value."""
-    every = buckets.sparkSession.range(n_buckets).selectExpr("id AS bucket", "false AS listed")
-    told = buckets.selectExpr("bucket", "true AS listed").unionAll(every).groupBy("bucket").agg(F.expr("bool_or(listed)").alias("listed"))
-    return told.agg(F.expr("array_sort(collect_list(struct(bucket, listed)))").alias("told")).select("told.listed").scalar()
+    every = buckets.sparkSession.range(n_buckets).selectExpr("id AS bucket")
+    told = buckets.select("bucket").unionAll(every).groupBy("bucket").agg(F.expr("count(1) > 1").alias("listed"))
+    in_order = "array_sort(collect_list(IF(bucket >= 0, struct(bucket, listed), NULL)))"
+    return told.agg(F.expr(in_order).alias("told")).select("told.listed").scalar()
 
 
 def ngram_frequency(reviews: DataFrame, stop_words: Sequence[str] = DEFAULT_STOP_WORDS,
@@ -117,12 +118,11 @@ def ngram_frequency(reviews: DataFrame, stop_words: Sequence[str] = DEFAULT_STOP
     # every review also stands in a bucket of its own kind, which counts the reviews
     # outer, here and below: else the optimizer asks in front how many there are, and makes them twice
     places = f"concat(transform(kept, word -> {place('word')}), {pairs(place('get(kept, i)', 'word'))}, array(-1L))"
-    sums = rows.selectExpr(f"explode_outer({places}) AS bucket").groupBy("bucket").agg(
-        F.expr("count(1)").alias("n"), F.expr("max(bucket < 0)").alias("is_reviews"))
+    sums = rows.selectExpr(f"explode_outer({places}) AS bucket").groupBy("bucket").agg(F.expr("count(1)").alias("n"))
     steps = " ".join(f"WHEN n >= {int(n)} THEN {int(k)}" for n, k in (*least_reviews, (0, 1)))
-    # chosen by a sum and not by the bucket, which would be put in front of the sums: both parts read the same ones
-    least = sums.where("is_reviews").agg(F.expr("coalesce(max(n), 0L)").alias("n")).selectExpr(f"CASE {steps} ELSE 1 END").scalar()
-    sums = sums.where("NOT is_reviews").drop("is_reviews")
+    # not by a filter on the bucket, which would be put in front of the sums: all parts read the same ones
+    least = sums.agg(F.expr("coalesce(max(IF(bucket < 0, n, 0L)), 0L)").alias("n")).selectExpr(f"CASE {steps} ELSE 1 END").scalar()
+    sums = sums.selectExpr("bucket", "IF(bucket >= 0, n, -1L) AS n")
 
     def counted(chosen: Column) -> DataFrame:
         inside = lambda *words: f"get(chosen, int({place(*words)}))"
