@@ -50,6 +50,23 @@ def test_groups_equal_brute_force(documents, monkeypatch, boundary):
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in rows} == brute_groups(texts)
 
 
+def test_sets_that_share_many_lists_meet_about_once(spark):
+    bits, other = [0] * 4, [-1] * 4
+    rows = [(2 * key, i, 60, i, bits, None) for i in range(4) for key in range(40)] + [(2 * key, 9, 60, 9, other, None) for key in range(40)]
+    rows += [(3, 7, 20, 7, bits, None), (3, 8, 20, 8, bits, None), (4, 7, 20, 7, bits, None), (4, 8, 20, 8, bits, None)]
+    lists = spark.createDataFrame(rows, "key long, doc_id long, n int, root long, bits array<long>, wide array<long>")
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        met = jaccard_join.meetings(lists, 30, 85)
+        found = [tuple(r) for r in met.collect()]
+        plan = met._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    assert sorted(found) == [(a, b) for a in range(4) for b in range(a + 1, 4)] + [(7, 8)]
+    assert "ReusedExchange" in plan
+
+
 def test_groups_of_odd_tables(documents):
     docs = documents("a b c d e", "a b c d e", "other", ids=[3, None, 3])
     rows = sorted((r.doc_id is None, r.n_shingles, r.component_id) for r in jaccard_join.groups(docs).collect())

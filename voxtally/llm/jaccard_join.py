@@ -13,9 +13,8 @@ The boundary is the one of least estimated cost, from the sizes of all sets and
 Groups of near copies would give a number of pairs that grows with the square of the group.  Only groups are asked for, so
 pairs are tried in rounds: first each set with its neighbour in size and with the smallest of each list, which connects
 most of a group; then the nearest of other groups in each list, one pair for two groups; at last all pairs of each list
-that are not connected yet, so no link between different groups is lost.  Size, parity bitmaps of the sets and the number
-of lists in which they meet rule out pairs without looking at texts, and never a similar one.  What remains is compared
-token by token.
+that are not connected yet, so no link between different groups is lost.  Size, parity bitmaps and shared
+prefixes of the sets rule out pairs without looking at texts, and never a similar one.  What remains is compared token by token.
 """
 
 from __future__ import annotations
@@ -45,6 +44,8 @@ JOINING_ROUNDS = 1
 WIDE_FROM = 300
 #: Partners of a set whose wider bitmaps are looked at in a joining round.
 LOOKED_AT = 8
+#: Lists before a list that tell whether two sets have met there.
+LISTS_BEFORE = 2
 #: Words of 64 bits of the wider bitmaps, which are looked at once for each pair.
 WIDE = 32
 #: Largest size of a light set.
@@ -250,6 +251,46 @@ def _compare(pairs: DataFrame, documents: DataFrame, scratch: Scratch, k: int, p
     return found
 
 
+def meetings(lists: DataFrame, boundary: int, percent: int) -> DataFrame:
+    """Pairs (``a``, ``b``) of different groups that meet in a list and that sizes and bitmaps allow.
+
+    Two sets that share much meet in many lists.  A set's row in a list has the keys of the lists before it, and where two sets
+    share one of those they have met there, so most pairs come once and none is missed.  Both sides of the join are one
+    exchange: no condition is about one side alone.
+    """
+    # Rows of one id and size have the same bitmaps and group in all lists, and what is asked of a key goes by its kind.
+    own = Window.partitionBy("doc_id", "n", F.expr("key % 2")).orderBy("key").rowsBetween(-LISTS_BEFORE, -1)
+    lists = lists.withColumn("earlier", F.collect_list("key").over(own))
+    return lists.alias("x").join(
+        lists.alias("y"),
+        F.expr(
+            "x.key = y.key and x.root <> y.root and (x.n < y.n or (x.n = y.n and x.doc_id < y.doc_id))"
+            f" and (x.key % 2 <> 0 or greatest(x.n, y.n) >= {boundary}) and {_may_be_similar('x', 'y', percent)}"
+            f" and (x.wide is null or y.wide is null or {_wide_apart('x', 'y')} <= {_most_apart('x', 'y', percent)})"
+            " and not arrays_overlap(x.earlier, y.earlier)"
+        ),
+    ).select(F.col("x.doc_id").alias("a"), F.col("y.doc_id").alias("b"))
+
+
+def _sharing_enough(pairs: DataFrame, signed: DataFrame, scratch: Scratch, percent: int) -> DataFrame:
+    """The pairs without those of large sets that share too few prefix tokens.
+
+    What two sets share is in both prefixes or behind the prefix that ends first."""
+    pairs = scratch.land(pairs.select("a", "b"), "met")
+    wanted = scratch.land(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), "wanted")
+    tokens = F.when(F.col("n") >= WIDE_FROM, F.expr("filter(keys, key -> key % 2 = 0)")).alias("keys")
+    prefixes = scratch.land(signed.join(wanted, "doc_id", "left_semi").select("doc_id", "n", tokens), "prefixes")
+    behind = f"greatest(({percent} * x.n + 99) div 100, ({percent} * y.n + 99) div 100) - 1"
+    rest = (
+        pairs.join(prefixes.select(F.col("doc_id").alias("a"), F.struct("n", "keys").alias("x")), "a")
+        .join(prefixes.select(F.col("doc_id").alias("b"), F.struct("n", "keys").alias("y")), "b")
+        .where(f"x.keys is null or y.keys is null or size(array_intersect(x.keys, y.keys)) + {behind} >= {_least_shared('x', 'y', percent)}")
+    )
+    rest = scratch.land(rest.select("a", "b").distinct(), "rest")
+    scratch.drop(pairs, wanted, prefixes)
+    return rest
+
+
 def groups(documents: DataFrame, k: int = 4, percent: int = 85) -> DataFrame:
     """``doc_id``, ``n_shingles`` and ``component_id`` - the smallest id reachable by links - of every row.
 
@@ -333,28 +374,15 @@ def groups(documents: DataFrame, k: int = 4, percent: int = 85) -> DataFrame:
     # Last round: whatever a list holds of different groups.
     large = F.when(F.col("n") >= WIDE_FROM, F.col("wide")).alias("wide")
     before, open_lists = open_lists, open_lists.join(signed.select("doc_id", "bits", large), "doc_id")
-    meetings = open_lists.alias("x").join(
-        open_lists.alias("y"),
-        F.expr(
-            "x.key = y.key and x.root <> y.root and (x.n < y.n or (x.n = y.n and x.doc_id < y.doc_id))"
-            f" and (x.key % 2 <> 0 or y.n >= {boundary}) and {_may_be_similar('x', 'y', percent)}"
-            f" and (x.wide is null or y.wide is null or {_wide_apart('x', 'y')} <= {_most_apart('x', 'y', percent)})"
-        ),
-    ).select(F.col("x.doc_id").alias("a"), F.col("y.doc_id").alias("b"), F.col("x.n").alias("p"), F.col("y.n").alias("q"), F.expr("x.key % 2 <> 0").alias("is_subset"))
-    # What two sets share is in both prefixes, and then they meet there, or behind the prefix that ends first.
-    behind = lambda n: f"(({percent} * {n} + 99) div 100) - 1"
-    rest = (
-        meetings.groupBy("a", "b", "p", "q", "is_subset").agg(F.count(F.lit(1)).alias("met"))
-        .where(f"is_subset or met + greatest({behind('p')}, {behind('q')}) >= (({percent} * (p + q) + {99 + percent}) div {100 + percent})")
-        .select("a", "b").distinct()
-    )
-    last = _compare(_not_ruled_out(rest, signed, percent), documents, scratch, k, percent)
+    rest = meetings(open_lists, boundary, percent).distinct()
+    rest = _sharing_enough(_not_ruled_out(rest, signed, percent), signed, scratch, percent)
+    last = _compare(rest, documents, scratch, k, percent)
     final = components(joined.select(F.col("node").alias("a"), F.col("root").alias("b")).unionAll(last), scratch)
 
     members = rows.select("doc_id", "n", "digest").join(classes.select("digest", "representative"), "digest", "left")
     named = members.join(final.withColumnRenamed("node", "representative"), "representative", "left")
     result = scratch.land(named.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("root", "representative", "doc_id").alias("component_id")), "groups")
-    scratch.drop(signed, before)
+    scratch.drop(signed, before, rest)
     return result
 
 
