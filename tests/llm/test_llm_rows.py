@@ -6,6 +6,7 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from voxtally.llm import bpe, language, quality, secrets, token_counts
@@ -102,6 +103,19 @@ def test_languages(documents):
     assert {r.lang_pred for r in language.identify(docs, nothing).collect()} == {"und"}
 
 
+def test_language_filter_unpacks_few_texts_at_once(documents, monkeypatch):
+    profiles = language.learn(documents("the cat and the dog", "der Hund und die Katze", langs=["en", "de"]))
+    docs = documents("the dog")
+    works, sizes, predictions = [], [], language.predictions
+    monkeypatch.setattr(type(docs), "mapInArrow", lambda self, work, schema: works.append(work))
+    monkeypatch.setattr(language, "predictions", lambda texts, p: sizes.append(len(texts)) or predictions(texts, p))
+    language.identified(docs, profiles)
+    texts = ["the cat", None] * 1500
+    batch = pa.RecordBatch.from_arrays([pa.array(range(3000)), pa.array(texts)], ["doc_id", "text"])
+    kept = [i for part in works[0](iter([batch])) for i in part.column("doc_id").to_pylist()]
+    assert kept == list(range(0, 3000, 2)) and sum(sizes) == 3000 and max(sizes) <= 1024
+
+
 def test_languages_of_odd_texts(documents):
     docs = documents("the cat and the dog", "\u0301\u0302", "日本語の文章です", "", None, "12", langs=["en"] * 6)
     profiles = language.learn(docs.where("doc_id = 0"))

@@ -19,12 +19,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from voxtally.llm.common import crc_remainder, map_batches, mix, present, whole_documents
+from voxtally.llm.common import crc_remainder, map_batches, mix, modest, present, whole_documents
 
 UNKNOWN = "und"
 _BOUNDARY = 0
 _COLUMNS = 4096  # different runs bundled by one product of matrices
 _TEXTS = 256  # texts bundled together
+_ROWS = 4 * _TEXTS  # rows whose texts are unpacked together, however many a session puts into a batch
 
 
 @dataclass(frozen=True)
@@ -100,6 +101,12 @@ def bundles(texts: list[np.ndarray], dimensions: int) -> np.ndarray:
     return out
 
 
+def _parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for first in range(0, len(batch), _ROWS):
+            yield batch.slice(first, _ROWS)
+
+
 def learn(documents: DataFrame, dimensions: int = 1024) -> Profiles:
     """Profiles from ``text`` and ``lang`` of every given row; rows without either teach nothing.
 
@@ -109,7 +116,7 @@ def learn(documents: DataFrame, dimensions: int = 1024) -> Profiles:
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[str, np.ndarray] = {}
-        for batch in batches:
+        for batch in _parts(batches):
             texts, languages = batch.column("text").to_pylist(), batch.column("lang").to_pylist()
             for first in range(0, len(texts), _TEXTS):
                 by: dict[str, list[np.ndarray]] = {}
@@ -123,7 +130,9 @@ def learn(documents: DataFrame, dimensions: int = 1024) -> Profiles:
             )
 
     taught = documents.select(F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang")).dropna()
-    rows = map_batches(taught, work, "lang string, place int, total long").groupBy("lang", "place").agg(F.sum("total").alias("total")).collect()
+    sums = map_batches(taught, work, "lang string, place int, total long").groupBy("lang", "place").agg(F.sum("total").alias("total"))
+    with modest(documents.sparkSession):
+        rows = sums.collect()
     languages = sorted({r.lang for r in rows})
     vectors = np.zeros((len(languages), dimensions))
     for r in rows:
@@ -141,7 +150,7 @@ def identify(documents: DataFrame, profiles: Profiles, *keep: str) -> DataFrame:
     """
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _parts(batches):
             names, scores, _ = predictions(batch.column("text").to_pylist(), profiles)
             handed = [batch.column(c) for c in ("doc_id", *keep)]
             yield pa.RecordBatch.from_arrays([*handed, pa.array(names, pa.string()), pa.array(scores, pa.float64())], ["doc_id", *keep, "lang_pred", "score"])
@@ -186,7 +195,7 @@ def identified(documents: DataFrame, profiles: Profiles, least_score: float = LE
     """
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _parts(batches):
             texts = batch.column("text").cast(pa.string()).to_pylist()
             if not profiles.languages:
                 stays = [len(runs(present(t))) > 0 for t in texts]
