@@ -171,3 +171,15 @@ def test_quality_verdict(documents, spark):
     rows = {r.doc_id: r for r in quality.judge(counted, quality.learn(counted, labels)).collect()}
     assert rows[1].base_failed and not rows[1].kept and rows[6].base_failed and rows[9].kept
     assert quality.judge(counted.where("false"), quality.learn(counted, labels)).count() == 0
+
+
+@needs_vocabulary
+def test_workers_take_no_words_to_other_stages(documents, spark):
+    bpe.digests(documents(*(f"word{i} and others" for i in range(40))), vocabulary()).collect()
+
+    def remembered(batches):
+        coder = bpe.automaton(vocabulary())
+        for _ in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([len(coder.words) + len(coder.pieces) + len(coder.cells)])], ["n"])
+
+    assert {r.n for r in spark.range(0, 64, 1, 8).mapInArrow(remembered, "n long").collect()} == {0}

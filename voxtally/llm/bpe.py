@@ -19,6 +19,7 @@ from __future__ import annotations
 import hashlib
 import json
 from collections.abc import Iterator
+from contextlib import contextmanager
 from functools import cache
 
 import numpy as np
@@ -34,7 +35,7 @@ SPLIT = regex.compile(r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\
 #: A space that more white space or the end follows.
 CROWDED = regex.compile(r" (?:\s|\Z)")
 
-#: Words, and cells of the table, that a worker remembers; both only save time.
+#: Words, and cells of the table, that a task remembers; both only save time.
 REMEMBERED_WORDS = 400_000
 REMEMBERED_CELLS = 1_000_000
 
@@ -203,6 +204,19 @@ def automaton(file: str) -> Automaton:
     return Automaton(file)
 
 
+@contextmanager
+def coding(file: str) -> Iterator[Automaton]:
+    """A worker's automaton for one task.  The worker goes on to other stages and takes the automaton along, but no words and
+    cells: any of them would keep the memory of those around it."""
+    coder = automaton(file)
+    try:
+        yield coder
+    finally:
+        coder.pieces.clear()
+        coder.words.clear()
+        coder.cells.clear()
+
+
 def tokenize(documents: DataFrame, vocabulary: str) -> DataFrame:
     """``doc_id``, ``token_ids`` (array of int) and ``decoded`` of every whole text.
 
@@ -211,14 +225,14 @@ def tokenize(documents: DataFrame, vocabulary: str) -> DataFrame:
     """
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = automaton(vocabulary)
-        for batch in batches:
-            packed = [coder.encode(present(t)) for t in batch.column("text").to_pylist()]
-            yield pa.RecordBatch.from_arrays([
-                batch.column("doc_id"),
-                pa.array([np.frombuffer(p, "<u4").astype(np.int32) for p in packed], pa.list_(pa.int32())),
-                pa.array([coder.decode(p) for p in packed], pa.string()),
-            ], ["doc_id", "token_ids", "decoded"])
+        with coding(vocabulary) as coder:
+            for batch in batches:
+                packed = [coder.encode(present(t)) for t in batch.column("text").to_pylist()]
+                yield pa.RecordBatch.from_arrays([
+                    batch.column("doc_id"),
+                    pa.array([np.frombuffer(p, "<u4").astype(np.int32) for p in packed], pa.list_(pa.int32())),
+                    pa.array([coder.decode(p) for p in packed], pa.string()),
+                ], ["doc_id", "token_ids", "decoded"])
 
     return map_batches(whole_documents(documents), work, "doc_id long, token_ids array<int>, decoded string")
 
@@ -227,21 +241,21 @@ def digests(documents: DataFrame, vocabulary: str, with_ids: bool = False) -> Da
     """Token count and digests of ids and decoded text for every document, without moving either; on request the ids."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = automaton(vocabulary)
-        for batch in batches:
-            counts, ids, decoded, kept = [], [], [], []
-            for text in batch.column("text"):
-                packed = coder.encode(present(text.as_py()))
-                counts.append(len(packed) // 4)
-                ids.append(hashlib.sha256(packed).hexdigest())
-                decoded.append(hashlib.sha256(coder.decode(packed).encode()).hexdigest())
+        with coding(vocabulary) as coder:
+            for batch in batches:
+                counts, ids, decoded, kept = [], [], [], []
+                for text in batch.column("text"):
+                    packed = coder.encode(present(text.as_py()))
+                    counts.append(len(packed) // 4)
+                    ids.append(hashlib.sha256(packed).hexdigest())
+                    decoded.append(hashlib.sha256(coder.decode(packed).encode()).hexdigest())
+                    if with_ids:
+                        kept.append(np.frombuffer(packed, np.int32))
+                arrays = [batch.column("doc_id"), pa.array(counts, pa.int64()), pa.array(ids, pa.string()), pa.array(decoded, pa.string())]
+                names = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
                 if with_ids:
-                    kept.append(np.frombuffer(packed, np.int32))
-            arrays = [batch.column("doc_id"), pa.array(counts, pa.int64()), pa.array(ids, pa.string()), pa.array(decoded, pa.string())]
-            names = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
-            if with_ids:
-                arrays.append(pa.array(kept, pa.list_(pa.int32())))
-                names.append("token_ids")
-            yield pa.RecordBatch.from_arrays(arrays, names)
+                    arrays.append(pa.array(kept, pa.list_(pa.int32())))
+                    names.append("token_ids")
+                yield pa.RecordBatch.from_arrays(arrays, names)
 
     return map_batches(whole_documents(documents), work, SCHEMA + (", token_ids array<int>" if with_ids else ""))

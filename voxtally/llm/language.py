@@ -203,7 +203,7 @@ def identified(documents: DataFrame, profiles: Profiles, least_score: float = LE
                 stays = [n != UNKNOWN and (size < LONG or score >= least_score) for n, score, size in zip(*predictions(texts, profiles), strict=True)]
             yield batch.filter(pa.array(stays, pa.bool_()))
 
-    return documents.mapInArrow(work, documents.schema)
+    return map_batches(documents, work, documents.schema)
 
 
 def held_out(documents: DataFrame) -> F.Column:
