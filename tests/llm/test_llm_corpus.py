@@ -10,6 +10,7 @@ import re
 import zlib
 
 import pytest
+from pyspark.sql import functions as F
 
 from voxtally.llm import components, decontaminate, jaccard_join, page_text, suffix_tree, warc
 from voxtally.llm.common import Scratch
@@ -286,3 +287,17 @@ def test_pages_are_paired_over_folders_copies_and_tasks(spark, documents, tasks)
     want = {i: f"own {i}" for i in range(40)} | {100 + i: "one" if i < 20 else "two" for i in range(40)}
     want |= {200: "Menu\n\nalone\n\nFoot", 201: "Menu\n\nsame\n\nFoot", 202: "Menu\n\nsame\n\nFoot", 203: ""}
     assert rows == want
+
+
+def test_suffix_tree_writes_no_line_for_a_common_word(documents, monkeypatch):
+    rows, land = {}, Scratch.land
+
+    def counted(self, df, name):
+        out = land(self, df, name)
+        rows[name] = out.count()
+        return out
+
+    monkeypatch.setattr(Scratch, "land", counted)
+    scored = suffix_tree.score(documents(*["abab abab cdcd"] * 60), F.lit(True), 4, most_held=0)
+    assert scored.count() == 60
+    assert rows["lines"] == 60

@@ -4,7 +4,8 @@ The tree spells texts byte by byte: each word and a space, then an end.  A conte
 kept when it occurs ``least`` times, however large the corpus, and its next-symbol counts diverge from those of its
 suffix by more than they cost to describe.  A kept context's distribution is smoothed with that of its longest kept
 suffix.  The tree is a written table with a row for each kept context, and grows with the corpus.  Tasks hold its most
-frequent part, of bounded size; runs of symbols that may go on into the rest are looked up there by joins.
+frequent part, of bounded size.  Runs of symbols that may go on into the rest are collected first, each once for a task,
+looked up there by joins, and answered in a file for each task.
 
 A token's probability is ``(c + a t) / (N + a)``: ``c`` of ``N`` training tokens are this one, ``t`` is the tree's
 probability of spelling it where it stands, and ``a`` is the number of tokens seen once, which
@@ -15,16 +16,18 @@ probabilities add up to one.
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.parquet as pq
+from pyarrow import fs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from voxtally.llm.common import Scratch, crc_remainder, hashed_texts, map_batches, mix, slices, text_bytes, whole_documents
+from voxtally.llm.common import Scratch, crc_remainder, hashed_texts, map_batches, mix, modest, slices, text_bytes, whole_documents
 
 END, PAD, SYMBOLS, BITS = 256, 257, 257, 9
 #: Token that ends every text, beside the hashes of words.
@@ -138,6 +141,8 @@ MOST_HELD = 1 << 21
 #: Bits that tell which contexts the rest of the tree may have.
 _REST_BITS = 26
 _NO_KEY = np.uint64((1 << 64) - 1)
+#: Runs that a task remembers; the number only saves time.
+_REMEMBERED_BITS = 20
 
 CONTEXT = "k int, context long, of long, symbols array<int>, logs array<double>, weight double"
 
@@ -348,10 +353,42 @@ def resolved(grams: DataFrame, rest: DataFrame, scratch: Scratch, depth: int) ->
 # --- scoring --------------------------------------------------------------------------------------------------------
 
 _TOLD = pa.struct([("doc_id", pa.int64()), ("held_out", pa.bool_()), ("n_tokens", pa.int64()), ("n_known", pa.int64()), ("base", pa.float64()), ("score", pa.float64())])
-SCORED = (
-    "row long, place int, token long, c double, spelled double, open array<long>, "
-    "told struct<doc_id:long,held_out:boolean,n_tokens:long,n_known:long,base:double,score:double>"
-)
+SCORED = "row long, token long, spelled double, told struct<doc_id:long,held_out:boolean,n_tokens:long,n_known:long,base:double,score:double>"
+
+
+class _Memo:
+    """Values of the runs seen last; a run has one place, which another one may take."""
+
+    def __init__(self) -> None:
+        self.keys = np.full(1 << _REMEMBERED_BITS, _NO_KEY)
+        self.values = np.zeros(1 << _REMEMBERED_BITS)
+
+    def values_of(self, runs: np.ndarray, find: Callable[[np.ndarray], np.ndarray]) -> np.ndarray:
+        """The value of every run; ``find`` is asked for each different one that is not remembered."""
+        at = (mix(runs) >> np.uint64(64 - _REMEMBERED_BITS)).astype(np.int64)
+        values, new = self.values[at], np.flatnonzero(self.keys[at] != runs)
+        if len(new):
+            each, first, where = np.unique(runs[new], return_index=True, return_inverse=True)
+            found = find(each)
+            values[new] = found[where]
+            self.keys[at[new[first]]], self.values[at[new[first]]] = each, found
+        return values
+
+
+def _answers(folder: str, task: int) -> tuple[np.ndarray, np.ndarray]:
+    """The runs a task asked for, sorted, and their log10 probabilities."""
+    store, path = fs.FileSystem.from_uri(folder) if ":/" in folder else (fs.LocalFileSystem(), folder)
+    files = store.get_file_info(fs.FileSelector(f"{path}/task={task}", allow_not_found=True))
+    grams, logs = [np.empty(0, np.uint64)], [np.empty(0)]
+    for file in files:
+        if file.path.endswith(".parquet"):
+            with store.open_input_file(file.path) as source:
+                found = pq.ParquetFile(source).read(["gram", "log"])
+            grams.append(found["gram"].to_numpy().view(np.uint64))
+            logs.append(found["log"].to_numpy())
+    grams, logs = np.concatenate(grams), np.concatenate(logs)
+    order = np.argsort(grams)
+    return grams[order], logs[order]
 
 
 def score(documents: DataFrame, teaching: F.Column | None = None, depth: int = 6, least: int = 50, strength: float = 1.0,
@@ -381,73 +418,96 @@ def score(documents: DataFrame, teaching: F.Column | None = None, depth: int = 6
     novel = float(max(1, once))
     base_divisor, divisor = math.log10(total + different + 1), math.log10(total + novel)
 
+    answers = scratch.folder("answers")
+
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        near, task, memo, asked = shared.value[0], TaskContext.get().partitionId(), _Memo(), _Counts()
+
+        def rows() -> Iterator[pa.RecordBatch]:
+            grams, _ = asked.take()
+            for i in range(0, len(grams), 1 << 16):
+                part = grams[i : i + (1 << 16)]
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(part), task, np.int32)), pa.array(part.view(np.int64))], ["task", "gram"])
+
+        def note(each: np.ndarray) -> np.ndarray:
+            asked.add(each[near.find(each)[2]])
+            return np.zeros(len(each))
+
+        for batch in batches:
+            raw = text_bytes(batch.column("text"))
+            for first, last in slices(raw):
+                memo.values_of(runs([normal(t) for t in raw[first:last]], depth)[0], note)
+                if asked.size > _MERGE_AT:
+                    asked.merge()
+                    if asked.size > _MERGE_AT:
+                        yield from rows()
+        yield from rows()
+
+    def nearest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            logs, length, _ = shared.value[0].find(batch.column("gram").to_numpy().view(np.uint64))
+            yield pa.RecordBatch.from_arrays([batch.column("gram"), pa.array(length.astype(np.int32)), pa.array(logs)], ["gram", "length", "log"])
+
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         near, known, n_known = shared.value
-        row = TaskContext.get().partitionId() << 36
+        task, memo = TaskContext.get().partitionId(), _Memo()
+        row = task << 36
+        grams_asked, answered = _answers(answers, task) if near.rest is not None else (None, None)
+
+        def find(each: np.ndarray) -> np.ndarray:
+            logs, _, more = near.find(each)
+            if more.any():
+                at = np.searchsorted(grams_asked, each[more])
+                if not len(grams_asked) or (grams_asked[np.minimum(at, len(grams_asked) - 1)] != each[more]).any():
+                    raise RuntimeError("a task got other texts than when it asked for their runs; write the documents first")
+                logs[more] = answered[at]
+            return logs
+
         for batch in batches:
             ids, outs, raw = batch.column("doc_id").to_pylist(), batch.column("held_out").to_pylist(), text_bytes(batch.column("text"))
             for first, last in slices(raw):
                 texts = [normal(t) for t in raw[first:last]]
                 many = len(texts)
                 grams, symbols = runs(texts, depth)
-                each, where = np.unique(grams, return_inverse=True)
-                logs, _, more = near.find(each)
+                logs = memo.values_of(grams, find)
                 ends = (symbols == _SPACE) | (symbols == END)
-                spelled = np.diff(np.cumsum(np.where(more, 0.0, logs)[where])[ends], prepend=0.0)
-                ahead = np.flatnonzero(more[where])
-                token_of = (np.cumsum(ends) - ends)[ahead]
-                waiting = np.bincount(token_of, minlength=len(spelled))
+                spelled = np.diff(np.cumsum(logs)[ends], prepend=0.0)
                 hashed = [np.append(words, END_TOKEN) for words in hashed_texts(texts)]
                 sizes = np.array([len(words) for words in hashed])
                 words, text = np.concatenate(hashed), np.repeat(np.arange(many), sizes)
                 at = np.minimum(np.searchsorted(known, words), max(len(known) - 1, 0))
                 found = known[at] == words if len(known) else np.zeros(len(words), bool)
-                c = np.where(found, n_known[at], 0.0) if len(known) else np.zeros(len(words))
-                done = found & (waiting == 0)
-                left = np.flatnonzero(~done)
-                added = lambda x: np.bincount(text[done], x, many)  # noqa: E731, B023
-                base = added(np.log10(c[done] + 1)) - sizes * base_divisor
-                score = added(np.log10(c[done] + novel * 10 ** spelled[done])) - sizes * divisor
-                here = np.bincount(text[done], minlength=many)
+                c = n_known[at[found]] if len(known) else np.empty(0)
+                left = np.flatnonzero(~found)
+                added = lambda x: np.bincount(text[found], x, many)  # noqa: E731, B023
+                base = added(np.log10(c + 1)) - sizes * base_divisor
+                score = added(np.log10(c + novel * 10 ** spelled[found])) - sizes * divisor
+                here = np.bincount(text[found], minlength=many)
                 told = [
                     {"doc_id": ids[first + i], "held_out": outs[first + i], "n_tokens": int(sizes[i]), "n_known": int(here[i]), "base": float(base[i]), "score": float(score[i])}
                     for i in range(many)
                 ]
                 rows = np.arange(row, row + many)
                 row += many
-                own = rows[text[left]]
-                items = pa.array(each[where[ahead]].view(np.int64))
-                offsets = np.concatenate([np.zeros(many + 1, np.int64), np.cumsum(waiting[left])])
                 yield pa.RecordBatch.from_arrays([
-                    pa.array(np.concatenate([rows, own])), pa.array(np.concatenate([np.full(many, -1), left]).astype(np.int32)),
-                    # Lines whose count is known, and the row's own, must not meet any word's count: they go by their row.
-                    pa.array(np.concatenate([rows, np.where(found[left], own, words[left].view(np.int64))])),
-                    pa.array(np.concatenate([np.full(many, np.nan), np.where(found[left], c[left], np.nan)]), from_pandas=True),
-                    pa.array(np.concatenate([np.full(many, np.nan), spelled[left]]), from_pandas=True),
-                    pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), items), pa.array(told + [None] * len(left), _TOLD),
-                ], ["row", "place", "token", "c", "spelled", "open", "told"])
-
-    lines = map_batches(whole_documents(documents, out.alias("held_out")), work, SCORED)
-    columns = ("row", "token", "c", "spelled", "told")
-    if rest is None:
-        lines = lines.select(*columns)
-    else:
+                    # A row's own line is no word: it has no spelling, and goes by its row.
+                    pa.array(np.concatenate([rows, rows[text[left]]])), pa.array(np.concatenate([rows, words[left].view(np.int64)])),
+                    pa.array(np.concatenate([np.full(many, np.nan), spelled[left]]), from_pandas=True), pa.array(told + [None] * len(left), _TOLD),
+                ], ["row", "token", "spelled", "told"])
+
+    texts = whole_documents(documents, out.alias("held_out"))
+    lines = map_batches(texts, work, SCORED)
+    if rest is not None:
+        asked = scratch.land(map_batches(texts, ask, "task int, gram long").distinct(), "asked")
+        told = resolved(map_batches(asked.select("gram").distinct(), nearest, "gram long, length int, log double"), rest, scratch, depth)
+        with modest(spark):
+            asked.join(told, "gram").repartition("task").write.partitionBy("task").parquet(answers)
+        scratch.drop(asked, told, model)
         lines = scratch.land(lines, "lines")
-        waiting = lines.where("size(open) > 0").select("row", "place", "token", "c", "spelled", F.explode("open").alias("gram"))
-
-        def nearest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                logs, length, _ = shared.value[0].find(batch.column("gram").to_numpy().view(np.uint64))
-                yield pa.RecordBatch.from_arrays([batch.column("gram"), pa.array(length.astype(np.int32)), pa.array(logs)], ["gram", "length", "log"])
-
-        grams = map_batches(waiting.select("gram").distinct(), nearest, "gram long, length int, log double")
-        spelt = waiting.join(resolved(grams, rest, scratch, depth), "gram").groupBy("row", "place").agg(
-            F.first("token").alias("token"), F.first("c").alias("c"), (F.first("spelled") + F.sum("log")).alias("spelled"), F.lit(None).cast(lines.schema["told"].dataType).alias("told")
-        )
-        lines = lines.where("size(open) = 0").select(*columns).unionAll(spelt.select(*columns))
+        scratch.delete(answers)
     rare = words.where(F.col("n") <= total / common_words)
     met = lines.join(rare, "token", "left").select(
-        "row", "told", F.when(F.col("spelled").isNotNull(), F.coalesce("c", "n", F.lit(0))).alias("n"), "spelled"
+        "row", "told", F.when(F.col("spelled").isNotNull(), F.coalesce("n", F.lit(0))).alias("n"), "spelled"
     ).select(
         "row", "told", (F.col("n") > 0).cast("long").alias("known"), F.log10(F.col("n") + 1).alias("base"),
         F.when(F.col("n") == 0, math.log10(novel) + F.col("spelled")).otherwise(F.log10(F.col("n") + novel * F.pow(F.lit(10.0), "spelled"))).alias("score"),
